@@ -19,8 +19,9 @@ packed each; ties in rank are broken by a hash of the piece. An empty table give
 
 from __future__ import annotations
 
+import json
+import os
 import re as _re
-import unicodedata
 from bisect import bisect_left, bisect_right
 from collections import defaultdict
 from collections.abc import Iterator
@@ -28,7 +29,6 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -41,41 +41,58 @@ from atlasmill.llm.common import small_batches, text_slices
 CAPACITY = 4096
 END_ID = 1
 NODES, TAIL, BOUND_NODES = 300, 24, 20_000
-WORDS_KEPT = 600_000
-#: Texts of these characters only are split by the pattern below; others go through the library whole.
-PLAIN = _re.compile("[\\x00-\\u024f\\u2010-\\u2027\\u2030-\\u205e]*")
+WORDS_KEPT = 500_000
+#: Texts of these characters only (Latin script and general punctuation, without the controls and the
+#: dotted I on which libraries differ) are encoded by their stretches between white space.
+PLAIN = _re.compile("[\\x00-\\x1b\\x20-\\x84\\x86-\\u012f\\u0131-\\u024f\\u2010-\\u2027\\u2030-\\u205e]*")
 
 
 class WordTokens:
-    """Token ids of texts, word by word: the library encodes each distinct word once."""
+    """Token ids of texts by stretches between white space, each distinct one encoded once by the library.
+
+    That equals encoding the whole text for tokenizers that turn white space into one space, change
+    characters one by one otherwise and drop the space when they split; others encode whole texts.
+    """
 
     def __init__(self, path: str):
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # a task has one core
         self.library = Tokenizer.from_file(path)
-        import json
-
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
         steps = [s["type"] for s in (spec["normalizer"] or {}).get("normalizers", [])]
         split = [s for s in (spec["pre_tokenizer"] or {}).get("pretokenizers", []) if s["type"] == "Split" and s["invert"] and s["behavior"] == "Removed"]
-        self.words = regex.compile(split[0]["pattern"]["Regex"]).findall if steps == ["NFC", "Replace", "Lowercase"] and split else None
+        self.by_stretch = steps == ["NFC", "Replace", "Lowercase"] and bool(split)
         self.marks = [t["content"] for t in spec["added_tokens"]]
         self.known: dict[str, bytes] = {}
-
-    def ids(self, text: str) -> bytes:
-        """Little-endian unsigned 32-bit ids."""
-        if self.words is None or not PLAIN.fullmatch(text) or "İ" in text or any(m in text for m in self.marks):
-            return np.array(self.library.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
-        words = self.words(unicodedata.normalize("NFC", text).lower())
-        known = self.known
-        try:
-            return b"".join(map(known.__getitem__, words))
-        except KeyError:
-            if len(known) > WORDS_KEPT:
-                known.clear()
-            new = list(set(words).difference(known))
-            for w, e in zip(new, self.library.encode_batch_fast(new, add_special_tokens=False), strict=True):
-                known[w] = np.array(e.ids, "<u4").tobytes()
-            return b"".join(map(known.__getitem__, words))
+        self.before: dict[str, bytes] = {}
+
+    def _ids(self, encoded) -> bytes:
+        return np.array(encoded.ids, "<u4").tobytes()
+
+    def _learn(self, new: set[str]) -> None:
+        if len(self.known) > WORDS_KEPT:  # the generation before the last is forgotten
+            self.before, self.known = self.known, {}
+        if self.before:
+            again = new.intersection(self.before)
+            self.known.update((w, self.before[w]) for w in again)
+            new = new.difference(again)
+        todo = list(new)
+        self.known.update(zip(todo, map(self._ids, self.library.encode_batch_fast(todo, add_special_tokens=False)), strict=True))
+
+    def ids(self, texts: list[str]) -> list[bytes]:
+        """Little-endian unsigned 32-bit ids of each text."""
+        cut = [t.split() if self.by_stretch and PLAIN.fullmatch(t) and not any(m in t for m in self.marks) else None for t in texts]
+        new: set[str] = set()
+        for words in cut:
+            if words:
+                new.update(words)
+        if len(self.known) > WORDS_KEPT:
+            self._learn(new)
+        else:
+            new.difference_update(self.known)
+            self._learn(new)
+        get = self.known.__getitem__
+        return [b"".join(map(get, words)) if words is not None else self._ids(self.library.encode(t, add_special_tokens=False)) for t, words in zip(texts, cut, strict=True)]
 
 
 @lru_cache(maxsize=2)
@@ -87,8 +104,8 @@ def _pieces(batches: Iterator[pa.RecordBatch], id_col: str, text_col: str, path:
     machine, end, width = word_tokens(path), np.array([end_id], "<u4").tobytes(), 4 * capacity
     for rows, texts in text_slices(batches, text_col):
         owner, number, ids = [], [], []
-        for k, text in enumerate(texts):
-            all_ids = machine.ids((text or b"").decode("utf-8", "surrogatepass")) + end
+        for k, found in enumerate(machine.ids([(t or b"").decode("utf-8", "surrogatepass") for t in texts])):
+            all_ids = found + end
             for piece, at in enumerate(range(0, len(all_ids), width)):
                 owner.append(k), number.append(piece), ids.append(all_ids[at : at + width])
         number = np.array(number, np.int64)
