@@ -88,13 +88,23 @@ def top_of_tile(q_ids: np.ndarray, q: np.ndarray, c_ids: np.ndarray, c: np.ndarr
     return queries, found, values
 
 
+def _beyond(score: int) -> str:
+    """Empty for a long; for other scores a text that orders them as the scores do (among those clipped to the same long)."""
+    digits = str(abs(score))
+    if score > _LONG:
+        return f"{len(digits):06d}{digits}"
+    if score < -_LONG - 1:
+        return f"{999_999 - len(digits):06d}{''.join(str(9 - int(c)) for c in digits)}"
+    return ""
+
+
 def _tile(left: pa.Table, right: pa.Table, k: int) -> pa.Table:
     if not left.num_rows or not right.num_rows:
         queries, found, values = [], [], []
     else:
         queries, found, values = top_of_tile(left.column("q_id").to_numpy(), _matrix(left.column("q_v")), right.column("vec_id").to_numpy(), _matrix(right.column("v")), k)
     shard = right.column("shard")[0].as_py() if right.num_rows else 0
-    return pa.table({"query_id": pa.array(queries, pa.int64()), "vec_id": pa.array(found, pa.int64()), "exact": pa.array([str(v) for v in values], pa.string()), "shard": pa.array([shard] * len(queries), pa.int32())})
+    return pa.table({"query_id": pa.array(queries, pa.int64()), "vec_id": pa.array(found, pa.int64()), "score": pa.array([max(-_LONG - 1, min(_LONG, v)) for v in values], pa.int64()), "beyond": pa.array([_beyond(v) for v in values], pa.string()), "shard": pa.array([shard] * len(queries), pa.int32())})
 
 
 def top_k(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding", every: int = 100, k: int = K, scale: int = SCALE) -> DataFrame:
@@ -107,11 +117,9 @@ def top_k(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "embeddi
     q = asked.select(F.col("vec_id").alias("q_id"), F.col("v").alias("q_v"), F.col("dim").alias("q_dim"), F.pmod(F.xxhash64("vec_id"), F.lit(groups)).cast("int").alias("q_group"), each(shards).alias("q_shard"))
     c = ready.select("vec_id", "v", "dim", F.pmod(F.xxhash64("vec_id", "v"), F.lit(shards)).cast("int").alias("shard"), each(groups).alias("group"))
     tiles = q.groupBy("q_dim", "q_group", "q_shard").cogroup(c.groupBy("dim", "group", "shard"))
-    lists = tiles.applyInArrow(lambda a, b: _tile(a, b, k), "query_id long, vec_id long, exact string, shard int")
-    score = F.col("exact").cast("decimal(38,0)")
-    merged = lists.select("query_id", "vec_id", score.alias("s"), F.expr(f"shard div {FAN_IN}").alias("set"))
-    order = [F.col("s").desc(), F.col("vec_id")]
+    lists = tiles.applyInArrow(lambda a, b: _tile(a, b, k), "query_id long, vec_id long, score long, beyond string, shard int")
+    merged = lists.select("query_id", "vec_id", "score", "beyond", F.expr(f"shard div {FAN_IN}").alias("set"))
+    order = [F.col("score").desc(), F.col("beyond").desc(), F.col("vec_id")]
     merged = merged.withColumn("r", F.row_number().over(W.partitionBy("query_id", "set").orderBy(*order))).filter(F.col("r") <= k)
     ranked = merged.withColumn("rank", F.row_number().over(W.partitionBy("query_id").orderBy(*order))).filter(F.col("rank") <= k)
-    clipped = F.least(F.greatest(F.col("s"), F.lit(-_LONG - 1).cast("decimal(38,0)")), F.lit(_LONG).cast("decimal(38,0)"))
-    return ranked.select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", clipped.cast("long").alias("score"))
+    return ranked.select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")
