@@ -131,12 +131,12 @@ def _signatures(batches: Iterator[pa.RecordBatch], id_col: str, text_col: str, n
                 own = np.unique(grams[at[d] : at[d + 1]])
                 size[d] = len(own)
                 node[d] = np.bitwise_xor.reduce(mix(own + np.uint64(77))), np.add.reduce(mix(own ^ np.uint64(0x5555)))
-        names = [f"{a:016x}{b:016x}" for a, b in node.tolist()]
+        names = [row.tobytes() for row in node]
         per_row: list[list[int] | None] = [None] * len(texts)
         for d, row in zip(some.tolist(), code.view(np.int64).tolist(), strict=True):
             per_row[d] = row
         yield pa.RecordBatch.from_arrays(
-            [chunk.column(id_col), chunk.column("__th"), pa.array([x if m else None for x, m in zip(names, many.tolist(), strict=True)], pa.string()), pa.array(size), pa.array(per_row, pa.list_(pa.int64()))],
+            [chunk.column(id_col), chunk.column("__th"), pa.array([x if m else None for x, m in zip(names, many.tolist(), strict=True)], pa.binary()), pa.array(size), pa.array(per_row, pa.list_(pa.int64()))],
             names=[id_col, "__th", "node", "n_grams", "bands"],
         )
 
@@ -145,7 +145,7 @@ def signatures(docs: DataFrame, id_col: str, text_col: str, n: int, bands: int,
     """(id, hash of the text, node: fingerprint of the n-gram set or null, number of n-grams, band hashes) of every row."""
     small_batches(docs.sparkSession)
     read = docs.select(id_col, text_col, text_key(text_col).alias("__th"))
-    schema = T.StructType([read.schema[id_col], read.schema["__th"], T.StructField("node", T.StringType()), T.StructField("n_grams", T.LongType()), T.StructField("bands", T.ArrayType(T.LongType()))])
+    schema = T.StructType([read.schema[id_col], read.schema["__th"], T.StructField("node", T.BinaryType()), T.StructField("n_grams", T.LongType()), T.StructField("bands", T.ArrayType(T.LongType()))])
     return read.mapInArrow(lambda it: _signatures(it, id_col, text_col, n, bands, rows), schema)
 
 
@@ -217,7 +217,7 @@ def _verify(batches: Iterator[pa.RecordBatch], n: int, threshold: Fraction) -> I
     def done() -> pa.RecordBatch:
         found = _verify_tile([held[k] for k in sorted(held)], n, threshold)
         whole = now[1] == now[2] == 0 and now[3] == 1
-        return pa.RecordBatch.from_arrays([pa.array(found["node"]), pa.array(found["links"], pa.int64()), pa.array(found["root"]), pa.array([whole] * len(held))], names=["node", "links", "root", "whole"])
+        return pa.RecordBatch.from_arrays([pa.array(found["node"], pa.binary()), pa.array(found["links"], pa.int64()), pa.array(found["root"], pa.binary()), pa.array([whole] * len(held))], names=["node", "links", "root", "whole"])
 
     for batch in batches:
         columns = [batch.column(c).to_pylist() for c in ("group", "ti", "tj", "blocks", "node", "copies", "block")]
@@ -250,10 +250,10 @@ def similarity_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     block = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
     dealt = members.join(blocks, "group").withColumn("block", block).select("group", "node", "copies", "rep", "blocks", "block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"))
     wanted = materialize(dealt.select("group", "node", "copies", "blocks", "block", F.least("block", "other").alias("ti"), F.greatest("block", "other").alias("tj"), F.col("rep.id").alias("__id"), F.col("rep.th").alias("__th")), "wanted")
-    ask = wanted.select("__id", "__th").distinct()
-    texts = docs.select(F.coalesce(F.col(id_col), F.lit(-1)).alias("__id"), text_key(text_col).alias("__th"), F.col(text_col).alias("text")).join(ask, ["__id", "__th"], "left_semi")
+    ask = wanted.select("__id", "__th").distinct()  # grows with the data: merged at every size, never broadcast
+    texts = docs.select(F.coalesce(F.col(id_col), F.lit(-1)).alias("__id"), text_key(text_col).alias("__th"), F.col(text_col).alias("text")).hint("merge").join(ask, ["__id", "__th"], "left_semi")
     tiles = wanted.join(texts, ["__id", "__th"]).repartition("group", "ti", "tj").sortWithinPartitions("group", "ti", "tj")
-    schema = "node string, links long, root string, whole boolean"
+    schema = "node binary, links long, root binary, whole boolean"
     tiled = tiles.select("group", "ti", "tj", "blocks", "node", "copies", "block", "text").mapInArrow(lambda it: _verify(it, n, exact), schema)
     verified = materialize(tiled, "verified")
     links = verified.groupBy("node").agg(F.sum("links").alias("links"), F.min("root").alias("root"), F.min("whole").alias("whole"))
