@@ -92,12 +92,13 @@ def mix_sources(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     cut = streamed.filter("size > 0").select("key", "__start", "size", F.explode(F.sequence(F.expr(f"__start div {block}"), F.expr(f"(__start + size - 1) div {block}"))).alias("block"))
     first = F.greatest(F.col("block") * block, F.col("__start")) - F.col("__start")
     many = F.least((F.col("block") + 1) * block, F.col("__start") + F.col("size")) - F.col("__start") - first
-    used = cut.join(block_uses(targets, block), ["key", "block"]).select("key", "__start", first.alias("first"), many.alias("words"), "uses")
+    # merged, not broadcast: the uses are exploded from the small target table, so their estimated size says nothing
+    used = cut.hint("merge").join(block_uses(targets, block), ["key", "block"]).select("key", "__start", first.alias("first"), many.alias("words"), "uses")
     measures = [F.sum(F.col("words") * F.col("uses")).alias("taken")]
     if pieces:
         measures.append(F.sort_array(F.collect_list(F.struct("first", "words", "uses"))).alias("pieces"))
     taken = used.groupBy("key", "__start").agg(*measures).withColumn("__some", F.lit(True))
-    joined = streamed.withColumn("__some", F.col("size") > 0).join(taken, ["key", "__start", "__some"], "left").join(targets, "key")
+    joined = streamed.withColumn("__some", F.col("size") > 0).hint("merge").join(taken, ["key", "__start", "__some"], "left").join(targets, "key")
     return joined.select(*keep, "size", "source_size", "target", F.coalesce("taken", F.lit(0)).cast("long").alias("taken"), *(["pieces"] if pieces else []))
 
 
