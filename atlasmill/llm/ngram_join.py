@@ -112,7 +112,7 @@ def gram_hashes(texts: list[bytes | None], n: int = N) -> tuple[np.ndarray, np.n
 
 def _signatures(batches: Iterator[pa.RecordBatch], id_col: str, text_col: str, n: int, bands: int, rows: int) -> Iterator[pa.RecordBatch]:
     seeds = mix(np.arange(1, bands * rows + 1, dtype=np.uint64) * _P) | np.uint64(1)
-    for chunk, texts in text_slices(batches, text_col, 2 << 20):
+    for chunk, texts in text_slices(batches, text_col, 1 << 20):
         grams, at = gram_hashes(texts, n)
         many = np.diff(at)
         some = np.flatnonzero(many)
