@@ -10,7 +10,9 @@ from atlasmill.operators import graph
 from atlasmill.plans.graph import KG, TYPED
 from atlasmill.registry import query
 
-N = F.count(F.lit(1)).alias("n")
+
+def _n():
+    return F.count(F.lit(1)).alias("n")
 
 
 def _typed(spark, d):
@@ -27,19 +29,19 @@ def dsh_01_degree_metrics(spark, d):
 
 @query(f"{TYPED} SELECT subject_category, predicate, object_category, primary_knowledge_source, count(*) AS n, string_agg(DISTINCT upstream, ',' ORDER BY upstream) AS upstreams FROM typed GROUP BY ALL")
 def dsh_05_merged_edge_cube(spark, d):
-    return _typed(spark, d).groupBy("subject_category", "predicate", "object_category", "primary_knowledge_source").agg(N, F.array_join(F.array_sort(F.collect_set("upstream")), ",").alias("upstreams"))
+    return _typed(spark, d).groupBy("subject_category", "predicate", "object_category", "primary_knowledge_source").agg(_n(), F.array_join(F.array_sort(F.collect_set("upstream")), ",").alias("upstreams"))
 
 
 @query(f"{KG} SELECT category, split_part(id, ':', 1) AS prefix, array_to_string(upstream_data_source, ',') AS upstreams, count(*) AS n FROM nodes GROUP BY ALL")
 def dsh_05_merged_node_cube(spark, d):
-    return A.nodes(spark, d).groupBy("category", F.split_part("id", F.lit(":"), F.lit(1)).alias("prefix"), F.array_join("upstream_data_source", ",").alias("upstreams")).agg(N)
+    return A.nodes(spark, d).groupBy("category", F.split_part("id", F.lit(":"), F.lit(1)).alias("prefix"), F.array_join("upstream_data_source", ",").alias("upstreams")).agg(_n())
 
 
 @query(f"{TYPED} SELECT category, direction, other, count(*) AS n FROM (SELECT 'out' AS direction, subject_category AS category, object_category AS other FROM typed UNION ALL SELECT 'in', object_category, subject_category FROM typed) GROUP BY ALL")
 def dsh_07_connected_categories(spark, d):
     t = _typed(spark, d)
     both = t.select(F.lit("out").alias("direction"), F.col("subject_category").alias("category"), F.col("object_category").alias("other")).union(t.select(F.lit("in"), "object_category", "subject_category"))
-    return both.groupBy("category", "direction", "other").agg(N)
+    return both.groupBy("category", "direction", "other").agg(_n())
 
 
 @query(f"{KG}, x AS (SELECT subject AS id, object AS nb FROM edges UNION SELECT object, subject FROM edges) SELECT n.id, count(DISTINCT nb) AS neighbours FROM nodes n LEFT JOIN x ON n.id = x.id AND x.nb <> n.id WHERE category = 'biolink:Drug' GROUP BY n.id")
@@ -70,7 +72,7 @@ def dsh_17_epistemic_scores(spark, d):
     level = F.when(F.col("knowledge_level") == "knowledge_assertion", 1.0).when(F.col("knowledge_level") == "prediction", -0.5).otherwise(0.0)
     agent = F.when(F.col("agent_type") == "manual_agent", 1.0).when(F.col("agent_type") == "automated_agent", -0.25).otherwise(0.0)
     none = F.lit("not_provided")
-    return A.edges(spark, d).groupBy("primary_knowledge_source", F.coalesce("knowledge_level", none).alias("knowledge_level"), F.coalesce("agent_type", none).alias("agent_type")).agg(N, F.round(F.avg((level + agent) / 2), 6).alias("score"))
+    return A.edges(spark, d).groupBy("primary_knowledge_source", F.coalesce("knowledge_level", none).alias("knowledge_level"), F.coalesce("agent_type", none).alias("agent_type")).agg(_n(), F.round(F.avg((level + agent) / 2), 6).alias("score"))
 
 
 @query("""WITH RECURSIVE r AS (SELECT p_partkey AS root, p_partkey AS id, 0 AS depth FROM part WHERE p_partkey BETWEEN 1 AND 7 UNION ALL SELECT r.root, p_partkey, depth + 1 FROM r JOIN part ON p_partkey // 2 = r.id WHERE depth < 20)
@@ -95,25 +97,25 @@ def dsh_27_example_edges(spark, d):
 def dsh_30_sankey(spark, d):
     t = _typed(spark, d)
     flows = t.select(F.col("subject_category").alias("source"), F.col("predicate").alias("target")).union(t.select("predicate", F.concat(F.lit("to "), "object_category")))
-    return flows.groupBy("source", "target").agg(N).filter("n > 5")
+    return flows.groupBy("source", "target").agg(_n()).filter("n > 5")
 
 
 @query(f"{KG} SELECT predicate, count(*) AS n, round(100.0 * count(*) / sum(count(*)) OVER (), 6) AS share FROM edges GROUP BY predicate")
 def dsh_32_shares(spark, d):
-    counts = A.edges(spark, d).groupBy("predicate").agg(N)
+    counts = A.edges(spark, d).groupBy("predicate").agg(_n())
     return counts.join(F.broadcast(counts.agg(F.sum("n").alias("all"))), F.lit(True)).select("predicate", "n", F.round(100.0 * F.col("n") / F.col("all"), 6).alias("share"))
 
 
 @query("WITH c AS (SELECT p_type AS t, count(*) AS n FROM part GROUP BY 1), r AS (SELECT *, row_number() OVER (ORDER BY n DESC, t) AS r FROM c) SELECT CASE WHEN r <= 3 THEN t ELSE 'Other' END AS kind, CAST(sum(n) AS BIGINT) AS n FROM r GROUP BY 1")
 def dsh_36_top_and_other(spark, d):
-    counts = A.read(spark, d, "part").groupBy(F.col("p_type").alias("t")).agg(N)
+    counts = A.read(spark, d, "part").groupBy(F.col("p_type").alias("t")).agg(_n())
     ranked = counts.withColumn("r", F.row_number().over(W.orderBy(F.desc("n"), "t")))
     return ranked.groupBy(F.when(F.col("r") <= 3, F.col("t")).otherwise("Other").alias("kind")).agg(F.sum("n").alias("n"))
 
 
 @query(f"{TYPED}, c AS (SELECT subject_category, primary_knowledge_source, count(*) AS n FROM typed GROUP BY ALL) SELECT subject_category, arg_min(primary_knowledge_source, (-n, primary_knowledge_source)) AS main_source, string_agg(primary_knowledge_source, ',' ORDER BY n DESC, primary_knowledge_source) AS sources FROM c GROUP BY 1")
 def dsh_38_modal_source(spark, d):
-    c = _typed(spark, d).groupBy("subject_category", "primary_knowledge_source").agg(N)
+    c = _typed(spark, d).groupBy("subject_category", "primary_knowledge_source").agg(_n())
     listed = F.array_sort(F.collect_list(F.struct((-F.col("n")).alias("k"), F.col("primary_knowledge_source").alias("s"))))
     out = c.groupBy("subject_category").agg(listed.alias("l"))
     return out.select("subject_category", F.col("l")[0]["s"].alias("main_source"), F.array_join(F.transform("l", lambda x: x["s"]), ",").alias("sources"))
