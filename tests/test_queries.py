@@ -20,7 +20,7 @@ def sql():
 
 
 def plain(x):
-    if x is None or x is pd.NaT or (isinstance(x, float) and x != x):
+    if x is None or x is pd.NaT or x is pd.NA or (isinstance(x, float) and x != x):
         return ""
     return f"{float(x):.6g}" if isinstance(x, (int, float)) or hasattr(x, "dtype") else str(x)
 
