@@ -5,9 +5,10 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from atlasmill import adapters as A
+from atlasmill.operators import graph
 from atlasmill.operators import hierarchy as H
 from atlasmill.operators import matrix as M
-from atlasmill.plans.graph import KG, MAP_SQL, _mapping
+from atlasmill.plans.graph import KG, MAP_SQL, TYPED, _mapping
 from atlasmill.registry import query
 
 INSTANCE, CONCEPT = ["biolink:affects", "biolink:treats"], ["biolink:part_of"]
@@ -97,3 +98,18 @@ def nrm_09_node_summary(spark, d):
 def nrm_13_cache_statistics(spark, d):
     m = _mapping(spark, d)
     return m.groupBy(F.col("normalization_struct.normalized_id").isNull().alias("missing")).agg(F.count(F.lit(1)).alias("n"))
+
+
+@query(f"{KG} SELECT id FROM nodes WHERE NOT list_contains(upstream_data_source, 'kg2') OR category = 'biolink:Disease'")
+def flt_06_node_filters(spark, d):
+    n = A.nodes(spark, d)
+    keep = {"sources": ~F.array_contains("upstream_data_source", "kg2") | (F.col("category") == "biolink:Disease")}
+    return graph.filter_chain(n, keep, ["id"])[0].select("id")
+
+
+@query(f"{TYPED} SELECT subject, predicate, object, count(*) AS n FROM typed WHERE NOT (subject_category = 'biolink:Drug' AND predicate = 'biolink:related_to') GROUP BY ALL")
+def flt_07_edge_filters(spark, d):
+    typed = graph.with_categories(A.edges(spark, d), A.nodes(spark, d))
+    keep = {"triples": ~((F.col("subject_category") == "biolink:Drug") & (F.col("predicate") == "biolink:related_to"))}
+    kept = graph.filter_chain(typed, keep, ["subject", "predicate", "object"])[0]
+    return kept.groupBy("subject", "predicate", "object").agg(F.count(F.lit(1)).alias("n"))
