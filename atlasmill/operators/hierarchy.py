@@ -55,3 +55,14 @@ def core_ids(mapping: DataFrame, strict: bool = True) -> DataFrame:
         if bad:
             raise ValueError(f"more than one core id for {', '.join(bad)}")
     return mapping.groupBy("id").agg(F.min("core_id").alias("core_id"))
+
+
+def core_categories(assignments: DataFrame, mapping: DataFrame) -> DataFrame:
+    """Nodes with ``ec_core_category``: drug, disease or null."""
+    core = F.when(F.col("category") == "biolink:Drug", "drug").when(F.col("category") == "biolink:Disease", "disease")
+    return assignments.join(mapping.select(F.col("normalized_id").alias("id"), core.alias("ec_core_category")).distinct(), "id", "left")
+
+
+def node_metrics(components: DataFrame, ontology: DataFrame) -> DataFrame:
+    """The node tables of the connectivity report side by side."""
+    return components.join(ontology, "id", "left")
