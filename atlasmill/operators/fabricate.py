@@ -62,3 +62,27 @@ def some_of(values: list[str], seed: int, name: str, most: int, *columns: str) -
 
 def with_nulls(value: Column, u: Column, probability: float) -> Column:
     return F.when(u >= probability, value)
+
+
+def uniform(u: Column, low: float, high: float) -> Column:
+    return F.lit(float(low)) + F.lit(float(high - low)) * u
+
+
+def normal(u: Column, v: Column, mean: float, deviation: float) -> Column:
+    """Normal numbers from two numbers in [0, 1)."""
+    return F.lit(float(mean)) + F.lit(float(deviation)) * F.sqrt(-2 * F.ln(1 - u)) * F.cos(2 * F.pi() * v)
+
+
+def exponential(u: Column, mean: float) -> Column:
+    return -F.lit(float(mean)) * F.ln(1 - u)
+
+
+def crossed(values: list, column: Column) -> Column:
+    """Array of (a, b): every value of a short list with every item of an array."""
+    return F.flatten(F.transform(F.lit(values), lambda a: F.transform(column, lambda b: F.struct(a.alias("a"), b.alias("b")))))
+
+
+def skewed_score(u: Column, positive: Column, negative: Column, skew: float) -> Column:
+    """Scores near 1 for positives, near 0 for negatives (more so with a larger skew), uniform for others: inverse Beta(skew, 1) and Beta(1, skew)."""
+    power = F.lit(1.0 / skew)
+    return F.when(positive, F.pow(u, power)).when(negative, 1 - F.pow(1 - u, power)).otherwise(u)
