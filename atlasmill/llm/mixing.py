@@ -36,6 +36,8 @@ CAP = 3
 SHARDS = 64
 SEED = 20240
 STEP = 4096
+#: Slots that one task draws: a run of ``STEP`` slots is one short row, so the bytes of the runs say nothing about the work.
+SLOTS_A_TASK = 1 << 20
 SPACE = " \t\n\x0b\x0c\r"
 
 
@@ -65,7 +67,8 @@ def block_uses(targets: DataFrame, block: int = BLOCK, cap: int = CAP, shards: i
     plan = targets.filter("source_size > 0").withColumn("n", F.expr(f"(source_size + {block - 1}) div {block}"))
     slots = F.least(F.round(F.col("target") * F.col("n") / F.col("source_size")).cast("long"), F.col("n") * cap)
     plan = plan.withColumn("slots", slots).filter("slots > 0")
-    runs = plan.select("key", "n", "slots", F.explode(F.sequence(F.lit(0).cast("long"), F.col("slots") - 1, F.lit(STEP).cast("long"))).alias("low")).repartition("key", "low")
+    total = plan.agg(F.sum("slots").alias("n")).first()["n"] or 0
+    runs = plan.select("key", "n", "slots", F.explode(F.sequence(F.lit(0).cast("long"), F.col("slots") - 1, F.lit(STEP).cast("long"))).alias("low")).repartition(total // SLOTS_A_TASK + 1, "key", "low")
     slot = runs.select("key", "n", F.explode(F.sequence("low", F.least(F.col("low") + STEP, F.col("slots")) - 1)).alias("slot"))
     turn, place = F.expr("slot div n"), F.expr("slot % n")
     draw = lambda *what: F.xxhash64(F.lit(seed), *what)
