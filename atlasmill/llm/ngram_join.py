@@ -191,8 +191,8 @@ def shared_grams(sets: list[np.ndarray]) -> np.ndarray:
     return out
 
 
-def _verify_tile(rows: list[tuple], n: int, threshold: Fraction) -> dict[str, list]:
-    """rows: (node, copies, block, text), one for each node. Links are counted between different blocks, or inside the block if there is one."""
+def _verify_tile(rows: list[tuple], n: int, threshold: Fraction, within: bool) -> dict[str, list]:
+    """rows: (node, copies, block, text), one for each node. Links are counted inside the block if the tile is one block's own (``within``), else between its two blocks, of which one may have no rows."""
     names = [r[0] for r in rows]
     copies = np.array([r[1] for r in rows], np.int64)
     block = np.array([r[2] for r in rows])
@@ -203,7 +203,7 @@ def _verify_tile(rows: list[tuple], n: int, threshold: Fraction) -> dict[str, li
     union = size[:, None] + size[None, :] - both
     linked = both * threshold.denominator >= union * threshold.numerator
     np.fill_diagonal(linked, False)
-    count = linked & (block[:, None] != block[None, :]) if len(set(block.tolist())) > 1 else linked
+    count = linked if within else linked & (block[:, None] != block[None, :])
     groups = _Groups(len(rows))
     for i, j in zip(*np.nonzero(np.triu(linked)), strict=True):
         groups.join(int(i), int(j))
@@ -215,7 +215,7 @@ def _verify(batches: Iterator[pa.RecordBatch], n: int, threshold: Fraction) -> I
     now, held = None, {}
 
     def done() -> pa.RecordBatch:
-        found = _verify_tile([held[k] for k in sorted(held)], n, threshold)
+        found = _verify_tile([held[k] for k in sorted(held)], n, threshold, now[1] == now[2])
         whole = now[1] == now[2] == 0 and now[3] == 1
         return pa.RecordBatch.from_arrays([pa.array(found["node"], pa.binary()), pa.array(found["links"], pa.int64()), pa.array(found["root"], pa.binary()), pa.array([whole] * len(held))], names=["node", "links", "root", "whole"])
 

@@ -185,6 +185,18 @@ def test_join_equals_brute_force_over_several_tiles(spark, monkeypatch):
         assert got[a] == (min((x for x in seen if x is not None), default=None), len(link[a])), a
 
 
+def test_tiles_with_an_empty_block_count_no_link_twice(spark, monkeypatch):
+    monkeypatch.setattr(ngram_join, "TILE_GRAMS", 8)  # as many blocks as members: some blocks stay empty
+    rows, many = [], {}
+    for g in range(12):
+        words = [f"g{g}w{k}" for k in range(100)]
+        for k in range(2 + g % 3):
+            rows.append((10 * g + k, " ".join([*words, f"end{k}"])))
+            many[10 * g + k] = 1 + g % 3
+    got = {r.doc_id: (r.class_id, r.n_links) for r in ngram_join.similarity_classes(docs(spark, rows)).collect()}
+    assert got == {k: (k // 10 * 10, n) for k, n in many.items()}
+
+
 def test_one_row_of_each_class_stays(spark, odd, empty):
     left = ngram_join.one_per_class(odd).collect()
     assert sorted((r.doc_id or 0) for r in left) == [0, 1, 2, 3, 4, 5]
