@@ -353,6 +353,22 @@ def test_hot_host_is_dealt_to_several_arrays(spark, monkeypatch):
     test_host_array_removes_what_pages_share(spark)
 
 
+def test_near_copies_and_shared_passages_stay(spark, monkeypatch):
+    passage = " ".join(f"quoted{k}" for k in range(40))
+    footer = " ".join(f"footer{k}" for k in range(20))
+    articles = [" ".join(f"a{n}w{k}" for k in range(500)) for n in range(8)]
+    texts = {n: a for n, a in enumerate(articles)}
+    texts |= {100 + k: articles[0].replace("a0w250 ", f"edit{k} ") for k in range(7)}  # near copies
+    texts |= {200 + k: f"{passage} {articles[k + 1]}" for k in range(2)}  # two articles share a passage
+    pages = [(k, "http://h/x", f"<p>{t}</p><p>{footer}</p>") for k, t in texts.items()]
+    two = {300: articles[3], 301: articles[3].replace("a3w9 ", "other ")}
+    pages += [(k, "http://two/x", f"<p>{t}</p>") for k, t in two.items()]
+    df = spark.createDataFrame(pages, "page_id long, url string, html string")
+    for chunk in (1 << 20, 1500):
+        monkeypatch.setattr(html_extract, "CHUNK", chunk)
+        assert {r.page_id: r.text for r in html_extract.main_text(df).collect()} == texts | two
+
+
 # --- pipeline ---
 
 
