@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from atlasmill.functions.lineage import materialize
 from atlasmill.operators.graph import rank_rows
 from atlasmill.operators.ranking import by_score, flag_pairs
 
@@ -123,6 +124,17 @@ def resampled(positives: DataFrame, times: int, seed: int = 0) -> DataFrame:
     return rows.withColumn("copies", poisson_weight(seed, "resample", *KEY)).filter("copies > 0")
 
 
+def redrawn(positives: DataFrame, groups: list[str], order: list[Column], times: int, seed: int = 0) -> DataFrame:
+    """Bootstrap samples of each group's positives: for each of ``times`` resamples as many draws with replacement as there are positives. ``copies`` counts the draws of a positive, without a limit; what is not drawn is left out."""
+    placed = rank_within(positives, groups, order, "__i")
+    sized = placed.select(*groups, "__i").join(placed.groupBy(*groups).agg(F.count(F.lit(1)).alias("__n")), groups)
+    # dealt by number, as few small rows become ``times`` as many
+    draws = sized.repartition(int(positives.sparkSession.conf.get("spark.sql.shuffle.partitions")), *groups, "__i").withColumn("resample", F.explode(F.sequence(F.lit(0), F.lit(times - 1))))
+    u = F.conv(F.substring(F.md5(F.concat_ws("|", F.lit(str(seed)), "resample", *groups, "__i")), 1, 8), 16, 10).cast("long")
+    drawn = draws.withColumn("__i", F.shiftright(u * F.col("__n"), 32) + 1).groupBy(*groups, "resample", "__i").agg(F.count(F.lit(1)).alias("copies"))
+    return materialize(placed.join(drawn, [*groups, "__i"]).drop("__i"), "redrawn")
+
+
 def recall_bootstrap(ranked: DataFrame, groups: list[str], n_max: int, points: int, times: int, seed: int = 0, positive: str = "positive") -> DataFrame:
     """(groups, n, mean, std) of the recall curve over folds and resamples stacked."""
     drawn = resampled(ranked.filter(F.col(positive)), times, seed)
@@ -142,12 +154,12 @@ def ranks_against_negatives(matrix: DataFrame, groups: list[str], positive: str
     return ranked.withColumn("rank_negatives", F.col("__r") - among + 1).drop("__r")
 
 
-def hit_curve(positives: DataFrame, groups: list[str], k_max: int, weight: Column | None = None) -> DataFrame:
-    """(groups, k, hit): share of positives with ``rank_negatives`` at most k, for k from 1 to ``k_max``."""
+def hit_curve(positives: DataFrame, groups: list[str], k_max: int, weight: Column | None = None, k_min: int = 1) -> DataFrame:
+    """(groups, k, hit): share of positives with ``rank_negatives`` at most k, for k from ``k_min`` (0 or 1) to ``k_max``."""
     w = F.lit(1) if weight is None else weight
     found = positives.groupBy(*groups, F.col("rank_negatives").alias("i")).agg(F.sum(w).alias("c"))
     totals = found.groupBy(*groups).agg(F.sum("c").alias("__total"))
-    ks = positives.sparkSession.range(1, k_max + 1).select(F.col("id").alias("i"))
+    ks = positives.sparkSession.range(k_min, k_max + 1).select(F.col("id").alias("i"))
     return _cumulate(found, groups, ks).join(totals, groups).select(*groups, F.col("i").alias("k"), (F.col("c") / F.col("__total")).alias("hit"))
 
 

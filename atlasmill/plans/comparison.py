@@ -21,6 +21,34 @@ COPIES = "CAST(('0x' || substr(md5('7|' || resample || '|' || source || '|' || t
 DRAWN = f"drawn AS (SELECT * FROM (SELECT *, CASE WHEN u < 0.36787944 THEN 0 WHEN u < 0.73575888 THEN 1 WHEN u < 0.91969860 THEN 2 WHEN u < 0.98101184 THEN 3 WHEN u < 0.99634015 THEN 4 ELSE 5 END AS copies FROM (SELECT *, {COPIES} AS u FROM known CROSS JOIN range(5) t(resample))) WHERE copies > 0)"
 HITS = f"{MODELS}, h AS (SELECT *, row_number() OVER (PARTITION BY model, target ORDER BY score DESC, source) AS r FROM models), known AS (SELECT *, r - dense_rank() OVER (PARTITION BY model, target ORDER BY score DESC) + 1 AS rn FROM h WHERE positive)"
 
+#: the reference's production values (conf/base/run_comparison/parameters.yml, defaults in evaluations.py)
+TIMES, N_MAX, N_MAX_NEGATIVE, POINTS, FOLD_POINTS, K_MAX = 100, 100_000, 1_000_000, 1000, 100, 200
+#: both models with positives and negatives, ranked in each fold
+FULL = f"{P}, models AS (SELECT 'one' AS model, fold, source, target, score, y FROM pairs UNION ALL SELECT 'two', fold, source, target, abs(score - 0.5), y FROM pairs), r AS (SELECT *, row_number() OVER (PARTITION BY model, fold ORDER BY score DESC, source, target) AS rank FROM models)"
+FULL_HITS = f"{FULL}, h AS (SELECT *, row_number() OVER (PARTITION BY model, fold, target ORDER BY score DESC, source) AS r FROM models), known AS (SELECT *, r - dense_rank() OVER (PARTITION BY model, fold, target ORDER BY score DESC) + 1 AS rn FROM h WHERE y = 1)"
+
+
+def _grid_sql(n_max, points):
+    return f"g AS (SELECT p, 1 + p * {n_max - 1} / {points - 1}.0::DOUBLE AS n FROM range({points}) t(p))"
+
+
+def _within(n_max, points):
+    return f"(rank - 1) * {points - 1} <= p * {n_max - 1}"
+
+
+def _redrawn_sql(order):
+    """``drawn`` from ``known``: as many draws with replacement as a group has rows."""
+    u = "CAST(('0x' || substr(md5('7|' || resample || '|' || model || '|' || fold || '|' || i), 1, 8)) AS BIGINT)"
+    return f"placed AS (SELECT *, row_number() OVER (PARTITION BY model, fold ORDER BY {order}) AS i, count(*) OVER (PARTITION BY model, fold) AS size FROM known), picked AS (SELECT model, fold, resample, {u} * size // 4294967296 + 1 AS i, count(*) AS copies FROM placed CROSS JOIN range({TIMES}) t(resample) GROUP BY ALL), drawn AS (SELECT placed.*, resample, copies FROM placed JOIN picked USING (model, fold, i))"
+
+
+def _recall_sql(y, n_max, points=POINTS):
+    return f"{FULL}, {_grid_sql(n_max, points)} SELECT model, fold, round(n, 6) AS n, round(count(*) FILTER (WHERE {_within(n_max, points)}) / count(*)::DOUBLE, 9) AS recall FROM r CROSS JOIN g WHERE y = {y} GROUP BY ALL"
+
+
+def _recall_bootstrap_sql(y, n_max):
+    return f"{FULL}, {_grid_sql(n_max, POINTS)}, known AS (SELECT * FROM r WHERE y = {y}), {_redrawn_sql('rank')}, c AS (SELECT model, fold, resample, n, sum(CASE WHEN {_within(n_max, POINTS)} THEN copies ELSE 0 END) / sum(copies)::DOUBLE AS v FROM drawn CROSS JOIN g GROUP BY ALL) SELECT model, round(n, 6) AS n, round(avg(v), 6) AS mean, round(stddev_pop(v), 6) AS std FROM c GROUP BY model, n"
+
 
 def _pairs(spark, d):
     return A.pairs(spark, d)
@@ -176,6 +204,65 @@ def cmp_17_random_recall(spark, d):
     return C.random_recall(C.grid(spark, 500, 21), _pairs(spark, d).count()).select(F.round("n", 6).alias("n"), F.round("recall", 9).alias("recall"))
 
 
+def _full_models(spark, d, y=1):
+    p = A.pairs(spark, d).withColumn("positive", F.coalesce(F.col("y") == y, F.lit(False))).select("fold", "source", "target", "score", "positive")
+    return p.withColumn("model", F.lit("one")).unionByName(p.withColumn("model", F.lit("two")).withColumn("score", F.abs(F.col("score") - 0.5)))
+
+
+def _full_ranked(spark, d, y=1):
+    return C.rank_within(_full_models(spark, d, y), ["model", "fold"], R.by_score(), "rank")
+
+
+def _full_recall(spark, d, y, n_max):
+    return C.recall_curve(_full_ranked(spark, d, y), ["model", "fold"], n_max, POINTS).withColumn("n", F.round("n", 6)).withColumn("recall", F.round("recall", 9))
+
+
+def _full_recall_bootstrap(spark, d, y, n_max):
+    drawn = C.redrawn(_full_ranked(spark, d, y).filter("positive"), ["model", "fold"], [F.col("rank")], TIMES, 7)
+    curves = C.recall_curve(drawn, ["model", "fold", "resample"], n_max, POINTS, weight=F.col("copies"))
+    return C.curve_statistics(curves, ["model", "n"], "recall").select("model", *[F.round(c, 6).alias(c) for c in ("n", "mean", "std")])
+
+
+@query(_recall_sql(1, N_MAX))
+def cmp_09_recall_curve_full(spark, d):
+    return _full_recall(spark, d, 1, N_MAX)
+
+
+@query(_recall_sql(0, N_MAX_NEGATIVE))
+def cmp_09_negative_recall_full(spark, d):
+    return _full_recall(spark, d, 0, N_MAX_NEGATIVE)
+
+
+@query(_recall_bootstrap_sql(1, N_MAX))
+def cmp_10_recall_bootstrap_full(spark, d):
+    return _full_recall_bootstrap(spark, d, 1, N_MAX)
+
+
+@query(_recall_bootstrap_sql(0, N_MAX_NEGATIVE))
+def cmp_10_negative_bootstrap_full(spark, d):
+    return _full_recall_bootstrap(spark, d, 0, N_MAX_NEGATIVE)
+
+
+@query(f"{FULL_HITS} SELECT model, fold, k, round(count(*) FILTER (WHERE rn <= k) / count(*)::DOUBLE, 9) AS hit FROM known CROSS JOIN range({K_MAX + 1}) t(k) GROUP BY ALL")
+def cmp_11_hit_curve_full(spark, d):
+    pos = C.ranks_against_negatives(_full_models(spark, d), ["model", "fold", "target"])
+    return C.hit_curve(pos, ["model", "fold"], K_MAX, k_min=0).withColumn("hit", F.round("hit", 9))
+
+
+@query(f"{FULL_HITS}, {_redrawn_sql('target, source')}, c AS (SELECT model, fold, resample, k, sum(CASE WHEN rn <= k THEN copies ELSE 0 END) / sum(copies)::DOUBLE AS v FROM drawn CROSS JOIN range({K_MAX + 1}) t(k) GROUP BY ALL) SELECT model, k, round(avg(v), 6) AS mean, round(stddev_pop(v), 6) AS std FROM c GROUP BY ALL")
+def cmp_12_hit_bootstrap_full(spark, d):
+    pos = C.ranks_against_negatives(_full_models(spark, d), ["model", "fold", "target"])
+    drawn = C.redrawn(pos, ["model", "fold"], [F.col("target"), F.col("source")], TIMES, 7)
+    curves = C.hit_curve(drawn, ["model", "fold", "resample"], K_MAX, F.col("copies"), k_min=0)
+    return C.curve_statistics(curves, ["model", "k"], "hit").select("model", "k", F.round("mean", 6).alias("mean"), F.round("std", 6).alias("std"))
+
+
+@query(f"{FULL}, {_grid_sql(N_MAX, FOLD_POINTS)}, c AS (SELECT model, fold, n, count(*) FILTER (WHERE {_within(N_MAX, FOLD_POINTS)}) / count(*)::DOUBLE AS v FROM r CROSS JOIN g WHERE y = 1 GROUP BY ALL) SELECT fold, round(n, 6) AS n, round(max(v) FILTER (WHERE model = 'one'), 9) AS one, round(max(v) FILTER (WHERE model = 'two'), 9) AS two FROM c GROUP BY fold, n")
+def cmp_16_recall_by_fold_full(spark, d):
+    wide = C.recall_curve(_full_ranked(spark, d), ["model", "fold"], N_MAX, FOLD_POINTS).groupBy("fold", F.round("n", 6).alias("n")).pivot("model", ["one", "two"]).agg(F.max("recall"))
+    return wide.withColumn("one", F.round("one", 9)).withColumn("two", F.round("two", 9))
+
+
 VECTORS = "v AS (SELECT 'SUPP:' || s_suppkey AS id, [(s_suppkey % 7) / 7.0::DOUBLE, (s_suppkey % 5) / 5.0::DOUBLE] AS e FROM supplier UNION ALL SELECT 'PART:' || p_partkey, [(p_partkey % 7) / 7.0::DOUBLE, (p_partkey % 5) / 5.0::DOUBLE] FROM part)"
 WEIGHTS = [[0.5, -1.0, 0.25, 2.0], [1.5, 0.5, -0.75, 0.0], [0.0, 0.25, 1.0, -0.5]]
 

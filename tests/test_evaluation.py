@@ -1,12 +1,16 @@
 """Statistics of rankings against closed forms, and the errors that matrices raise."""
 
 import math
+from collections import Counter
 
 import pytest
+from pyspark.sql import functions as F
 
+from atlasmill import registry
 from atlasmill.operators import comparison as C
 from atlasmill.operators import evaluation as E
 from atlasmill.operators import matrix as M
+from atlasmill.plans import comparison as plans
 
 PAIRS = "source string, target string, score double"
 
@@ -59,3 +63,23 @@ def test_groups_are_ranked_apart(spark):
 
     got = {(r["source"], r["target"]): r["n"] for r in C.rank_within(df, ["source"], [F.desc("score")], "n").collect()}
     assert got[("g", "t49")] == 1 and got[("g", "t0")] == 50 and got[("h", "t")] == 1
+
+
+def test_redrawn_is_a_bootstrap_without_a_limit(spark):
+    rows = [(g, "s", f"t{k}", k + 1) for g, n in (("a", 1), ("b", 40)) for k in range(n)]
+    known = spark.createDataFrame(rows, "model string, source string, target string, rank long")
+    got = C.redrawn(known, ["model"], [F.col("rank")], 400, 7).collect()
+    drawn = Counter()
+    for r in got:
+        drawn[r.model, r.resample] += r.copies
+    assert drawn == {(g, k): n for g, n in (("a", 1), ("b", 40)) for k in range(400)}
+    assert max(r.copies for r in got) > 5
+    assert abs(sum(r.copies * r["rank"] for r in got if r.model == "b") / 16000 - 20.5) < 0.4
+
+
+def test_full_comparison_has_the_production_values(spark):
+    assert (plans.TIMES, plans.N_MAX, plans.N_MAX_NEGATIVE, plans.POINTS, plans.FOLD_POINTS, plans.K_MAX) == (100, 100_000, 1_000_000, 1000, 100, 200)
+    d, found = "/root/testdata/sf0.001", registry.queries()
+    for name, x, points, last in (("cmp_09_recall_curve_full", "n", 1000, 1e5), ("cmp_09_negative_recall_full", "n", 1000, 1e6), ("cmp_10_recall_bootstrap_full", "n", 1000, 1e5), ("cmp_10_negative_bootstrap_full", "n", 1000, 1e6), ("cmp_11_hit_curve_full", "k", 201, 200), ("cmp_12_hit_bootstrap_full", "k", 201, 200), ("cmp_16_recall_by_fold_full", "n", 100, 1e5)):
+        row = found[name](spark, d).agg(F.count_distinct(x), F.max(x)).first()
+        assert tuple(row) == (points, last), name
