@@ -172,3 +172,59 @@ def hit_bootstrap(positives: DataFrame, groups: list[str], k_max: int, times: in
 def random_recall(points: DataFrame, rows: int) -> DataFrame:
     """(n, recall) of a random classifier over a matrix of ``rows`` pairs."""
     return points.select("n", F.least(F.lit(1.0), F.col("n") / F.lit(float(max(1, rows)))).alias("recall"))
+
+
+def _along(found: DataFrame, keys: DataFrame, points: DataFrame, value: str) -> DataFrame:
+    """Running sums of ``value`` over every grid point ``i`` of every key, keys without a row of ``found`` included."""
+    groups = keys.columns
+    along = W.partitionBy(*groups).orderBy("i").rowsBetween(W.unboundedPreceding, W.currentRow)
+    full = keys.crossJoin(F.broadcast(points)).join(found, [*groups, "i"], "left")
+    return full.withColumn(value, F.coalesce(F.sum(value).over(along), F.lit(0)))
+
+
+def commonality_curve(ranked: DataFrame, n_max: int, points: int) -> DataFrame:
+    """(one, other, fold, n, commonality) of all pairs of models in each fold: the share of the first n pairs of both, on ``points`` whole n from 1 to ``n_max``.
+
+    ``ranked`` has model, fold, source, target and ``rank`` from 1. The rankings are joined once; a common pair counts from the greater rank on.
+    """
+    rows = ranked.filter(F.col("rank") <= n_max).select("model", "fold", *KEY, "rank")
+    both = rows.withColumnRenamed("model", "one").join(rows.select(F.col("model").alias("other"), "fold", *KEY, F.col("rank").alias("__rank")), ["fold", *KEY]).filter("one < other")
+    first = F.greatest(F.lit(0), F.ceil((2 * F.greatest("rank", "__rank") - 3) * (points - 1) / F.lit(2 * (n_max - 1)))).cast("long")
+    found = both.groupBy("one", "other", "fold", first.alias("i")).agg(F.count(F.lit(1)).alias("c"))
+    models = ranked.select("model", "fold").distinct()
+    keys = models.withColumnRenamed("model", "one").join(models.withColumnRenamed("model", "other"), "fold").filter("one < other").select("one", "other", "fold")
+    whole = grid(ranked.sparkSession, n_max, points).withColumn("n", F.round("n").cast("long"))
+    return _along(found, keys, whole, "c").select("one", "other", "fold", "n", (F.col("c") / F.col("n")).alias("commonality"))
+
+
+def entropy_curve(ranked: DataFrame, entity: str, n_max: int, points: int) -> DataFrame:
+    """(model, fold, n, entropy) of the entities among the first n pairs, to the base of the number of all, on ``points`` whole n from 0 to ``n_max``; 0 at n = 0.
+
+    The k-th pair of an entity adds k ln k - (k - 1) ln(k - 1) to the sum that gives the entropy, so the curve costs one pass.
+    """
+    groups = ["model", "fold"]
+    total = ranked.groupBy(*groups).agg(F.count_distinct(entity).alias("__all"))
+    k = F.row_number().over(W.partitionBy(*groups, entity).orderBy("rank"))
+    rows = ranked.filter(F.col("rank") <= n_max).select(*groups, "rank", entity).withColumn("__k", k)
+    adds = F.col("__k") * F.log(F.col("__k").cast("double")) - F.when(F.col("__k") > 1, (F.col("__k") - 1) * F.log((F.col("__k") - 1).cast("double"))).otherwise(0.0)
+    first = F.ceil((2 * F.col("rank") - 1) * (points - 1) / F.lit(2 * n_max)).cast("long")
+    found = rows.groupBy(*groups, first.alias("i")).agg(F.count(F.lit(1)).alias("c"), F.sum(adds).alias("x"))
+    whole = entropy_grid(ranked.sparkSession, n_max, points)
+    keys = total.select(*groups)
+    curve = _along(found.drop("x"), keys, whole, "c").join(_along(found.drop("c"), keys, whole.drop("n"), "x"), [*groups, "i"]).join(total, groups)
+    nats = F.when(F.col("c") > 0, F.log(F.col("c").cast("double")) - F.col("x") / F.col("c")).otherwise(0.0)
+    return curve.select(*groups, "n", (nats / F.log(F.greatest(F.lit(2), "__all").cast("double"))).alias("entropy"))
+
+
+def entropy_grid(spark: SparkSession, n_max: int, points: int) -> DataFrame:
+    """(i, n): ``points`` >= 2 steps from 0 to ``n_max``, rounded."""
+    return spark.range(points).select(F.col("id").alias("i"), F.round(F.col("id") * F.lit(n_max) / F.lit(float(points - 1))).cast("long").alias("n"))
+
+
+def maximal_entropy(points: DataFrame, entities: int) -> DataFrame:
+    """(n, entropy): the most that n pairs over ``entities`` can have, to their number's base; 0 at n = 0."""
+    each, more = F.floor(F.col("n") / entities), F.col("n") % entities
+    log = lambda p: F.log(p) / F.log(F.lit(float(max(2, entities))))
+    high, low = (each + 1) / F.col("n"), each / F.col("n")
+    out = -more * high * log(high) - F.when(each > 0, (entities - more) * low * log(low)).otherwise(0.0)
+    return points.select("n", F.when(F.col("n") > 0, out).otherwise(0.0).alias("entropy"))

@@ -263,6 +263,36 @@ def cmp_16_recall_by_fold_full(spark, d):
     return wide.withColumn("one", F.round("one", 9)).withColumn("two", F.round("two", 9))
 
 
+#: three models, for all pairs of models
+THREE = f"{P}, models AS (SELECT 'one' AS model, fold, source, target, score FROM pairs UNION ALL SELECT 'two', fold, source, target, abs(score - 0.5) FROM pairs UNION ALL SELECT 'three', fold, source, target, -abs(score - 0.75) FROM pairs), r AS (SELECT *, row_number() OVER (PARTITION BY model, fold ORDER BY score DESC, source, target) AS rank FROM models)"
+
+
+def _three_ranked(spark, d):
+    p = A.pairs(spark, d).select("fold", "source", "target", "score")
+    scores = {"one": F.col("score"), "two": F.abs(F.col("score") - 0.5), "three": -F.abs(F.col("score") - 0.75)}
+    return C.rank_within(p.select("fold", "source", "target", F.explode(F.array(*[F.struct(F.lit(m).alias("model"), s.alias("score")) for m, s in scores.items()])).alias("m")).select("fold", "source", "target", "m.*"), ["model", "fold"], R.by_score(), "rank")
+
+
+@query(f"{THREE}, g AS (SELECT CAST(round(p * {N_MAX} / {POINTS - 1}.0::DOUBLE) AS BIGINT) AS n FROM range({POINTS}) t(p)), e AS (SELECT model, fold, 'source' AS entity, source AS id, rank FROM r UNION ALL SELECT model, fold, 'target', target, rank FROM r), a AS (SELECT model, fold, entity, count(DISTINCT id) AS size FROM e GROUP BY ALL), k AS (SELECT model, fold, entity, n, id, count(*) AS c FROM e JOIN g ON rank <= n GROUP BY ALL), s AS (SELECT *, c / sum(c) OVER (PARTITION BY model, fold, entity, n) AS q FROM k), h AS (SELECT model, fold, entity, n, sum(-q * ln(q)) AS h FROM s GROUP BY ALL), v AS (SELECT model, entity, n, coalesce(h, 0) / ln(greatest(2, size)) AS v FROM a CROSS JOIN g LEFT JOIN h USING (model, fold, entity, n)) SELECT model, entity, n, round(avg(v), 6) + 0 AS mean, round(stddev_pop(v), 6) AS std FROM v GROUP BY ALL")
+def cmp_13_entropy_full(spark, d):
+    ranked = _three_ranked(spark, d)
+    curves = [C.entropy_curve(ranked, c, N_MAX, POINTS).withColumn("entity", F.lit(c)) for c in ("source", "target")]
+    out = C.curve_statistics(curves[0].unionByName(curves[1]), ["model", "entity", "n"], "entropy")
+    return out.select("model", "entity", "n", (F.round("mean", 6) + 0).alias("mean"), F.round("std", 6).alias("std"))
+
+
+@query(f"{P}, g AS (SELECT CAST(round(p * {N_MAX} / {POINTS - 1}.0::DOUBLE) AS BIGINT) AS n FROM range({POINTS}) t(p)), a AS (SELECT count(DISTINCT source) AS size FROM pairs WHERE fold = 0), q AS (SELECT n, size, n // size + CASE WHEN j < n % size THEN 1 ELSE 0 END AS c FROM g CROSS JOIN a CROSS JOIN range(100000) t(j) WHERE j < size) SELECT n, round(coalesce(sum(CASE WHEN c > 0 THEN -(c / n) * ln(c / n) END) / ln(greatest(2, max(size))), 0), 6) + 0 AS entropy FROM q GROUP BY n")
+def cmp_13_maximal_entropy_full(spark, d):
+    size = A.pairs(spark, d).filter("fold = 0").select("source").distinct().count()
+    return C.maximal_entropy(C.entropy_grid(spark, N_MAX, POINTS), size).select("n", (F.round("entropy", 6) + 0).alias("entropy"))
+
+
+@query(f"{THREE}, g AS (SELECT CAST(round(1 + p * {N_MAX_NEGATIVE - 1} / {POINTS - 1}.0::DOUBLE) AS BIGINT) AS n FROM range({POINTS}) t(p)), j AS (SELECT a.model AS one, b.model AS other, a.fold AS fold, greatest(a.rank, b.rank) AS m FROM r a JOIN r b ON a.fold = b.fold AND a.source = b.source AND a.target = b.target AND a.model < b.model), v AS (SELECT one, other, fold, n, count(*) FILTER (WHERE m <= n) / n::DOUBLE AS v FROM j CROSS JOIN g GROUP BY one, other, fold, n) SELECT one, other, n, round(avg(v), 6) AS mean, round(stddev_pop(v), 6) AS std FROM v GROUP BY ALL")
+def cmp_14_commonality_full(spark, d):
+    curves = C.commonality_curve(_three_ranked(spark, d), N_MAX_NEGATIVE, POINTS)
+    return C.curve_statistics(curves, ["one", "other", "n"], "commonality").select("one", "other", "n", F.round("mean", 6).alias("mean"), F.round("std", 6).alias("std"))
+
+
 VECTORS = "v AS (SELECT 'SUPP:' || s_suppkey AS id, [(s_suppkey % 7) / 7.0::DOUBLE, (s_suppkey % 5) / 5.0::DOUBLE] AS e FROM supplier UNION ALL SELECT 'PART:' || p_partkey, [(p_partkey % 7) / 7.0::DOUBLE, (p_partkey % 5) / 5.0::DOUBLE] FROM part)"
 WEIGHTS = [[0.5, -1.0, 0.25, 2.0], [1.5, 0.5, -0.75, 0.0], [0.0, 0.25, 1.0, -0.5]]
 

@@ -83,3 +83,20 @@ def test_full_comparison_has_the_production_values(spark):
     for name, x, points, last in (("cmp_09_recall_curve_full", "n", 1000, 1e5), ("cmp_09_negative_recall_full", "n", 1000, 1e6), ("cmp_10_recall_bootstrap_full", "n", 1000, 1e5), ("cmp_10_negative_bootstrap_full", "n", 1000, 1e6), ("cmp_11_hit_curve_full", "k", 201, 200), ("cmp_12_hit_bootstrap_full", "k", 201, 200), ("cmp_16_recall_by_fold_full", "n", 100, 1e5)):
         row = found[name](spark, d).agg(F.count_distinct(x), F.max(x)).first()
         assert tuple(row) == (points, last), name
+
+
+def test_commonality_and_entropy_curves(spark):
+    lists = {"a": "pqrstu", "b": "qpturs", "c": "vwxyz"}
+    rows = [(m, 0, t + "12"[k % 2], t, k + 1) for m, ts in lists.items() for k, t in enumerate(ts)]
+    rows = [(m, f, t, t, k) for m, f, _, t, k in rows]
+    ranked = spark.createDataFrame(rows, "model string, fold long, source string, target string, rank long")
+    got = {(r.one, r.other, r.n): r.commonality for r in C.commonality_curve(ranked, 9, 5).collect()}
+    pairs = [(x, y) for x in lists for y in lists if x < y]
+    assert got == {(x, y, n): len(set(lists[x][:n]) & set(lists[y][:n])) / n for x, y in pairs for n in (1, 3, 5, 7, 9)}
+    seen = "ppqprqs"
+    once = spark.createDataFrame([("m", 0, t, str(k), k + 1) for k, t in enumerate(seen)], "model string, fold long, source string, target string, rank long")
+    for r in C.entropy_curve(once, "source", 8, 5).collect():
+        part = seen[: r.n]
+        assert math.isclose(r.entropy, sum(-c / len(part) * math.log(c / len(part), 4) for c in Counter(part).values()), abs_tol=1e-9)
+    most = [r.entropy for r in C.maximal_entropy(C.entropy_grid(spark, 8, 5), 4).orderBy("n").collect()]
+    assert [round(x, 6) for x in most] == [0, 0.5, 1, round(-4 / 6 * math.log(1 / 3, 4) - 2 / 6 * math.log(1 / 6, 4), 6), 1]
