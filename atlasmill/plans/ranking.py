@@ -47,6 +47,15 @@ def mat_09_top_pairs(spark, d):
     return _test(spark, d).orderBy(*R.by_score()).limit(50).select("source", "target", "score")
 
 
+#: pairs reported by the reference's conf/base (conf/sample has 100)
+N_REPORTING = 10_000
+
+
+@query(f"{RANKED} SELECT source, target, score FROM ranked WHERE rank <= {N_REPORTING}")
+def mat_09_top_pairs_full(spark, d):
+    return _test(spark, d).orderBy(*R.by_score()).limit(N_REPORTING).select("source", "target", "score")
+
+
 @query(f"{RANKED} SELECT source, round(avg(score), 6) AS mean_score, max(score) AS max_score, count(*) FILTER (WHERE rank <= 10) AS top_10, count(*) FILTER (WHERE rank <= 100) AS top_100, count(*) FILTER (WHERE rank <= 1000) AS top_1000 FROM ranked GROUP BY source")
 def mat_11_frequent_table(spark, d):
     return R.frequent_table(R.global_rank(_test(spark, d)), "source", TOPS).withColumn("mean_score", F.round("mean_score", 6))

@@ -105,6 +105,23 @@ def dsh_14_failed_examples(spark, d):
     return _success(spark, d).filter("not success").withColumn("r", r).filter("r <= 3").select("kg", "prefix", "id")
 
 
+#: the reference's production values: services/kg_dashboard/Makefile and component_nodes.sql
+MAX_ERRORS, MAX_EXAMPLES, MAX_MINOR = 1000, 100, 50
+
+
+@query(f"{SUCCESS}, {LISTED} (SELECT 'unnormalized' AS reason, id FROM s WHERE NOT success ORDER BY id LIMIT {MAX_ERRORS}) UNION ALL (SELECT 'missing', id FROM listed WHERE id NOT IN (SELECT id FROM nodes) ORDER BY id LIMIT {MAX_ERRORS})")
+def dsh_13_errors_full(spark, d):
+    failed = _success(spark, d).filter("not success").select("id").orderBy("id").limit(MAX_ERRORS).withColumn("reason", F.lit("unnormalized"))
+    absent = _listed(spark, d).join(A.nodes(spark, d), "id", "left_anti").orderBy("id").limit(MAX_ERRORS).withColumn("reason", F.lit("missing"))
+    return failed.unionByName(absent)
+
+
+@query(f"{SUCCESS} SELECT kg, prefix, id FROM (SELECT *, row_number() OVER (PARTITION BY kg, prefix ORDER BY id) AS r FROM s WHERE NOT success) WHERE r <= {MAX_EXAMPLES}")
+def dsh_14_failed_examples_full(spark, d):
+    r = F.row_number().over(W.partitionBy("kg", "prefix").orderBy("id"))
+    return _success(spark, d).filter("not success").withColumn("r", r).filter(F.col("r") <= MAX_EXAMPLES).select("kg", "prefix", "id")
+
+
 @query(f"{KG} SELECT primary_knowledge_source AS source, upstream AS target, count(*) AS value FROM edges GROUP BY ALL")
 def dsh_16_source_flows(spark, d):
     return A.edges(spark, d).groupBy(F.col("primary_knowledge_source").alias("source"), F.col("upstream").alias("target")).agg(F.count(F.lit(1)).alias("value"))
@@ -134,6 +151,18 @@ def dsh_20_shown_components(spark, d):
     return c.join(chosen, "component_rank", "left_semi").groupBy("component_rank").agg(_n())
 
 
+@query(f"{STARS}, {LISTED}, chosen AS (SELECT DISTINCT component_rank FROM comps WHERE component_rank BETWEEN 1 AND {MAX_MINOR} UNION SELECT component_rank FROM comps JOIN listed USING (id) WHERE component_rank > 0) SELECT component_rank, count(*) AS n FROM comps WHERE component_rank IN (SELECT component_rank FROM chosen) GROUP BY 1")
+def dsh_20_shown_components_full(spark, d):
+    return shown_components(_components(spark, d), _listed(spark, d), MAX_MINOR)
+
+
+def shown_components(components, core, minor):
+    """(component_rank, n) of the ``minor`` largest components besides the largest, and of all others besides it with a core entity."""
+    c = components.filter("component_rank > 0")
+    chosen = c.filter(F.col("component_rank") <= minor).select("component_rank").union(c.join(core, "id", "left_semi").select("component_rank")).distinct()
+    return c.join(chosen, "component_rank", "left_semi").groupBy("component_rank").agg(_n())
+
+
 @query(f"{STARS} SELECT component_rank, string_agg(DISTINCT upstream, ',' ORDER BY upstream) AS sources, count(*) AS n FROM edges JOIN comps ON subject = id WHERE predicate = 'biolink:located_in' AND component_rank > 0 GROUP BY 1")
 def dsh_21_minor_sources(spark, d):
     minor = _components(spark, d).filter("component_rank > 0").select(F.col("id").alias("subject"), "component_rank")
