@@ -78,3 +78,31 @@ def read_jdbc(spark: SparkSession, url: str, table: str, **options) -> DataFrame
 
 def write_partitioned(df: DataFrame, path: str, by: str = "api") -> None:
     df.write.mode("overwrite").partitionBy(by).parquet(path)
+
+
+def graph_nodes(nodes: DataFrame) -> DataFrame:
+    """Nodes for a graph store: ``label`` (the category) and the names and values of string and of array properties, in one order."""
+    strings, arrays = ["name", "category", "description"], ["upstream_data_source", "publications"]
+    out = nodes.select("id", *strings, *arrays).withColumn("label", F.col("category"))
+    for prefix, names in (("", strings), ("array_", arrays)):
+        out = out.withColumn(f"{prefix}properties", F.create_map(*[x for n in names for x in (F.lit(n), F.col(n))]))
+        out = out.withColumn(f"{prefix}property_keys", F.map_keys(f"{prefix}properties")).withColumn(f"{prefix}property_values", F.map_values(f"{prefix}properties"))
+    return out
+
+
+def graph_edges(edges: DataFrame) -> DataFrame:
+    """Edges for a graph store: ``label`` is the predicate without its prefix. Whoever inserts them takes one partition if the store locks nodes."""
+    columns = ["subject", "predicate", "object", "upstream_data_source", "publications", "aggregator_knowledge_source"]
+    return edges.select(*columns).withColumn("label", F.get(F.split("predicate", ":", 2), F.lit(1)))
+
+
+def live_rows(df: DataFrame, unique: list[str]) -> DataFrame:
+    """The rows that are not ``deleted``; nulls in ``deleted`` or, among what is left, null or repeated values of ``unique`` raise."""
+    if not df.filter("deleted is null").isEmpty():
+        raise ValueError("deleted has nulls")
+    live = df.filter("not deleted")
+    for c in unique:
+        bad = live.groupBy(c).agg(F.count(F.lit(1)).alias("__n")).filter(F.col(c).isNull() | (F.col("__n") > 1)).limit(5).collect()
+        if bad:
+            raise ValueError(f"{c} is null or not unique: {[r[0] for r in bad]}")
+    return live
