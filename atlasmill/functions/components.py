@@ -1,16 +1,23 @@
 """Connected components by alternating large-star and small-star contraction.
 
 Every round is two grouped minima and two joins over the edge list; nothing is gathered on the
-driver but one row of counters. The rounds stop when the edge set no longer changes; the number of
-rounds grows with the logarithm of the longest path.
+driver but one row of counters. The neighbours of a node are dealt to salts, so that a hub with a
+third of all edges is spread: minima are taken a salt first, and the minimum of a node's salts goes
+back to each of them. The rounds stop when the edge set no longer changes; the number of rounds
+grows with the logarithm of the longest path. Only the last round's files are kept.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from atlasmill.functions.lineage import materialize
+from atlasmill.functions.lineage import remove, write_shared
+from atlasmill.functions.ranks import salts_for
+
+#: Salts of a node's neighbours at least.
+LEAST_SALTS = 32
 
 
 def _signature(edges: DataFrame) -> tuple:
@@ -21,18 +28,24 @@ def _signature(edges: DataFrame) -> tuple:
     return row["n"], row["h"]
 
 
-def _large_star(edges: DataFrame) -> DataFrame:
+def _with_low(edges: DataFrame, salts: int) -> DataFrame:
+    """Edges with ``m``, the smallest ``v`` of their ``u``: at most ``salts`` rows of a node meet in one task besides its own share."""
+    salted = edges.withColumn("s", F.pmod(F.xxhash64("v"), F.lit(salts)).cast("int"))
+    parts = salted.groupBy("u", "s").agg(F.min("v").alias("m"))
+    low = parts.select("u", "s", F.min("m").over(W.partitionBy("u")).alias("m"))
+    return salted.join(low, ["u", "s"]).drop("s")
+
+
+def _large_star(edges: DataFrame, salts: int) -> DataFrame:
     """Link every neighbour larger than ``u`` to the smallest node around ``u``."""
     both = edges.union(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-    low = both.groupBy("u").agg(F.least(F.col("u"), F.min("v")).alias("m"))
-    return both.filter("v > u").join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
+    return _with_low(both, salts).filter("v > u").select(F.col("v").alias("u"), F.least("u", "m").alias("v")).distinct()
 
 
-def _small_star(edges: DataFrame) -> DataFrame:
+def _small_star(edges: DataFrame, salts: int) -> DataFrame:
     """Link ``u`` and its smaller neighbours to the smallest of them (edges point downwards)."""
-    low = edges.groupBy("u").agg(F.min("v").alias("m"))
-    linked = edges.join(low, "u").filter("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
-    return linked.union(low.select("u", F.col("m").alias("v"))).distinct()
+    known = _with_low(edges, salts)
+    return known.select(F.when(F.col("v") == F.col("m"), F.col("u")).otherwise(F.col("v")).alias("u"), F.col("m").alias("v")).union(known.select("u", F.col("m").alias("v"))).distinct()
 
 
 def connected_components(edges: DataFrame, u: str = "u", v: str = "v", name: str = "components", max_rounds: int = 60) -> DataFrame:
@@ -42,16 +55,19 @@ def connected_components(edges: DataFrame, u: str = "u", v: str = "v", name: str
     An empty edge list gives an empty result.
     """
     pairs = edges.select(F.col(u).alias("u"), F.col(v).alias("v")).filter("u <> v")
-    now = materialize(pairs.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct(), name)
+    now, path = write_shared(pairs.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct(), name)
     seen = _signature(now)
     for _ in range(max_rounds):
         if not seen[0]:
             break
-        now = materialize(_small_star(_large_star(now)), name)
-        after = _signature(now)
-        if after == seen:
+        salts = salts_for(2 * seen[0], least=LEAST_SALTS)
+        after, written = write_shared(_small_star(_large_star(now, salts), salts), name)
+        remove(path)
+        now, path = after, written
+        again = _signature(now)
+        if again == seen:
             break
-        seen = after
+        seen = again
     else:
         raise RuntimeError(f"components did not settle in {max_rounds} rounds")
     nodes = now.select(F.col("u").alias("node"), F.col("v").alias("component"))
