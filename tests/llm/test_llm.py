@@ -13,6 +13,7 @@ from atlasmill.llm import fst_tokens, html_extract, langid, mixing, ngram_join,
 from atlasmill.llm.queries import tokenizer_file
 
 DOCS = "doc_id long, text string, lang string, source string, n_chars long"
+DOCS_COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
 
 def docs(spark, rows):
@@ -203,6 +204,59 @@ def test_one_row_of_each_class_stays(spark, odd, empty):
     assert ngram_join.similarity_classes(empty).count() == 0
 
 
+def test_unrelated_texts_with_null_or_equal_ids_all_stay(spark):
+    word = lambda k: " ".join(f"t{k}w{j}" for j in range(12))
+    rows = [(None, word(k)) for k in range(5)] + [(7, word(10)), (7, word(11)), (1, word(12))]
+    copies = [(None, word(0)), (7, word(10)), (9, word(3))]
+    left = ngram_join.one_per_class(docs(spark, rows + copies))
+    assert left.columns == DOCS_COLUMNS and sorted(r.text for r in left.collect()) == sorted(t for _, t in rows)
+
+
+def near_copies(words, changed, rng):
+    out = list(words)
+    for at in rng.sample(range(0, len(words), 5), changed):
+        out[at] = f"z{rng.randrange(10**9)}"
+    return out
+
+
+@pytest.mark.parametrize("tile", [4, 256])
+def test_components_split_into_buckets_lose_and_repeat_no_link(spark, monkeypatch, tile):
+    """Chains of texts, each like the next only, and one dense group: both ways of verification against brute force."""
+    monkeypatch.setattr(ngram_join, "TILE", tile)
+    rng = random.Random(51)
+    rows, now = [], [f"w{k}" for k in range(200)]
+    for k in range(400):
+        rows.append((k, " ".join(now)))
+        now = near_copies(now, 3, rng)
+    base = [f"v{k}" for k in range(120)]
+    rows += [(1000 + k, " ".join(near_copies(base, 1, rng))) for k in range(25)]
+    sets = {k: {tuple(t.split()[i : i + 5]) for i in range(len(t.split()) - 4)} for k, t in rows}
+    links = {a: sum(a != b and 5 * len(sets[a] & sets[b]) >= 4 * len(sets[a] | sets[b]) for b in sets) for a in sets}
+    found = ngram_join.similarity_classes(docs(spark, rows))
+    assert {r.doc_id: (r.class_id, r.n_links) for r in found.collect()} == {k: (k // 1000 * 1000, n) for k, n in links.items()}
+    classes = ngram_join.signatures(docs(spark, rows), "doc_id", "text", 5, *ngram_join.choose_bands()).withColumn("copies", F.lit(1))
+    members = ngram_join.buckets_of(classes)
+    groups = ngram_join.connected_components(members.filter("node <> least"), "node", "least").withColumnRenamed("component", "group")
+    ways = {r.band < 0 for r in ngram_join.units(members, groups, classes).select("band").distinct().collect()}
+    assert ways == {True, False} if tile == 4 else True in ways
+
+
+def test_links_lost_among_many_texts(spark):
+    """100,000 texts, 2,000 planted pairs just above the threshold: links lost are counted."""
+    rng = random.Random(52)
+    rows, linked = [], 0
+    for k in range(98_000):
+        rows.append((k, " ".join(f"{rng.randrange(5000)}" for _ in range(26))))
+    for k in range(2000):
+        words = rows[k * 40][1].split()
+        other = [*words[:-2], f"x{k}", f"y{k}"] if k % 2 else [f"x{k}", *words[1:]]
+        a, b = ({tuple(w[i : i + 5]) for i in range(len(w) - 4)} for w in (words, other))
+        linked += 5 * len(a & b) >= 4 * len(a | b)
+        rows.append((100_000 + k, " ".join(other)))
+    got = ngram_join.similarity_classes(spark.createDataFrame(rows, "doc_id long, text string").repartition(8)).agg(F.sum("n_links")).first()[0]
+    assert linked == 2000 and got >= 2 * linked * 0.999
+
+
 def test_bands_reach_the_recall():
     bands, rows = ngram_join.choose_bands()
     assert 1 - (1 - 0.8**rows) ** bands >= ngram_join.RECALL
