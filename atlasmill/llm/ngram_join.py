@@ -86,8 +86,8 @@ def _power_tables(n: int) -> list[np.ndarray]:
     return _powers
 
 
-def gram_hashes(texts: list[bytes | None], n: int = N) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes of all n-grams of all texts, one text after the other, and the start of each text's (one more at the end)."""
+def word_hashes(texts: list[bytes | None]) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of all words of all texts, one text after the other, and the start of each text's (one more at the end)."""
     texts = [t or b"" for t in texts]
     lengths = np.array([len(t) + 1 for t in texts], np.int64)
     begins = np.concatenate([[0], np.cumsum(lengths)])
@@ -99,15 +99,27 @@ def gram_hashes(texts: list[bytes | None], n: int = N) -> tuple[np.ndarray, np.n
     with np.errstate(over="ignore"):
         run = np.concatenate([np.zeros(1, np.uint64), np.cumsum((buf.astype(np.uint64) + np.uint64(1)) * power[: len(buf)], dtype=np.uint64)])
         words = mix((run[behind] - run[first]) * inverse[first] + (behind - first).astype(np.uint64))
-        at = np.searchsorted(first, begins)
-        many = np.diff(at)
-        grams_of = np.where(many >= n, many - n + 1, np.minimum(many, 1))
-        out_at = np.concatenate([[0], np.cumsum(grams_of)])
-        rolled = np.zeros(len(words), np.uint64)
+    return words, np.searchsorted(first, begins)
+
+
+def rolled(words: np.ndarray, n: int) -> np.ndarray:
+    """The code of the ``n`` words from each word on; the last ``n - 1`` codes are of fewer words."""
+    out = np.zeros(len(words), np.uint64)
+    with np.errstate(over="ignore"):
         for k in range(n):
-            rolled[: max(0, len(words) - k)] = rolled[: max(0, len(words) - k)] * _P + words[k:]
-        where = np.arange(out_at[-1]) - np.repeat(out_at[:-1] - at[:-1], grams_of)
-        grams = rolled[where] if len(where) else np.zeros(0, np.uint64)
+            out[: max(0, len(words) - k)] = out[: max(0, len(words) - k)] * _P + words[k:]
+    return out
+
+
+def gram_hashes(texts: list[bytes | None], n: int = N) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of all n-grams of all texts, one text after the other, and the start of each text's (one more at the end)."""
+    words, at = word_hashes(texts)
+    many = np.diff(at)
+    grams_of = np.where(many >= n, many - n + 1, np.minimum(many, 1))
+    out_at = np.concatenate([[0], np.cumsum(grams_of)])
+    where = np.arange(out_at[-1]) - np.repeat(out_at[:-1] - at[:-1], grams_of)
+    grams = rolled(words, n)[where] if len(where) else np.zeros(0, np.uint64)
+    with np.errstate(over="ignore"):
         for d in np.flatnonzero((many > 0) & (many < n)):
             code = np.uint64(many[d])
             for w in words[at[d] : at[d + 1]]:

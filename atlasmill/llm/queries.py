@@ -57,7 +57,7 @@ def op9_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return html_extract.main_text(table(spark, sf_dir, "pages"))
+    return html_extract.main_text(table(spark, sf_dir, "pages")).select("page_id", "url", "text", "n_chars", "n_repeated")
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

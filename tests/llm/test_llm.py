@@ -384,43 +384,116 @@ def test_packing_round_trip(spark, odd, empty):
 # --- 10 ---
 
 
+def by_markup(page):
+    """What markup alone leaves of a page."""
+    texts, keep = html_extract._read(page.encode())
+    return html_extract.left_of(texts, keep, np.zeros(sum(t.count(" ") + 1 for t in texts), bool))
+
+
 def test_blocks_of_broken_and_odd_markup():
     page = "<html><head><title>T</title></head><body class=ads><nav><ul><li>menu</ul></nav><div class='side-bar'>x</div><div class='ad box'>buy</div><article><h1>A &amp; B</h1><p><b>one<br>two<p class=notice>hush<p>three <i>f</i>our &am"
-    assert html_extract.page_text(page) == ("A & B one two three four &am", [])
-    assert html_extract.page_text("<script>var t='</p>';</script><p>a<!-- x --> b</p><form>f</form><p>c")[1] == ["a b", "c"]
-    assert html_extract.page_text("") == (None, []) and html_extract.page_text("<p")[1] == []
+    assert by_markup(page) == "A & B one two three four &am"
+    assert by_markup("<script>var t='</p>';</script><p>a<!-- x --> b</p><form>f</form><p>c") == "a b c"
+    assert by_markup("") == by_markup("<p") == ""
+    assert by_markup("<main><h1>head</h1><article>body text</article><article class='comment odd'>reader says hi</article></main><p>out") == "head body text"
+    assert by_markup("<h1>head</h1><article><p class='share-price'>price<p class='related-work'>work<p class='share-buttons'>tweet<div class='ad-slot-3'>buy") == "head price work"
+    assert by_markup("<main><p>one<main><p>two</main></main>") == "one two" and by_markup("<b><div>a</b>c</div>d") == "ac d"
+
+
+def test_parsing_is_linear_in_broken_markup():
+    import time
+
+    def took(n):
+        began = time.process_time()
+        html_extract.blocks("<b>" * n + "</i>" * n + "<div>" + "<i>" * n + "</b>" * n + "<b>" * n + "<p>x" * n)
+        return time.process_time() - began
+
+    took(1000)
+    assert took(40_000) < 40 * max(0.05, took(4000))
+
+
+def test_suffix_array_equals_a_brute_force_repeat_finder():
+    rng = random.Random(101)
+    for _ in range(60):
+        streams = [" ".join(rng.choice("abc") for _ in range(rng.randrange(30))) for _ in range(rng.randrange(8))]
+        want = Counter()
+        for text in streams:
+            words = text.split()
+            want.update({" ".join(words[i : i + 4]) for i in range(len(words) - 3)})
+        names, many = html_extract.window_pages([t.encode() for t in streams], 4)
+        grams, at = ngram_join.gram_hashes([w.encode() for w in want], 4)
+        assert dict(zip(names.tolist(), many.tolist(), strict=True)) == dict(zip(grams.tolist(), want.values(), strict=True))
+
+
+def covered_brute(pages, window=8):
+    """For each page whether each word is in a window that is on enough of the host's pages (all distinct, none near copies)."""
+    words = {k: t.split() for k, t in pages.items()}
+    on = Counter(w for t in words.values() for w in {tuple(t[i : i + window]) for i in range(len(t) - window + 1)})
+    need = max(html_extract.PAGES, math.ceil(html_extract.SHARE * len(pages)))
+    out = {}
+    for k, t in words.items():
+        hit = [False] * len(t)
+        for i in range(len(t) - window + 1):
+            if on[tuple(t[i : i + window])] >= need:
+                hit[i : i + window] = [True] * window
+        out[k] = hit
+    return out
+
+
+@pytest.mark.parametrize("chunk", [1 << 20, 3000])
+def test_every_page_is_decided_by_the_array(spark, monkeypatch, chunk):
+    """Pages with article elements, boilerplate inside and outside of them, against brute force; markup leaves all of these blocks."""
+    monkeypatch.setattr(html_extract, "CHUNK", chunk)
+    rng = random.Random(102)
+    lines = [" ".join(f"line{k}w{j}" for j in range(9 + k)) for k in range(3)]
+    pages, parts = [], {}
+    for k in range(60):
+        own = [" ".join(f"p{k}x{rng.randrange(10**6)}" for _ in range(rng.randrange(3, 40))) for _ in range(3)]
+        mine = [own[0], lines[k % 2], own[1], lines[2] if k % 3 else own[2], f"{lines[0]} {own[2]}"]
+        parts[k] = mine
+        pages.append((k, "http://h/x", "<article>" + "".join(f"<p>{x}</p>" for x in mine) + "</article>"))
+    covered = covered_brute({k: " ".join(x) for k, x in parts.items()})
+    want = {}
+    for k, mine in parts.items():
+        at, kept = 0, []
+        for x in mine:
+            n = len(x.split())
+            if sum(covered[k][at : at + n]) < 0.8 * n:
+                kept.append(x)
+            at += n
+        want[k] = " ".join(kept)
+    got = {r.page_id: r for r in html_extract.main_text(spark.createDataFrame(pages, "page_id long, url string, html string").repartition(5)).collect()}
+    assert {k: r.text for k, r in got.items()} == want and {k: r.n_repeated for k, r in got.items()} == {k: sum(c) for k, c in covered.items()}
+    assert sum(r.n_repeated > 0 for r in got.values()) == len(pages) and all(lines[1] not in want[k] and lines[2] not in want[k] for k in want)
 
 
 def test_host_array_removes_what_pages_share(spark):
     shared = "all rights reserved by the owner of this site since long ago"
-    pages = [(k, f"http://h.example/{k}", f"<div>{shared}</div><p>{k} and only {k} stands here alone</p>") for k in range(6)]
-    pages += [(10, "http://other/", f"<p>{shared}</p>"), (11, None, None), (12, "http://h.example/12", "<article>" + shared + "</article>"), (0, *pages[0][1:])]
+    pages = [(k, f"http://h.example/{k}", f"<div>{shared}</div><p>{k} and only {k} stands here alone</p>") for k in range(11)]
+    pages += [(20, "http://other/", f"<p>{shared}</p>"), (21, None, None), (22, "http://h.example/12", "<article>" + shared + "</article>"), (0, *pages[0][1:]), (None, "http://h.example/0", "")]
     df = spark.createDataFrame(pages, "page_id long, url string, html string")
-    want = {k: f"{k} and only {k} stands here alone" for k in range(6)} | {10: shared, 11: "", 12: shared}
-    got = html_extract.main_text(df.withColumn("text", F.lit("clash"))).collect()
+    want = {k: f"{k} and only {k} stands here alone" for k in range(11)} | {20: shared, 21: "", 22: "", None: ""}
+    got = html_extract.main_text(df.withColumn("text", F.lit("clash")).withColumn("n_repeated", F.lit("clash"))).collect()
     assert len(got) == len(pages) and {r.page_id: r.text for r in got} == want and all(r.n_chars == len(r.text) for r in got)
     assert html_extract.main_text(df.limit(0)).count() == 0
 
 
-def test_hot_host_is_dealt_to_several_arrays(spark, monkeypatch):
-    monkeypatch.setattr(html_extract, "CHUNK", 40)
-    test_host_array_removes_what_pages_share(spark)
-
-
 def test_near_copies_and_shared_passages_stay(spark, monkeypatch):
     passage = " ".join(f"quoted{k}" for k in range(40))
     footer = " ".join(f"footer{k}" for k in range(20))
-    articles = [" ".join(f"a{n}w{k}" for k in range(500)) for n in range(8)]
+    articles = [" ".join(f"a{n}w{k}" for k in range(500)) for n in range(12)]
     texts = {n: a for n, a in enumerate(articles)}
-    texts |= {100 + k: articles[0].replace("a0w250 ", f"edit{k} ") for k in range(7)}  # near copies
+    texts |= {100 + k: articles[0].replace("a0w250 ", f"edit{k} ") for k in range(14)}  # near copies
     texts |= {200 + k: f"{passage} {articles[k + 1]}" for k in range(2)}  # two articles share a passage
     pages = [(k, "http://h/x", f"<p>{t}</p><p>{footer}</p>") for k, t in texts.items()]
     two = {300: articles[3], 301: articles[3].replace("a3w9 ", "other ")}
     pages += [(k, "http://two/x", f"<p>{t}</p>") for k, t in two.items()]
+    long = {400: " ".join(f"long{k}" for k in range(200_000))}
+    pages += [(k, "http://h/x", f"<p>{t}</p><p>{footer}</p>") for k, t in long.items()]
     df = spark.createDataFrame(pages, "page_id long, url string, html string")
-    for chunk in (1 << 20, 1500):
+    for chunk in (1 << 23, 15000):
         monkeypatch.setattr(html_extract, "CHUNK", chunk)
-        assert {r.page_id: r.text for r in html_extract.main_text(df).collect()} == texts | two
+        assert {r.page_id: r.text for r in html_extract.main_text(df).collect()} == texts | two | long
 
 
 # --- pipeline ---
