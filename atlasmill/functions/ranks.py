@@ -8,6 +8,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from atlasmill.functions.lineage import materialize
+
 
 def key_text(*cols: str | Column) -> Column:
     """A non-null string that is equal for equal keys, nulls included (usable in plain equi-joins)."""
@@ -41,3 +43,21 @@ def dense_position(df: DataFrame, key: str, order: Sequence[str], out: str, salt
     """Gapless position from 0 per ``key``, in the manner of :func:`running_total`."""
     one = f"__one_{out}"
     return running_total(df.withColumn(one, F.lit(1).cast("long")), key, order, one, out, salts).drop(one)
+
+
+def ordered_totals(df: DataFrame, order: Sequence[Column], totals: dict[str, str]) -> DataFrame:
+    """Exclusive running totals ``{out: column of whole numbers}`` along ``order`` over the whole frame, range by range.
+
+    The frame is sorted into ranges, each is summed, and a range's own running totals start from the sum
+    of the ranges before it; one task sees one range, and the table of ranges has a row for each partition.
+    ``df`` is read twice: hand over a written table or a small one.
+    """
+    ranged = df.repartitionByRange(*order).withColumn("__range", F.spark_partition_id())
+    ranged = materialize(ranged, "ranges")
+    sums = ranged.groupBy("__range").agg(*[F.sum(c).alias(f"__sum_{out}") for out, c in totals.items()])
+    ahead = W.orderBy("__range").rowsBetween(W.unboundedPreceding, -1)
+    bases = sums.select("__range", *[F.coalesce(F.sum(f"__sum_{out}").over(ahead), F.lit(0)).alias(f"__base_{out}") for out in totals])
+    inner = W.partitionBy("__range").orderBy(*order).rowsBetween(W.unboundedPreceding, -1)
+    run = ranged.select("*", *[F.coalesce(F.sum(c).over(inner), F.lit(0)).alias(out) for out, c in totals.items()])
+    based = run.join(F.broadcast(bases), "__range")  # a row for each range
+    return based.select(*df.columns, *[(F.col(out) + F.col(f"__base_{out}")).cast("long").alias(out) for out in totals])
