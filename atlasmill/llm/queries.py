@@ -44,7 +44,7 @@ def op6_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return mixing.mix_sources(table(spark, sf_dir, "documents"))
+    return mixing.mix_sources(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken", "first_shard")
 
 
 def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -308,6 +308,7 @@ def test_mix_reaches_the_targets(spark, empty):
         assert math.isclose(r.target, target[r.source], rel_tol=1e-9, abs_tol=1e-9) and r.source_size == size[r.source]
         taken[r.source] += r.taken
     assert all(abs(taken[s] - target[s]) <= 2 * mixing.BLOCK for s in order)
+    assert all((r.first_shard is None) == (r.taken == 0) for r in got)
     again = mixing.mix_sources(df.repartition(7), keep=["doc_id"])
     assert {r.doc_id: r.taken for r in got} == {r.doc_id: r.taken for r in again.collect()}
     texts = Counter()
@@ -318,6 +319,41 @@ def test_mix_reaches_the_targets(spark, empty):
     assert mixing.mix_sources(empty).count() == 0 and mixing.mixed_texts(empty).count() == 0
 
 
+def test_permutations_are_whole_and_differ(spark):
+    rows = spark.range(1, 60).select(F.col("id").alias("n")).withColumn("place", F.explode(F.sequence(F.lit(0).cast("long"), F.col("n") - 1)))
+    made = rows.select("n", *[mixing.permuted(F.col("place"), F.col("n"), F.lit(k)).alias(f"p{k}") for k in range(3)], "place").collect()
+    for n in range(1, 60):
+        own = [r for r in made if r.n == n]
+        orders = [tuple(r[f"p{k}"] for r in sorted(own, key=lambda r: r.place)) for k in range(3)]
+        assert all(sorted(o) == list(range(n)) for o in orders)
+        if n > 10:
+            assert len(set(orders)) == 3 and all(len({(b - a) % n for a, b in zip(o, o[1:], strict=False)}) > 3 for o in orders)
+
+
+def test_shards_hold_the_mix_and_follow_the_draws(spark):
+    """What is taken of each text, counted by brute force from the shards; the counts of a source over the shards are spread like a multinomial."""
+    rng = random.Random(71)
+    rows = [(k, " ".join(["w"] * rng.randrange(0, 300)), None, rng.choice(["a", "b", "b", "c", None])) for k in range(600)]
+    df = docs(spark, [*rows, (0, rows[0][1], None, rows[0][3])])
+    clash = df.withColumn("taken", F.lit("x")).withColumn("First_Shard", F.lit("x"))
+    for shards in (8, 3):
+        parts = mixing.mix_shards(df, shards=shards, block=16).collect()
+        taken, first = Counter(), {}
+        for r in parts:
+            taken[r.doc_id] += r.words
+            first[r.doc_id] = min(r.shard, first.get(r.doc_id, 99))
+        got = mixing.mix_sources(clash, shards=shards, block=16).collect()
+        mine = Counter()
+        for r in got:
+            mine[r.doc_id] += r.taken
+        assert {k: n for k, n in mine.items() if n} == dict(taken)
+        assert all(first[r.doc_id] <= r.first_shard for r in got if r.taken) and {r.shard for r in parts} == set(range(shards))
+        for key in {r.key for r in parts}:
+            counts = [sum(r.words for r in parts if (r.shard, r.key) == (j, key)) / 16 for j in range(shards)]
+            n = sum(counts)
+            assert len(set(counts)) > 1 and sum((c - n / shards) ** 2 for c in counts) / (n / shards) < 5 * shards
+
+
 # --- 8 ---
 
 
