@@ -5,13 +5,21 @@ characters per word, repeated lines per line; as integers in thousandths) go int
 sketches: log-linear histograms whose bucket is the value with all but its leading ``PRECISION``
 bits cleared, so a sketch is a table (cell, ratio, bucket, count), merging is adding counts, and the
 relative error is below 2 ** (1 - PRECISION) whatever the order of merging. A cell is a (language,
-source) pair; a cell with fewer than ``MIN_CELL`` texts uses its language's merged sketch, a smaller
-language the merged sketch of all. A ratio outside the quartiles by more than ``SPREAD`` times their
-distance plus a small slack fails; the slack keeps cells without any spread from rejecting clean texts.
+source) pair. Its sketch is shrunk towards its parents: ``OF_LANGUAGE`` texts distributed as those of
+its language and ``OF_ALL`` as all texts are added to it, so a small cell follows its language and a
+large one itself, without a size at which that switches; a language's sketch is shrunk towards all.
+
+A limit is an outer quantile of the cell's sketch, moved out by a multiple of its distance to the
+median; where that distance is 0 the limit is the quantile itself (if three quarters of a cell's texts
+have no symbols, a text with symbols fails there). Values are compared by bucket. A cell of which much
+is junk would widen its own limits, so they are guarded by its language: if the cell's median is within
+the language's limit, the cell's limit is at most twice as far from the language's median as that. A
+source that is different as a whole, its median beyond the language's limit, keeps its own limits.
 
 Nulls: a null text counts as empty (it fails the base rule); a null language or source is a value of
-its own. Repeated rows are judged each. An empty table gives an empty result. Input columns that
-bear the name of a result are replaced by it.
+its own. Ties need no order, as equal values share a bucket. Repeated rows are judged each. Very long
+texts are read whole, one slice each. An empty table gives an empty result. Input columns that bear
+the name of a result are replaced by it.
 """
 
 from __future__ import annotations
@@ -31,14 +39,16 @@ from atlasmill.llm.common import small_batches, text_slices, without
 
 COUNTS = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines"]
 WINDOW = 5
-PRECISION = 6
-MIN_CELL = 200
-SPREAD = 3
-#: (ratio, numerator, denominator, slack above, slack below; None: no limit on that side), in thousandths
+PRECISION = 8
+#: Texts that a cell's sketch gets from its language's and from all texts' distribution.
+OF_LANGUAGE, OF_ALL = 64, 16
+#: Parts of a text in which shares are counted, so that sketches stay whole numbers.
+UNIT = 1 << 16
+#: (ratio, numerator, denominator, outer quantile in hundredths from above and from below, multiple of its distance to the median; limited below too)
 RATIOS = [
-    ("symbols", "n_symbols", "n_words", 100, None),
-    ("length", "word_chars", "n_words", 1000, 1000),
-    ("dup_lines", "n_dup_lines", "n_lines", 350, None),
+    ("symbols", "n_symbols", "n_words", 25, 6, False),
+    ("length", "word_chars", "n_words", 25, 8, True),
+    ("dup_lines", "n_dup_lines", "n_lines", 1, 2, False),
 ]
 
 
@@ -112,36 +122,48 @@ def _ratio(top: str, below: str) -> Column:
 
 def sketches(counted: DataFrame, by: tuple[str, str]) -> DataFrame:
     """(language, source, ratio, bucket, n): one mergeable histogram for each cell and ratio."""
-    ratios = F.explode(F.array(*[F.struct(F.lit(name).alias("ratio"), bucket(_ratio(a, b)).alias("bucket")) for name, a, b, _, _ in RATIOS]))
+    ratios = F.explode(F.array(*[F.struct(F.lit(name).alias("ratio"), bucket(_ratio(a, b)).alias("bucket")) for name, a, b, *_ in RATIOS]))
     exploded = counted.filter(~base_failed()).select(F.col(by[0]).alias("lang"), F.col(by[1]).alias("source"), ratios.alias("r"))
     return exploded.groupBy("lang", "source", "r.ratio", "r.bucket").agg(F.count(F.lit(1)).alias("n"))
 
 
-def quartiles(sketch: DataFrame, cell: list[str]) -> DataFrame:
-    """n, q25 and q75 of each merged sketch of ``cell``."""
-    merged = sketch.groupBy(*cell, "ratio", "bucket").agg(F.sum("n").alias("n"))
-    part = W.partitionBy(*cell, "ratio")
-    run = merged.withColumn("upto", F.sum("n").over(part.orderBy("bucket"))).withColumn("all", F.sum("n").over(part))
-    at = lambda q: F.min(F.when(F.col("upto") * 4 >= F.col("all") * q, F.col("bucket")))
-    return run.groupBy(*cell, "ratio").agg(F.max("all").alias("n"), at(1).alias("q25"), at(3).alias("q75"))
+def fences(sketch: DataFrame, cell: str) -> DataFrame:
+    """(cell, ratio, mid, low, high) of the weighted histograms (cell, ratio, bucket, w): the median and the limits on both sides of it."""
+    merged = sketch.groupBy(cell, "ratio", "bucket").agg(F.sum("w").alias("w"))
+    part = W.partitionBy(cell, "ratio")
+    run = merged.withColumn("upto", F.sum("w").over(part.orderBy("bucket"))).withColumn("whole", F.sum("w").over(part))
+    outer = times = F.lit(None).cast("long")
+    for name, _, _, hundredths, multiple, _ in RATIOS:
+        outer, times = F.when(F.col("ratio") == name, F.lit(hundredths).cast("long")).otherwise(outer), F.when(F.col("ratio") == name, F.lit(multiple).cast("long")).otherwise(times)
+    at = lambda share: F.min(F.when(F.col("upto") * 100 >= F.col("whole") * share, F.col("bucket")))
+    found = run.groupBy(cell, "ratio").agg(at(outer).alias("under"), at(F.lit(50)).alias("mid"), at(100 - outer).alias("over"))
+    return found.select(cell, "ratio", "mid", (F.col("under") - times * (F.col("mid") - F.col("under"))).alias("low"), (F.col("over") + times * (F.col("over") - F.col("mid"))).alias("high"))
+
+
+def _as_texts(part: list[str], texts: int) -> Column:
+    """The weight of each bucket if the whole of its ``part`` were ``texts`` texts."""
+    return F.expr(f"{texts * UNIT} * n div sum(n) over (partition by {', '.join(part)})")
 
 
 def limits(sketch: DataFrame) -> DataFrame:
-    """cell (key of language and source), and lowest and highest accepted value of each ratio."""
-    cells = quartiles(sketch, ["lang", "source"])
-    by_lang = quartiles(sketch, ["lang"]).select(key_text("lang").alias("lk"), "ratio", F.struct("n", "q25", "q75").alias("of_lang"))
-    of_all = quartiles(sketch, []).select("ratio", F.struct("n", "q25", "q75").alias("of_all"))
-    joined = cells.withColumn("lk", key_text("lang")).join(by_lang, ["lk", "ratio"]).join(of_all, "ratio")
-    own = F.struct("n", "q25", "q75")
-    q = F.when(F.col("n") >= MIN_CELL, own).when(F.col("of_lang.n") >= MIN_CELL, F.col("of_lang")).otherwise(F.col("of_all"))
-    chosen = joined.select(key_text("lang", "source").alias("cell"), "ratio", q.alias("q"))
+    """cell (key of language and source), and lowest and highest accepted bucket of each ratio (null: no limit)."""
+    keyed = materialize(sketch.select(key_text("lang").alias("lk"), key_text("lang", "source").alias("cell"), "ratio", "bucket", "n"), "sketches")
+    of_lang = keyed.groupBy("lk", "ratio", "bucket").agg(F.sum("n").alias("n"))
+    of_all = keyed.groupBy("ratio", "bucket").agg(F.sum("n").alias("n")).withColumn("w", _as_texts(["ratio"], OF_ALL)).select("ratio", "bucket", "w")
+    language = of_lang.select("lk", "ratio", "bucket", (F.col("n") * UNIT).alias("w")).unionByName(of_lang.select("lk", "ratio").distinct().join(of_all, "ratio"))
+    shared = of_lang.withColumn("w", _as_texts(["lk", "ratio"], OF_LANGUAGE)).select("lk", "ratio", "bucket", "w").unionByName(of_lang.select("lk", "ratio").distinct().join(of_all, "ratio"))
+    cells = keyed.select("cell", "lk", "ratio").distinct()
+    own = keyed.select("cell", "ratio", "bucket", (F.col("n") * UNIT).alias("w")).unionByName(cells.join(shared, ["lk", "ratio"]).drop("lk"))
+    around = fences(language, "lk").select("lk", "ratio", F.col("mid").alias("l_mid"), F.col("low").alias("l_low"), F.col("high").alias("l_high"))
+    both = fences(own, "cell").join(cells, ["cell", "ratio"]).join(around, ["lk", "ratio"])
+    high = F.when(F.col("mid") <= F.col("l_high"), F.least("high", 2 * F.col("l_high") - F.col("l_mid"))).otherwise(F.col("high"))
+    low = F.when(F.col("mid") >= F.col("l_low"), F.greatest("low", 2 * F.col("l_low") - F.col("l_mid"))).otherwise(F.col("low"))
     out = []
-    for name, _, _, above, under in RATIOS:
+    for name, *_, below in RATIOS:
         mine = F.col("ratio") == name
-        wide = F.lit(SPREAD) * (F.col("q.q75") - F.col("q.q25"))
-        out.append(F.max(F.when(mine, F.col("q.q75") + wide + F.lit(above))).alias(f"{name}_max"))
-        out.append(F.max(F.when(mine, F.col("q.q25") - wide - F.lit(under)) if under is not None else F.lit(0)).cast("long").alias(f"{name}_min"))
-    return chosen.groupBy("cell").agg(*out)
+        out.append(F.max(F.when(mine, high)).alias(f"{name}_max"))
+        out.append(F.max(F.when(mine & F.lit(below), low)).alias(f"{name}_min"))
+    return both.groupBy("cell").agg(*out)
 
 
 def quality_rules(docs: DataFrame, text_col: str = "text", by: tuple[str, str] = ("lang", "source"), keep: list[str] | None = None) -> DataFrame:
@@ -156,8 +178,8 @@ def quality_rules(docs: DataFrame, text_col: str = "text", by: tuple[str, str] =
     counted = materialize(text_counts(docs, text_col, list(dict.fromkeys([*keep, *by]))), "quality")
     bounds = materialize(limits(sketches(counted, by)), "quality-limits").withColumnRenamed("cell", "__cell")
     fine = F.lit(True)
-    for name, a, b, _, _ in RATIOS:
-        value = _ratio(a, b)
-        fine = fine & F.coalesce((value <= F.col(f"{name}_max")) & (value >= F.col(f"{name}_min")), F.lit(True))
+    for name, a, b, *_ in RATIOS:
+        value = bucket(_ratio(a, b))
+        fine = fine & F.coalesce(value <= F.col(f"{name}_max"), F.lit(True)) & F.coalesce(value >= F.col(f"{name}_min"), F.lit(True))
     judged = counted.withColumn("__cell", key_text(*by)).join(bounds, "__cell", "left")
     return judged.withColumn("base_failed", base_failed()).withColumn("kept", ~base_failed() & fine).select(*keep, *results)

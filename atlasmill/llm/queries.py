@@ -65,7 +65,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in found}
 
 
-_BUCKET = "(({v}) >> greatest(length(bin({v})) - 6, 0)) << greatest(length(bin({v})) - 6, 0)"
+_BUCKET = "(({v}) >> greatest(length(bin({v})) - 8, 0)) << greatest(length(bin({v})) - 8, 0)"
 
 OP1_SQL = f"""
 WITH w AS (SELECT doc_id, lang, source, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') AS ws FROM documents),
@@ -76,17 +76,26 @@ c AS (SELECT doc_id, lang, source, CAST(len(ws) AS BIGINT) AS n_words, CAST(leng
   CAST(len(regexp_extract_all(t, '[#*$%&|<>]')) AS BIGINT) AS n_symbols, CAST(coalesce(n_lines - d, 0) AS BIGINT) AS n_dup_lines, CAST(coalesce(r.n, 0) AS BIGINT) AS n_repeat_words,
   CAST(coalesce(n_lines, 0) AS BIGINT) AS n_lines FROM w LEFT JOIN l USING (doc_id) LEFT JOIN r USING (doc_id)),
 b AS (SELECT *, n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed, 1000 * n_symbols // greatest(n_words, 1) AS s, 1000 * word_chars // greatest(n_words, 1) AS m, 1000 * n_dup_lines // greatest(n_lines, 1) AS u FROM c),
-k AS (SELECT lang, source, ratio, CAST({_BUCKET.format(v="v")} AS BIGINT) AS bucket, count(*) AS n FROM
-  (SELECT lang, source, 's' AS ratio, s AS v FROM b WHERE NOT base_failed UNION ALL SELECT lang, source, 'm', m FROM b WHERE NOT base_failed UNION ALL SELECT lang, source, 'u', u FROM b WHERE NOT base_failed) GROUP BY ALL),
-k1 AS (SELECT lang, source, ratio, max(a) AS n, min(CASE WHEN x * 4 >= a THEN bucket END) AS q25, min(CASE WHEN x * 4 >= a * 3 THEN bucket END) AS q75 FROM (SELECT *, sum(n) OVER (PARTITION BY lang, source, ratio ORDER BY bucket) AS x, sum(n) OVER (PARTITION BY lang, source, ratio) AS a FROM k) GROUP BY lang, source, ratio),
-k2 AS (SELECT lang, ratio, max(a) AS n, min(CASE WHEN x * 4 >= a THEN bucket END) AS q25, min(CASE WHEN x * 4 >= a * 3 THEN bucket END) AS q75 FROM (SELECT *, sum(n) OVER (PARTITION BY lang, ratio ORDER BY bucket) AS x, sum(n) OVER (PARTITION BY lang, ratio) AS a FROM (SELECT lang, ratio, bucket, sum(n) AS n FROM k GROUP BY ALL)) GROUP BY lang, ratio),
-k3 AS (SELECT ratio, max(a) AS n, min(CASE WHEN x * 4 >= a THEN bucket END) AS q25, min(CASE WHEN x * 4 >= a * 3 THEN bucket END) AS q75 FROM (SELECT *, sum(n) OVER (PARTITION BY ratio ORDER BY bucket) AS x, sum(n) OVER (PARTITION BY ratio) AS a FROM (SELECT ratio, bucket, sum(n) AS n FROM k GROUP BY ALL)) GROUP BY ratio),
-q AS (SELECT k1.lang, k1.source, k1.ratio, CASE WHEN k1.n >= 200 THEN k1.q25 WHEN k2.n >= 200 THEN k2.q25 ELSE k3.q25 END AS q25, CASE WHEN k1.n >= 200 THEN k1.q75 WHEN k2.n >= 200 THEN k2.q75 ELSE k3.q75 END AS q75
-  FROM k1 JOIN k2 ON k1.lang IS NOT DISTINCT FROM k2.lang AND k1.ratio = k2.ratio JOIN k3 ON k1.ratio = k3.ratio),
-z AS (SELECT lang, source, max(CASE WHEN ratio = 's' THEN q75 + 3 * (q75 - q25) + 100 END) AS s_max, max(CASE WHEN ratio = 'm' THEN q75 + 3 * (q75 - q25) + 1000 END) AS m_max,
-  max(CASE WHEN ratio = 'm' THEN q25 - 3 * (q75 - q25) - 1000 END) AS m_min, max(CASE WHEN ratio = 'u' THEN q75 + 3 * (q75 - q25) + 350 END) AS u_max FROM q GROUP BY lang, source)
-SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, NOT base_failed AND coalesce(s <= s_max AND m <= m_max AND m >= m_min AND u <= u_max, true) AS kept
-FROM b LEFT JOIN z ON b.lang IS NOT DISTINCT FROM z.lang AND b.source IS NOT DISTINCT FROM z.source
+v AS (SELECT *, CAST({_BUCKET.format(v="s")} AS BIGINT) AS bs, CAST({_BUCKET.format(v="m")} AS BIGINT) AS bm, CAST({_BUCKET.format(v="u")} AS BIGINT) AS bu FROM b),
+k AS (SELECT lang, source, ratio, bucket, count(*) AS n FROM
+  (SELECT lang, source, 's' AS ratio, bs AS bucket FROM v WHERE NOT base_failed UNION ALL SELECT lang, source, 'm', bm FROM v WHERE NOT base_failed UNION ALL SELECT lang, source, 'u', bu FROM v WHERE NOT base_failed) GROUP BY ALL),
+kl AS (SELECT lang, ratio, bucket, CAST(sum(n) AS BIGINT) AS n FROM k GROUP BY ALL),
+ka AS (SELECT ratio, bucket, CAST(16 * 65536 * n AS BIGINT) // CAST(sum(n) OVER (PARTITION BY ratio) AS BIGINT) AS w FROM (SELECT ratio, bucket, CAST(sum(n) AS BIGINT) AS n FROM k GROUP BY ALL)),
+la AS (SELECT lang, ka.* FROM (SELECT DISTINCT lang, ratio FROM kl) l JOIN ka USING (ratio)),
+lw AS (SELECT 1 AS kind, lang, NULL AS source, ratio, bucket, n * 65536 AS w FROM kl UNION ALL SELECT 1, lang, NULL, ratio, bucket, w FROM la),
+sh AS (SELECT lang, ratio, bucket, CAST(64 * 65536 * n AS BIGINT) // CAST(sum(n) OVER (PARTITION BY lang, ratio) AS BIGINT) AS w FROM kl UNION ALL SELECT lang, ratio, bucket, w FROM la),
+cw AS (SELECT 2 AS kind, lang, source, ratio, bucket, n * 65536 AS w FROM k UNION ALL SELECT 2, c.lang, c.source, c.ratio, bucket, w FROM (SELECT DISTINCT lang, source, ratio FROM k) c JOIN sh ON c.lang IS NOT DISTINCT FROM sh.lang AND c.ratio = sh.ratio),
+h AS (SELECT kind, lang, source, ratio, bucket, sum(w) AS w FROM (SELECT * FROM lw UNION ALL SELECT * FROM cw) GROUP BY ALL),
+r2 AS (SELECT *, CASE ratio WHEN 'u' THEN 1 ELSE 25 END AS o, CASE ratio WHEN 's' THEN 6 WHEN 'm' THEN 8 ELSE 2 END AS t, sum(w) OVER (PARTITION BY kind, lang, source, ratio ORDER BY bucket) AS x, sum(w) OVER (PARTITION BY kind, lang, source, ratio) AS a FROM h),
+q AS (SELECT kind, lang, source, ratio, max(t) AS t, min(CASE WHEN x * 100 >= a * o THEN bucket END) AS un, min(CASE WHEN x * 100 >= a * 50 THEN bucket END) AS mid, min(CASE WHEN x * 100 >= a * (100 - o) THEN bucket END) AS ov FROM r2 GROUP BY kind, lang, source, ratio),
+f AS (SELECT kind, lang, source, ratio, mid, un - t * (mid - un) AS low, ov + t * (ov - mid) AS high FROM q),
+z AS (SELECT c.lang, c.source, max(CASE WHEN c.ratio = 's' THEN CASE WHEN c.mid <= l.high THEN least(c.high, 2 * l.high - l.mid) ELSE c.high END END) AS s_max,
+  max(CASE WHEN c.ratio = 'm' THEN CASE WHEN c.mid <= l.high THEN least(c.high, 2 * l.high - l.mid) ELSE c.high END END) AS m_max,
+  max(CASE WHEN c.ratio = 'm' THEN CASE WHEN c.mid >= l.low THEN greatest(c.low, 2 * l.low - l.mid) ELSE c.low END END) AS m_min,
+  max(CASE WHEN c.ratio = 'u' THEN CASE WHEN c.mid <= l.high THEN least(c.high, 2 * l.high - l.mid) ELSE c.high END END) AS u_max
+  FROM f c JOIN f l ON c.kind = 2 AND l.kind = 1 AND c.lang IS NOT DISTINCT FROM l.lang AND c.ratio = l.ratio GROUP BY c.lang, c.source)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, NOT base_failed AND coalesce(bs <= s_max, true) AND coalesce(bm <= m_max, true) AND coalesce(bm >= m_min, true) AND coalesce(bu <= u_max, true) AS kept
+FROM v LEFT JOIN z ON v.lang IS NOT DISTINCT FROM z.lang AND v.source IS NOT DISTINCT FROM z.source
 """
 
 OP5_SQL = """

@@ -65,6 +65,38 @@ def test_quality_limits_adapt(spark):
     assert all(got[k] for k in range(300)) and not any(got[1000 + k] for k in range(20))
 
 
+def cell_limits(spark, rows):
+    counted = quality.text_counts(docs(spark, rows))
+    return {r.cell: r.asDict() for r in quality.limits(quality.sketches(counted, ("lang", "source"))).join(counted.select(quality.key_text("lang", "source").alias("cell"), F.concat_ws("/", "lang", "source").alias("name")).distinct(), "cell").drop("cell").withColumnRenamed("name", "cell").collect()}
+
+
+def test_limits_are_the_cells_own(spark):
+    """Two languages and two sources of one language get limits of their own; a tiny cell follows its language; junk does not widen limits; a source of another kind keeps its texts."""
+    rng = random.Random(11)
+    text = lambda size, n=60: " ".join("".join(rng.choice("abcdef") for _ in range(rng.randrange(*size))) for _ in range(n))
+    rows = [(k, text((3, 7)), "en", "a") for k in range(400)] + [(k, text((5, 9)), "en", "b") for k in range(400)] + [(k, text((8, 14)), "de", "a") for k in range(400)]
+    rows += [(k, text((3, 7)), "en", "tiny") for k in range(3)]
+    junk = [(k, text((3, 7)) + " ## $$" * 40, "en", "junky") for k in range(120)] + [(k, text((3, 7)), "en", "junky") for k in range(130)]
+    code = [(k, " ".join(w + rng.choice(["#", "<>", "|&"]) for w in text((3, 7)).split()), "en", "code") for k in range(300)]
+    found = cell_limits(spark, rows + junk + code)
+    assert found["en/a"]["length_max"] < found["en/b"]["length_max"] < found["de/a"]["length_max"] and found["en/a"]["length_min"] < found["en/b"]["length_min"] < found["de/a"]["length_min"]
+    assert found["en/tiny"]["length_max"] >= found["en/a"]["length_max"]
+    assert found["en/junky"]["symbols_max"] == found["en/a"]["symbols_max"] == 0 < found["en/code"]["symbols_max"]
+    kept = Counter()
+    for r in quality.quality_rules(docs(spark, rows + junk + code)).collect():
+        kept[r.source, "#" in r.text] += r.kept
+    assert kept["junky", True] == 0 and kept["junky", False] > 120 and kept["code", True] > 290 and kept["a", False] > 780
+
+
+def test_sketches_merge_to_the_same_limits(spark):
+    rng = random.Random(12)
+    rows = [(k, " ".join("x" * rng.randrange(1, 9) for _ in range(30)), rng.choice(["en", None]), rng.choice(["a", "b", None])) for k in range(500)]
+    counted = quality.text_counts(docs(spark, rows))
+    parts = [quality.sketches(counted.filter(f"doc_id % 3 = {k}"), ("lang", "source")) for k in range(3)]
+    merged = parts[0].union(parts[1]).union(parts[2])
+    assert sorted(map(tuple, quality.limits(merged).collect())) == sorted(map(tuple, quality.limits(quality.sketches(counted, ("lang", "source"))).collect()))
+
+
 # --- 2 ---
 
 
