@@ -6,9 +6,13 @@ chosen by a hash of id and URL) and judges the rest. Suffix statistics are smoot
 the host's last label, of the first path segment and of the file extension, hashed into ``SLOTS``
 slots so that their table is bounded; they are counted over all labelled rows.
 
+The table is read three times: for the rates, for the sample (which is written, so that the rounds of
+boosting read only that) and for the verdicts.
+
 Nulls: a null URL, or one without ``://``, has an empty host and path, and the model's verdict on
-empty features. With no labelled URL every verdict is allow; with one kind of label, that label.
-Repeated rows get the same verdict. Input columns named like a result are replaced.
+empty features; null ids are kept. With no labelled URL every verdict is allow; with one kind of label,
+that label. Repeated rows get the same verdict. Very long URLs are used whole. An empty table gives
+an empty result. Input columns named like a result are replaced.
 """
 
 from __future__ import annotations
@@ -19,6 +23,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from atlasmill.functions.lineage import materialize
 from atlasmill.llm.common import without
 
 SAMPLE = 20_000
@@ -75,16 +80,21 @@ def _parts(df: DataFrame, url_col: str) -> DataFrame:
     )
 
 
-def _rates(labelled: DataFrame, prior: float) -> dict[str, Column]:
-    """A literal array of ``SLOTS`` smoothed block rates for each kind of suffix."""
+def _rates(labelled: DataFrame) -> tuple[int, int, dict[str, Column]]:
+    """(labelled rows, blocked ones, a literal array of ``SLOTS`` smoothed block rates for each kind of suffix), by one pass."""
+    kinds = ("tail", "head", "ext")
+    slots = F.explode(F.array(*[F.struct(F.lit(k).alias("kind"), F.col(f"__{k}").alias("slot")) for k in kinds]))
+    rows = labelled.select("__label", slots.alias("s")).groupBy("s.kind", "s.slot").agg(F.count(F.lit(1)).alias("n"), F.sum("__label").alias("bad")).collect()  # 3 * SLOTS rows at most
+    n, bad = (int(sum(r[c] for r in rows if r["kind"] == "tail")) for c in ("n", "bad"))
+    prior = bad / max(1, n)
     out = {}
-    for kind in ("tail", "head", "ext"):
-        rows = labelled.groupBy(f"__{kind}").agg(F.count(F.lit(1)).alias("n"), F.sum("__label").alias("bad")).collect()  # SLOTS rows at most
+    for kind in kinds:
         rate = [prior] * SLOTS
-        for slot, n, bad in rows:
-            rate[slot] = (bad + 10 * prior) / (n + 10)
+        for r in rows:
+            if r["kind"] == kind:
+                rate[r["slot"]] = (r["bad"] + 10 * prior) / (r["n"] + 10)
         out[kind] = F.array(*[F.lit(round(r, 9)) for r in rate])
-    return out
+    return n, bad, out
 
 
 def url_filter(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", rules: list[tuple[str, str, str]] = RULES, sample: int = SAMPLE, rounds: int = 10, depth: int = 3) -> DataFrame:
@@ -96,17 +106,17 @@ def url_filter(pages: DataFrame, id_col: str = "page_id", url_col: str = "url",
     rule, verdict = rule_columns(rules, F.col("host"), F.col("path"))
     parts = _parts(cut.withColumn("rule", rule).withColumn("__by_rule", verdict), url_col)
     labelled = parts.filter("rule is not null").withColumn("__label", (F.col("__by_rule") == "block").cast("double"))
-    n, bad = labelled.agg(F.count(F.lit(1)), F.sum("__label")).first()
+    n, bad, rates = _rates(labelled)
     if not n or bad in (0, n):
         lone = F.lit("block" if n and bad == n else "allow")
         return parts.select(*own, "host", "path", "rule", F.coalesce("__by_rule", lone).alias("verdict"), F.lit(None).cast("double").alias("block_score"))
-    rates = _rates(labelled, bad / n)
     ready = lambda df: VectorAssembler(inputCols=[f"__{f}" for f in FEATURES], outputCol="__x").transform(
         df.select("*", *[F.element_at(rates[k], F.col(f"__{k}") + 1).alias(f"__{k}_rate") for k in rates])
     )
     share = int(min(1.0, sample / n) * (1 << 20))
-    chosen = labelled.filter(F.pmod(F.xxhash64(id_col, url_col), F.lit(1 << 20)) < share)
-    model = GBTClassifier(featuresCol="__x", labelCol="__label", predictionCol="__p", maxIter=rounds, maxDepth=depth, seed=7).setProbabilityCol("__prob").setRawPredictionCol("__raw").fit(ready(chosen).select("__x", "__label").coalesce(8))
+    chosen = ready(labelled.filter(F.pmod(F.xxhash64(id_col, url_col), F.lit(1 << 20)) < share)).select(*[f"__{f}" for f in FEATURES], "__label")
+    learn = VectorAssembler(inputCols=[f"__{f}" for f in FEATURES], outputCol="__x").transform(materialize(chosen.coalesce(8), "url-sample"))
+    model = GBTClassifier(featuresCol="__x", labelCol="__label", predictionCol="__p", maxIter=rounds, maxDepth=depth, seed=7).setProbabilityCol("__prob").setRawPredictionCol("__raw").fit(learn.select("__x", "__label"))
     scored = model.transform(ready(parts))
     bad_score = F.element_at(vector_to_array(F.col("__prob")), 2)
     learnt = F.when(F.col("__p") > 0.5, "block").otherwise("allow")

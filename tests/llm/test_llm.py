@@ -111,6 +111,27 @@ def test_url_rules_and_model(spark):
     assert urls.url_filter(spark.createDataFrame([], "page_id long, url string")).count() == 0
 
 
+def test_trees_beat_the_majority_on_urls_that_no_rule_covers(spark):
+    """Labels come from rules on some hosts; the same kinds of path on other hosts are judged, against how they were made."""
+    rng = random.Random(21)
+    rows, truth = [], {}
+    for k in range(3000):
+        bad = rng.random() < 0.4
+        host = f"{rng.choice('abcdef')}.{'org' if k % 3 == 0 else 'bad' if bad else 'good'}"
+        path = f"/casino/{rng.randrange(10**9)}?x=1&y={rng.randrange(10**6)}&z=2" if bad else f"/news/{''.join(rng.choice('aeiou') for _ in range(8))}.html"
+        rows.append((k, f"http://{host}{path}"))
+        truth[k] = ("block" if bad else "allow", k % 3 == 0)
+    rules = [("bad", "/", "block"), ("good", "/", "allow")]
+    got = {r.page_id: r for r in urls.url_filter(spark.createDataFrame(rows, "page_id long, url string"), rules=rules).collect()}
+    free = [k for k, (_, new) in truth.items() if new]
+    right = sum(got[k].verdict == truth[k][0] for k in free)
+    assert all(got[k].rule is None for k in free) and right > 0.95 * len(free) > max(Counter(truth[k][0] for k in free).values())
+    one = urls.url_filter(spark.createDataFrame(rows[:50], "page_id long, url string"), rules=[("bad", "/", "block")])
+    assert {r.verdict for r in one.collect()} == {"block"}
+    none = urls.url_filter(spark.createDataFrame([(1, "http://x/" + "y" * 100_000), (None, None)], "page_id long, url string"))
+    assert {r.verdict for r in none.collect()} == {"allow"}
+
+
 # --- 3 ---
 
 
