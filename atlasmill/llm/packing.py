@@ -4,17 +4,21 @@ Texts are tokenized, closed with an end id and cut into pieces of at most ``CAPA
 depends on the lengths alone, so it is solved on the histogram of lengths (``CAPACITY`` numbers at
 most, whatever the input) and the plan is then dealt out to the pieces by their rank within a length.
 
-The solver keeps best-fit decreasing as its incumbent. Bin completion takes the largest length left
-and enumerates fillings around it depth first, larger items first; a filling whose items another one
-replaces by larger ones at no more waste is dominated and skipped. The best filling is used as often
-as the counts allow. The last ``TAIL`` items are searched by branch and bound over the fillings,
-pruned by the waste that a better solution can still afford. The better of both solutions is the plan.
-The search is bounded by ``NODES`` fillings a step and ``BOUND_NODES`` nodes for the tail.
+The solver's incumbent is best-fit decreasing. If it meets the lower bound, it is optimal. Otherwise
+branch and bound completes one bin after the other: the bin of the largest length left, by all its
+undominated fillings. A filling takes a number of each length, so equal lengths are one decision, and
+is dominated if another item fits beside it or if a larger item can stand for one of its own. A filling
+is first used as often as the counts allow, then once. Branches are pruned by the lower bound of what is
+left, by the waste that a better solution can still afford, and if the same counts were left before in
+as few bins. The search ends when it is exhausted, or when it meets the bound, or after ``STEPS`` steps;
+in the last case the best solution found is used and ``proven`` is false, as a smaller one may exist.
 
 The plan (at most a few runs for each distinct length and place) goes to the executors as arrays.
 
-Nulls: a null text counts as empty, its only token is the end id; null ids are kept. Repeated rows are
-packed each; ties in rank are broken by a hash of the piece. An empty table gives an empty result.
+Nulls: a null text counts as empty, its only token is the end id; null ids are kept. Very long texts are
+encoded whole and cut into pieces. Repeated rows are packed each; ties in rank are broken by a hash of the
+piece. An empty table gives an empty result. Of the input only the id and the text are read, so columns
+that bear the name of a result do no harm.
 """
 
 from __future__ import annotations
@@ -22,10 +26,13 @@ from __future__ import annotations
 import json
 import os
 import re as _re
+import sys
 from bisect import bisect_left, bisect_right
 from collections import defaultdict
 from collections.abc import Iterator
 from functools import lru_cache
+from hashlib import blake2b
+from itertools import chain, islice
 
 import numpy as np
 import pyarrow as pa
@@ -40,8 +47,10 @@ from atlasmill.llm.common import small_batches, text_slices
 
 CAPACITY = 4096
 END_ID = 1
-NODES, TAIL, BOUND_NODES = 300, 24, 20_000
-WORDS_KEPT = 500_000
+#: Steps of the search (a few seconds on the driver) and fillings of a bin that are sorted by waste before they are tried.
+STEPS, SORTED = 1_000_000, 32
+#: Bytes of stretches and ids that a worker remembers, twice (this generation and the last).
+BYTES_KEPT = 48 << 20
 #: Texts of these characters only (Latin script and general punctuation, without the controls and the
 #: dotted I on which libraries differ) are encoded by their stretches between white space.
 PLAIN = _re.compile("[\\x00-\\x1b\\x20-\\x84\\x86-\\u012f\\u0131-\\u024f\\u2010-\\u2027\\u2030-\\u205e]*")
@@ -65,19 +74,21 @@ class WordTokens:
         self.marks = [t["content"] for t in spec["added_tokens"]]
         self.known: dict[str, bytes] = {}
         self.before: dict[str, bytes] = {}
+        self.size = 0
 
     def _ids(self, encoded) -> bytes:
         return np.array(encoded.ids, "<u4").tobytes()
 
     def _learn(self, new: set[str]) -> None:
-        if len(self.known) > WORDS_KEPT:  # the generation before the last is forgotten
-            self.before, self.known = self.known, {}
-        if self.before:
-            again = new.intersection(self.before)
-            self.known.update((w, self.before[w]) for w in again)
-            new = new.difference(again)
-        todo = list(new)
-        self.known.update(zip(todo, map(self._ids, self.library.encode_batch_fast(todo, add_special_tokens=False)), strict=True))
+        """Make the stretches ``new`` known; with a full memory the generation before the last is forgotten."""
+        if self.size > BYTES_KEPT:
+            self.before, self.known, self.size = self.known, {}, 0
+        new = new.difference(self.known)
+        again = new.intersection(self.before)
+        todo = list(new - again)
+        found = {w: self.before[w] for w in again} | dict(zip(todo, map(self._ids, self.library.encode_batch_fast(todo, add_special_tokens=False)), strict=True))
+        self.known.update(found)
+        self.size += sum(len(w) + len(x) + 150 for w, x in found.items())
 
     def ids(self, texts: list[str]) -> list[bytes]:
         """Little-endian unsigned 32-bit ids of each text."""
@@ -86,11 +97,7 @@ class WordTokens:
         for words in cut:
             if words:
                 new.update(words)
-        if len(self.known) > WORDS_KEPT:
-            self._learn(new)
-        else:
-            new.difference_update(self.known)
-            self._learn(new)
+        self._learn(new)
         get = self.known.__getitem__
         return [b"".join(map(get, words)) if words is not None else self._ids(self.library.encode(t, add_special_tokens=False)) for t, words in zip(texts, cut, strict=True)]
 
@@ -127,18 +134,19 @@ def token_pieces(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_c
 
 
 def lower_bound(counts: dict[int, int], capacity: int) -> int:
-    """Bins that any packing needs: the total, or the large items with what cannot stand beside them."""
-    total = sum(x * n for x, n in counts.items())
-    best = -(-total // capacity)
-    for cut in {x for x in counts if 2 * x <= capacity} | {0}:
-        big = sum(n for x, n in counts.items() if x > capacity - cut)
-        mid = [(x, n) for x, n in counts.items() if capacity // 2 < x <= capacity - cut]
-        low = sum(x * n for x, n in counts.items() if cut <= x <= capacity // 2)
-        room = sum(n * (capacity - x) for x, n in mid)
-        best = max(best, big + sum(n for _, n in mid) + max(0, -(-(low - room) // capacity)))
-        if len(counts) > 500:
-            break
-    return best
+    """Bins that any packing needs: for each length as a cut, the items too large for it, the other large ones, and what of the rest (down to the cut) has no room beside those."""
+    if not counts:
+        return 0
+    x = np.array(sorted(counts), np.int64)
+    n = np.array([counts[k] for k in x.tolist()], np.int64)
+    many, total = np.concatenate([[0], np.cumsum(n)]), np.concatenate([[0], np.cumsum(n * x)])
+    half = int(np.searchsorted(2 * x, capacity, side="right"))  # from here on larger than half
+    cut = np.concatenate([[0], x[:half]])
+    low = np.concatenate([[0], np.arange(half)])
+    big = np.searchsorted(x, capacity - cut, side="right")
+    room = (many[big] - many[half]) * capacity - (total[big] - total[half])
+    rest = total[half] - total[low] - room
+    return int((many[-1] - many[half] + np.maximum(0, -(-rest // capacity))).max())
 
 
 def best_fit(counts: dict[int, int], capacity: int) -> list[tuple[tuple[int, ...], int]]:
@@ -179,129 +187,124 @@ def best_fit(counts: dict[int, int], capacity: int) -> list[tuple[tuple[int, ...
     return [(items, n) for group in bins.values() for items, n in group.items()]
 
 
-def fillings(room: int, lengths: list[int], left: dict[int, int], nodes: int, keep: int = 1) -> list[tuple[int, tuple[int, ...]]]:
-    """Up to ``keep`` undominated fillings of ``room`` as (waste, items), least waste first, larger items first.
-
-    ``lengths`` are sorted; ``left`` their counts. Stops at ``keep`` exact fillings or after ``nodes`` steps.
-    """
-    found: list[tuple[int, tuple[int, ...]]] = []
-    chosen: list[int] = []
-    budget, exact = nodes, 0
-
-    def dominated(items: tuple[int, ...], waste: int) -> bool:
-        return any(w <= waste and len(o) <= len(items) and all(a >= b for a, b in zip(o, items, strict=False)) and sum(items[len(o) :]) == 0 for w, o in found)
-
-    def go(room: int, below: int) -> None:
-        nonlocal budget, exact
-        budget -= 1
-        closed = True
-        at = min(below, bisect_right(lengths, room)) - 1
-        while at >= 0 and budget > 0 and exact < keep:
-            x = lengths[at]
-            if left[x] > 0:
-                closed = False
-                left[x] -= 1
-                chosen.append(x)
-                go(room - x, at + 1)
-                chosen.pop()
-                left[x] += 1
-                if room - x == 0:
-                    break  # nothing smaller can do better here
-            at -= 1
-        if closed:
-            items = tuple(chosen)
-            if not dominated(items, room):
-                found.append((room, items))
-                exact += room == 0
-
-    go(room, len(lengths))
-    found.sort(key=lambda f: (f[0], [-x for x in f[1]]))
-    return found[:keep]
-
-
-def _branch(items: dict[int, int], capacity: int, incumbent: int, nodes: int) -> list[tuple[int, ...]] | None:
-    """Bins of a packing of ``items`` with fewer than ``incumbent`` bins, the best found, or None."""
-    left = dict(items)
-    lengths = sorted(left)
-    total = sum(x * n for x, n in items.items())
-    best: list[tuple[int, ...]] | None = None
-    goal, budget = incumbent, nodes
-    now: list[tuple[int, ...]] = []
-
-    def go(waste: int) -> None:
-        nonlocal best, goal, budget
-        budget -= 1
-        if budget < 0:
+class _Spent(Exception):
+    """The search has used its steps."""
+
+
+class _Completion:
+    """Branch and bound over the bins of a histogram; ``best`` is a plan with fewer than ``goal`` bins, if one was found."""
+
+    def __init__(self, counts: dict[int, int], capacity: int, goal: int, bound: int, steps: int):
+        self.left, self.capacity, self.goal, self.bound, self.steps = dict(counts), capacity, goal, bound, steps
+        self.lengths = sorted(counts)
+        self.total = sum(x * n for x, n in counts.items())
+        self.best: list[tuple[tuple[int, ...], int]] | None = None
+        self.now: list[tuple[tuple[int, ...], int]] = []
+        self.seen: dict[bytes, int] = {}
+
+    def fillings(self, room: int, afford: int) -> Iterator[tuple[int, tuple[int, ...]]]:
+        """(waste, items) of the undominated fillings of ``room`` that waste at most ``afford``, larger items first."""
+        lengths, left = self.lengths, self.left
+        have = np.concatenate([[0], np.cumsum([x * left[x] for x in lengths])]).tolist()
+        chosen: list[tuple[int, int]] = []
+
+        def replaceable(waste: int) -> bool:
+            """Whether a larger item that is not in the filling can stand for one of it."""
+            used = dict(chosen)
+            for y, _ in chosen:
+                for k in range(bisect_right(lengths, y), bisect_right(lengths, y + waste)):
+                    if left[lengths[k]] > used.get(lengths[k], 0):
+                        return True
+            return False
+
+        def go(room: int, below: int, spare: int) -> Iterator[tuple[int, tuple[int, ...]]]:
+            """``spare``: the smallest length of which an item is left out; it must not fit at the end."""
+            self.steps -= 1
+            if self.steps < 0:
+                raise _Spent
+            at = min(below, bisect_right(lengths, room)) - 1
+            while at >= 0:
+                if room - have[at + 1] > afford or room - have[at + 1] >= spare:
+                    return  # all that is smaller is too little
+                x = lengths[at]
+                if left[x]:
+                    most = min(left[x], room // x)
+                    for k in range(most, 0, -1):
+                        chosen.append((x, k))
+                        yield from go(room - k * x, at, min(spare, x) if k < left[x] else spare)
+                        chosen.pop()
+                    spare = min(spare, x)
+                at -= 1
+            if room <= afford and room < spare and not replaceable(room):
+                yield room, tuple(x for x, k in chosen for _ in range(k))
+
+        yield from go(room, len(lengths), self.capacity + 1)
+
+    def run(self) -> bool:
+        """Search; whether the search was exhausted or met the bound."""
+        deep = sys.getrecursionlimit()
+        sys.setrecursionlimit(max(deep, 10 * sum(1 for _ in self.lengths) + 200_000))
+        try:
+            self._go(0, 0)
+        except _Spent:
+            return self.goal <= self.bound
+        finally:
+            sys.setrecursionlimit(deep)
+        return True
+
+    def _go(self, bins: int, waste: int) -> None:
+        left = self.left
+        rest = {x: left[x] for x in self.lengths if left[x]}
+        if not rest:
+            if bins < self.goal:
+                self.best, self.goal = list(self.now), bins
             return
-        largest = next((x for x in reversed(lengths) if left[x]), None)
-        if largest is None:
-            if len(now) < goal:
-                best, goal = list(now), len(now)
-            return
-        rest = {x: n for x, n in left.items() if n}
-        if len(now) + lower_bound(rest, capacity) >= goal:
+        self.steps -= 20 + len(rest) // 4
+        if self.steps < 0:
+            raise _Spent
+        state = blake2b(np.array([left[x] for x in self.lengths], np.int64).tobytes(), digest_size=16).digest()
+        if self.seen.get(state, bins + 1) <= bins or bins + lower_bound(rest, self.capacity) >= self.goal:
             return
+        if len(self.seen) < 100_000:  # a memory only: what is forgotten is searched again
+            self.seen[state] = bins
+        largest = max(rest)
         left[largest] -= 1
-        for spare, items in fillings(capacity - largest, lengths, left, 2000, keep=50):
-            if waste + spare > (goal - 1) * capacity - total:
-                break
-            for x in items:
-                left[x] -= 1
-            now.append((largest, *items))
-            go(waste + spare)
-            now.pop()
-            for x in items:
-                left[x] += 1
-            if budget < 0:
-                break
+        # the generator looks at the counts, so they are as it left them whenever it goes on
+        found = self.fillings(self.capacity - largest, (self.goal - 1) * self.capacity - self.total - waste)
+        first = sorted(islice(found, SORTED), key=lambda f: (f[0], [-x for x in f[1]]))
+        for spare, items in chain(first, found):
+            left[largest] += 1
+            if waste + spare <= (self.goal - 1) * self.capacity - self.total:
+                used: dict[int, int] = defaultdict(int)
+                for x in (largest, *items):
+                    used[x] += 1
+                most = min(left[x] // n for x, n in used.items())
+                for times in (most, 1) if most > 1 else (1,):
+                    for x, n in used.items():
+                        left[x] -= n * times
+                    self.now.append(((largest, *items), times))
+                    self._go(bins + times, waste + spare * times)
+                    self.now.pop()
+                    for x, n in used.items():
+                        left[x] += n * times
+                    if self.goal <= self.bound:
+                        return
+            left[largest] -= 1
         left[largest] += 1
 
-    go(0)
-    return best
-
-
-def complete_bins(counts: dict[int, int], capacity: int, nodes: int = NODES, tail: int = TAIL, bound_nodes: int = BOUND_NODES) -> list[tuple[tuple[int, ...], int]]:
-    """Bin completion around the largest length, then branch and bound for the last items."""
-    left = dict(counts)
-    lengths = sorted(left)
-    remaining = sum(left.values())
-    plan: list[tuple[tuple[int, ...], int]] = []
-    while remaining > tail:
-        while not left[lengths[-1]]:
-            lengths.pop()
-        if len(lengths) > 8 and sum(1 for x in lengths if not left[x]) * 4 > len(lengths):
-            lengths = [x for x in lengths if left[x]]
-        largest = lengths[-1]
-        left[largest] -= 1
-        _, items = fillings(capacity - largest, lengths, left, nodes)[0]
-        left[largest] += 1
-        used = defaultdict(int)
-        for x in (largest, *items):
-            used[x] += 1
-        times = max(1, min(left[x] // n for x, n in used.items()))
-        for x, n in used.items():
-            left[x] -= n * times
-            remaining -= n * times
-        plan.append(((largest, *items), times))
-    rest = {x: n for x, n in left.items() if n}
-    if rest:
-        fallback = best_fit(rest, capacity)
-        better = _branch(rest, capacity, sum(n for _, n in fallback), bound_nodes)
-        plan += [(b, 1) for b in better] if better is not None else fallback
-    return plan
-
-
-def solve(counts: dict[int, int], capacity: int = CAPACITY) -> list[tuple[tuple[int, ...], int]]:
-    """A plan with as few bins as the two methods find."""
+
+def solve(counts: dict[int, int], capacity: int = CAPACITY, steps: int = STEPS) -> tuple[list[tuple[tuple[int, ...], int]], bool]:
+    """(plan, whether it is proven that no plan has fewer bins)."""
     counts = {x: n for x, n in counts.items() if n}
     if not counts:
-        return []
-    incumbent = best_fit(counts, capacity)
+        return [], True
+    incumbent, bound = best_fit(counts, capacity), lower_bound(counts, capacity)
     used = sum(n for _, n in incumbent)
-    if used == lower_bound(counts, capacity):
-        return incumbent
-    other = complete_bins(counts, capacity)
-    return other if sum(n for _, n in other) < used else incumbent
+    if used == bound:
+        return incumbent, True
+    search = _Completion(counts, capacity, used, bound, steps)
+    proven = search.run()
+    return search.best or incumbent, proven
 
 
 def runs(plan: list[tuple[tuple[int, ...], int]]) -> dict[str, np.ndarray]:
@@ -328,20 +331,21 @@ def _place(batches: Iterator[pa.RecordBatch], plan, own: list[str]) -> Iterator[
 
 
 def pack(pieces: DataFrame, capacity: int = CAPACITY) -> DataFrame:
-    """All columns of ``pieces`` (``length`` among them, none over ``capacity``) with ``sequence_id`` and ``offset``.
+    """All columns of ``pieces`` (``length`` among them, none over ``capacity``) with ``sequence_id``, ``offset`` and ``proven`` (of the whole plan).
 
     ``pieces`` is read twice (histogram, placing): hand over a written table.
     """
     own = pieces.columns
     counts = {int(r[0]): int(r[1]) for r in pieces.groupBy("length").count().collect()}  # ``capacity`` rows at most
-    plan = pieces.sparkSession.sparkContext.broadcast(runs(solve(counts, capacity)))
+    solution, proven = solve(counts, capacity)
+    plan = pieces.sparkSession.sparkContext.broadcast(runs(solution))
     ranked = dense_position(pieces, "length", [c for c in own if c != "length"], "__rank", salts_for(sum(counts.values())))
     schema = T.StructType([*[pieces.schema[c] for c in own], T.StructField("sequence_id", T.LongType()), T.StructField("offset", T.LongType())])
-    return ranked.select(*own, "__rank").mapInArrow(lambda it: _place(it, plan, own), schema)
+    return ranked.select(*own, "__rank").mapInArrow(lambda it: _place(it, plan, own), schema).withColumn("proven", F.lit(proven))
 
 
 def pack_documents(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: str = "text", capacity: int = CAPACITY) -> DataFrame:
-    """(id, piece, start, length, ids_crc32, sequence_id, offset): where each piece of each text goes."""
+    """(id, piece, start, length, ids_crc32, sequence_id, offset, proven): where each piece of each text goes."""
     cut = token_pieces(docs, tokenizer, id_col, text_col, capacity)
     digests = materialize(cut.select(id_col, "piece", "start", "length", F.crc32("ids").alias("ids_crc32")), "pieces")
     return pack(digests, capacity)

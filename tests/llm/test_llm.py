@@ -444,13 +444,58 @@ def fewest_bins(items, capacity):
     return best[0]
 
 
+def checked(items, capacity, **settings):
+    plan, proven = packing.solve(Counter(items), capacity, **settings)
+    assert sorted(x for p, n in plan for x in p * n) == sorted(items) and all(sum(p) <= capacity for p, _ in plan)
+    return sum(n for _, n in plan), proven
+
+
 def test_solver_is_optimal_on_small_cases():
     rng = random.Random(9)
-    for _ in range(120):
+    for _ in range(300):
         items = [rng.randrange(1, 20) for _ in range(rng.randrange(1, 11))]
-        plan = packing.solve(Counter(items), 20)
-        assert sorted(x for p, n in plan for x in p * n) == sorted(items) and all(sum(p) <= 20 for p, _ in plan)
-        assert sum(n for _, n in plan) == fewest_bins(items, 20)
+        assert checked(items, 20) == (fewest_bins(items, 20), True)
+    for _ in range(60):  # thirds are hard for best fit: the search itself is tested
+        items = [rng.randrange(5, 12) for _ in range(rng.randrange(9, 13))]
+        assert checked(items, 20) == (fewest_bins(items, 20), True)
+
+
+def test_bin_completion_beats_best_fit_on_many_items():
+    """Bins of three filled to the brim and shuffled: the number of bins is the optimum; best fit needs more."""
+    rng, beaten = random.Random(91), 0
+    for n in (10, 20, 40, 80):
+        items = []
+        for _ in range(n):
+            a = rng.randrange(26, 45)
+            b = rng.randrange(26, 100 - a - 25)
+            items += [a, b, 100 - a - b]
+        best = sum(m for _, m in packing.best_fit(Counter(items), 100))
+        used, proven = checked(items, 100)
+        beaten += best > n
+        assert used <= best and (used == n) == proven
+        assert used == n or n > 20
+    assert beaten >= 3
+    assert checked([1] * 5000 + [4000], 4096) == (3, True)
+    assert packing._Completion(Counter([1] * 5000 + [4000]), 4096, 99, 3, 100_000).run()
+
+
+def test_lower_bound_holds_and_a_spent_search_is_not_proven():
+    rng = random.Random(92)
+    for _ in range(200):
+        items = [rng.randrange(1, 21) for _ in range(rng.randrange(1, 9))]
+        assert packing.lower_bound(Counter(items), 20) <= fewest_bins(items, 20)
+    items = [rng.randrange(26, 49) for _ in range(300)]
+    used, proven = checked(items, 100, steps=50)
+    assert used == sum(m for _, m in packing.best_fit(Counter(items), 100)) and not proven
+
+
+def test_words_are_remembered_by_bytes(monkeypatch):
+    monkeypatch.setattr(packing, "BYTES_KEPT", 5000)
+    machine = packing.WordTokens(tokenizer_file("word_bpe_49k.json"))
+    for k in range(30):
+        text = " ".join(f"word{j}" for j in range(10 * k, 10 * k + 20)) + " " + "x" * 2000
+        assert np.frombuffer(machine.ids([text])[0], "<u4").tolist() == machine.library.encode(text, add_special_tokens=False).ids
+        assert sum(map(len, machine.known)) + sum(map(len, machine.before)) < 30_000
 
 
 def test_packing_round_trip(spark, odd, empty):
@@ -462,8 +507,8 @@ def test_packing_round_trip(spark, odd, empty):
     assert len([p for p in pieces if p.doc_id == 5]) == 2 and [p.length for p in pieces if p.doc_id == 2] == [1]
     text = "It's WE'LL don'T ΑΣ é x<|endoftext|>y İ a\x1cb"
     assert np.frombuffer(packing.word_tokens(path).ids([text])[0], "<u4").tolist() == library.encode(text, add_special_tokens=False).ids
-    rows = packing.pack_documents(odd, path).collect()
-    assert len(rows) == len(pieces)
+    rows = packing.pack_documents(odd.withColumn("sequence_id", F.lit("clash")), path).collect()
+    assert len(rows) == len(pieces) and all(r.proven for r in rows)
     for s in {r.sequence_id for r in rows}:
         own = sorted((r.offset, r.length) for r in rows if r.sequence_id == s)
         assert [o for o, _ in own] == [sum(n for _, n in own[:k]) for k in range(len(own))] and sum(n for _, n in own) <= 4096
