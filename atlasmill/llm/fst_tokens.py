@@ -1,18 +1,27 @@
 """Token counts by compiled finite-state machines.
 
-Two machines are compiled from the tokenizer's file. The first is the word splitter: a deterministic
-automaton of eight states over character classes (with the lookahead of two characters that
-contractions and trailing white space need folded into the class). A batch of texts is one symbol
-sequence, cut into equal chunks; every chunk's state map (state before -> state after) is computed for
-all chunks at once, the maps are composed by a parallel prefix scan, and a second pass marks where
-words begin, each chunk starting from its scanned state. The second machine is a deterministic
-transducer over the bytes of a word. Its state holds, for each suffix of the word that is a proper
-prefix of a vocabulary entry, the place in the vocabulary's trie, the last token of the encoding of
-what is before it, and how many tokens fewer that encoding has; a transition is annotated with the
-number of tokens the encoding grows by (it may be negative). By the compatibility of neighbouring
-tokens exactly one vocabulary entry can close each prefix, so the sum of the annotations is the length
-of the byte-pair encoding. States are compiled when first met and kept. Words whose count is known
-are not run again.
+Two machines are compiled from the tokenizer's file, and both run over chunks whose state maps are
+composed by a prefix scan. The first is the word splitter: a deterministic automaton of eight states
+over character classes (with the lookahead of two characters that contractions and trailing white space
+need folded into the class). A batch of texts is one symbol sequence, cut into equal chunks; every
+chunk's state map (state before -> state after) is computed for all chunks at once, the maps are composed
+by a parallel prefix scan, and a second pass marks where words begin, each chunk starting from its
+scanned state.
+
+The second machine is a deterministic transducer over the bytes of a word. Its state holds, for each
+suffix of the word that is a proper prefix of a vocabulary entry, the place in the vocabulary's trie, the
+last token of the encoding of what is before it, and how many tokens fewer that encoding has; a
+transition is annotated with the number of tokens the encoding grows by (it may be negative). By the
+compatibility of neighbouring tokens exactly one vocabulary entry can close each prefix, so the sum of the
+annotations is the length of the byte-pair encoding. States are compiled when first met and kept.
+
+The transducer has too many states for whole maps, so a chunk's map (state before -> state after, tokens
+emitted) is kept for the one state before it that matters. The new words of a batch are one byte sequence,
+cut where a word begins (the state there is the first one) and every ``SPAN`` bytes. Inside a long word
+the state before a chunk is first taken to be the one that the chunk before it leads to from the first
+state (machines of this kind fall into step); all chunks are run, and the maps are composed: where a
+chunk's map is not defined for the state that the map before it gives, it is run again for that state.
+The scan of the emitted counts gives each word's tokens. Words whose count is known are not run again.
 
 Nulls: a null text counts as empty (0 tokens). Special tokens of the file are recognised inside texts
 as the library does by default. Empty and very long texts need no special care (a text is never cut);
@@ -35,8 +44,11 @@ from pyspark.sql import types as T
 from atlasmill.llm.common import small_batches, text_slices, without
 
 LIMIT = 1024
-WORDS_KEPT, STATES_KEPT = 800_000, 250_000
+#: What a worker remembers: bytes of words with their counts, states, and pairs of tokens.
+BYTES_KEPT, STATES_KEPT, PAIRS_KEPT = 96 << 20, 250_000, 1_000_000
 CHUNKS = 2048
+#: Bytes of a chunk of the transducer's sequence, and rounds in which all broken chunks are run again at once.
+SPAN, ROUNDS = 64, 4
 END = 0x110000
 # symbols: letter, number, other, apostrophe of a one- or two-letter contraction, white space inside a
 # run, space that joins the next word, other white space that ends a run, end of a text
@@ -126,18 +138,6 @@ def word_starts(code: np.ndarray, chunks: int = CHUNKS) -> np.ndarray:
     return np.flatnonzero(marks.T.ravel()[:n])
 
 
-class _Counted(dict):
-    """Token counts of words; a word that is not known yet is run through the transducer."""
-
-    def __init__(self, machine: TokenTransducer):
-        super().__init__()
-        self.machine = machine
-
-    def __missing__(self, word: str) -> int:
-        self[word] = n = self.machine.count(word.encode("utf-8", "surrogatepass"))
-        return n
-
-
 class TokenTransducer:
     """The counting transducer of one byte-level byte-pair vocabulary, compiled as far as it is used."""
 
@@ -165,7 +165,8 @@ class TokenTransducer:
                 at = self.children[at][b]
             self.closes[at] = k
         self.fits: dict[tuple[int, int], bool] = {}
-        self.words = _Counted(self)
+        self.words: dict[str, int] = {}
+        self.size = 0
         self._forget()
 
     @staticmethod
@@ -216,18 +217,57 @@ class TokenTransducer:
         move = self.moves[state][byte] = (number, grown)
         return move
 
-    def count(self, word: bytes) -> int:
-        state = total = 0
-        for byte in word:
+    def run(self, chunk: bytes, state: int) -> tuple[int, int]:
+        """The chunk's map at one state: (state after, tokens emitted)."""
+        total = 0
+        for byte in chunk:
             state, grown = self.moves[state].get(byte) or self._compile(state, byte)
             total += grown
-        return total
+        return state, total
+
+    def count_words(self, words: list[bytes], span: int = 0) -> np.ndarray:
+        """Tokens of each word: chunk maps, composed by a scan over all chunks of all words."""
+        span = span or SPAN
+        chunks = [w[at : at + span] for w in words for at in range(0, max(1, len(w)), span)]
+        many = np.array([max(1, -(-len(w) // span)) for w in words], np.int64)
+        begins = np.concatenate([[0], np.cumsum(many)])[:-1]
+        inner = np.ones(len(chunks), bool)
+        inner[begins] = False
+        before = np.zeros(len(chunks), np.int64)
+        after, grown = np.zeros(len(chunks), np.int64), np.zeros(len(chunks), np.int64)
+
+        def run_again(which: list[int]) -> None:
+            for k in which:
+                after[k], grown[k] = self.run(chunks[k], int(before[k]))
+
+        for k in np.flatnonzero(inner).tolist():
+            before[k] = self.run(chunks[k - 1], 0)[0]
+        run_again(range(len(chunks)))
+        for _ in range(ROUNDS):
+            broken = np.flatnonzero(inner[1:] & (after[:-1] != before[1:])) + 1
+            if not len(broken):
+                break
+            before[broken] = after[broken - 1]
+            run_again(broken.tolist())
+        else:  # out of step for long: one after the other
+            for k in np.flatnonzero(inner).tolist():
+                if before[k] != after[k - 1]:
+                    before[k] = after[k - 1]
+                    run_again([k])
+        scanned = np.concatenate([[0], np.cumsum(grown)])
+        return scanned[begins + many] - scanned[begins]
 
     def count_all(self, words: list[str]) -> np.ndarray:
-        if len(self.words) > WORDS_KEPT:
-            self.words.clear()
-        if len(self.states) > STATES_KEPT:
-            self._forget()
+        new = list(set(words).difference(self.words))
+        if new:
+            if self.size > BYTES_KEPT:
+                self.words, self.size, new = {}, 0, list(set(words))
+            if len(self.states) > STATES_KEPT:
+                self._forget()
+            if len(self.fits) > PAIRS_KEPT:
+                self.fits = {}
+            self.words.update(zip(new, self.count_words([w.encode("utf-8", "surrogatepass") for w in new]).tolist(), strict=True))
+            self.size += sum(map(len, new)) + 130 * len(new)
         return np.fromiter(map(self.words.__getitem__, words), np.int64, len(words))
 
     def count_texts(self, texts: list[str]) -> list[int]:

@@ -188,7 +188,7 @@ def test_token_counts_equal_the_library(spark, odd, empty):
     path = tokenizer_file("byte_bpe_50k.json")
     library, machine = Tokenizer.from_file(path), fst_tokens.transducer(path)
     rng = random.Random(4)
-    texts = ["", "  ", " 's 'sx don't we'll ''s '", "\n\n a\t\tb  ", "x<|endoftext|>y  <|endoftext|>", "é中文 123 ４５ 😀'reab", "a" * 3000]
+    texts = ["", "  ", " 's 'sx don't we'll ''s '", "\n\n a\t\tb  ", "x<|endoftext|>y  <|endoftext|>", "é中文 123 ４５ 😀'reab", "a" * 3000, "word " * 200_000]
     texts += ["".join(rng.choice("ab 's\n\t1é中relvm!  ") for _ in range(rng.randrange(50))) for _ in range(1500)]
     assert machine.count_texts(texts) == [len(e.ids) for e in library.encode_batch(texts, add_special_tokens=False)]
     got = fst_tokens.token_counts(odd.withColumn("n_tokens", F.lit("clash")), path).collect()
@@ -209,6 +209,26 @@ def test_scanned_maps_equal_a_sequential_run():
         assert fst_tokens.word_starts(code, chunks).tolist() == want
 
 
+def test_composed_chunk_maps_of_the_transducer_equal_the_library(monkeypatch):
+    from tokenizers import Tokenizer
+
+    path = tokenizer_file("byte_bpe_50k.json")
+    library, machine = Tokenizer.from_file(path), fst_tokens.transducer(path)
+    rng = random.Random(41)
+    words = ["a" * 1000, "ab" * 700, "x", "é" * 300, "中" * 200] + ["".join(rng.choice("etaoinsrhé") for _ in range(rng.randrange(1, 400))) for _ in range(200)]
+    words += ["".join(rng.choice(["tion", "ing", "the", "and", "q", "zx"]) for _ in range(rng.randrange(1, 120))) for _ in range(200)]
+    want = [len(e.ids) for e in library.encode_batch(words, add_special_tokens=False)]
+    for span in (1, 3, 16, 64, 10_000):
+        for rounds in (0, 4):
+            monkeypatch.setattr(fst_tokens, "ROUNDS", rounds)
+            assert machine.count_words([w.encode() for w in words], span).tolist() == want
+    began = len(words)
+    monkeypatch.setattr(fst_tokens, "BYTES_KEPT", 1000)
+    monkeypatch.setattr(fst_tokens, "STATES_KEPT", 10)
+    monkeypatch.setattr(fst_tokens, "PAIRS_KEPT", 10)
+    assert [machine.count_all([w])[0] for w in words] == want and len(machine.words) < began
+
+
 # --- 5 ---
 
 
