@@ -12,7 +12,8 @@ limit, the score that all but ``LOSE`` of the correctly recognised calibration t
 which is all that executors get.
 
 Nulls: a null text, or one without a letter, is ``und`` with score 0 and rejected. Rows with a null
-label or null id are not learned from; a row with a null id counts as held out. With no labelled row
+label or null id are not learned from; a row with a null id counts as held out. Very long texts are read
+whole, one slice each. With no labelled row
 all is ``und``; with one language every text with a letter gets it. Ties go to the smaller language.
 Repeated rows get equal results; an empty table gives an empty result; input columns named like a
 result are replaced.
@@ -20,6 +21,7 @@ result are replaced.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -113,13 +115,14 @@ def _featurize(batches: Iterator[pa.RecordBatch], text_col: str, label_col: str)
 
 
 def sample(docs: DataFrame, id_col: str, text_col: str, label_col: str, most: int = TRAIN_DOCS) -> DataFrame:
-    """Subword features of the training sample: about ``most`` rows (expected), an equal number of each language where it has them."""
+    """Subword features of the training sample: about ``most`` rows (expected), an equal number of each language where it has them, and one of each at least."""
     known = docs.filter(F.col(label_col).isNotNull() & F.col(text_col).isNotNull() & F.col(id_col).isNotNull() & ~held_out(id_col))
-    counts = {r[0]: r[1] for r in known.groupBy(label_col).agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), label_col).limit(most).collect()}
-    each = most // max(1, len(counts))
-    share = F.lit(0)
-    for lang, n in counts.items():
-        share = F.when(F.col(label_col) == lang, F.lit(int((1 << 30) * min(1.0, each / n)))).otherwise(share)
+    counts = {r[0]: r[1] for r in known.groupBy(label_col).agg(F.count(F.lit(1)).alias("n")).collect()}  # a row for each language
+    each = max(1, most // max(1, len(counts)))
+    if not counts:
+        share = F.lit(0)
+    else:
+        share = F.element_at(F.create_map(*[F.lit(x) for lang, n in counts.items() for x in (lang, math.ceil((1 << 30) * min(1.0, each / n)))]), F.col(label_col))
     mark = F.xxhash64(F.col(id_col), F.lit("train"))
     chosen = known.withColumn("__mark", F.call_function("shiftrightunsigned", mark, F.lit(1))).filter(F.col("__mark") % (1 << 30) < share)
     small_batches(docs.sparkSession)

@@ -1,17 +1,19 @@
 """Exact top-k search by inner product of integer vectors.
 
 Queries and candidates are dealt to a grid: a tile is one group of queries and one shard of
-candidates. A tile is worked on in blocks: a matrix product, then a partial selection that keeps
-every score not below the block's k-th (so ties survive), then the k best by (score, id). The tiles'
-lists are merged in a tree: first within a set of ``FAN_IN`` shards, then over the sets.
+candidates. A tile is worked on in blocks: one product of all its queries and candidates, then a partial
+selection for all queries at once that keeps every score not below a query's k-th (so ties survive), then
+the k best by (score, id). The tiles' lists are merged in a tree, ``FAN_IN`` lists of a query at a time,
+until one is left.
 
 Products are in float64 as long as every partial sum is below 2 ** 53, and thus exact, whatever the
 order of adding; larger components take Python's integers. A score outside the range of a long is
 returned as the nearest long (ranks still follow the exact score). Vectors that are null, empty, or
 hold a null or a component that is not finite take no part, as do rows with a null id. Vectors meet
 only vectors of their own length. Rows that share a query's id are not its candidates; a query that
-is repeated is answered once, with its least vector; repeated candidates count each. An empty table
-gives an empty result.
+is repeated is answered once, with its least vector; repeated candidates count each. Very long vectors
+are read whole. An empty table gives an empty result. Of the input only the id and the vector are read, so
+columns that bear the name of a result do no harm.
 """
 
 from __future__ import annotations
@@ -46,19 +48,36 @@ def usable(df: DataFrame, id_col: str, vector_col: str, scale: int) -> DataFrame
     return df.select(F.col(id_col).alias("vec_id"), v.alias("v")).filter(good).filter(~F.coalesce(bad, F.lit(True))).select("vec_id", F.transform("v", lambda x: _whole(x * F.lit(float(scale)))).alias("v"))
 
 
-def _matrix(column: pa.Array) -> np.ndarray:
+def _rows(column: pa.Array) -> np.ndarray:
     flat = column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column
     return flat.flatten().to_numpy(zero_copy_only=False).reshape(len(flat), -1)
 
 
-def _best(scores: np.ndarray, ids: np.ndarray, k: int) -> np.ndarray:
-    """Indices of the k best of one query's scores: higher scores first, then smaller ids."""
-    if len(scores) > k:
-        kth = np.partition(scores, len(scores) - k)[len(scores) - k]
-        near = np.flatnonzero(scores >= kth)
+def _first(row: np.ndarray, ids: np.ndarray, scores: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The k best entries of each ``row``: higher scores first, then smaller ids."""
+    if scores.dtype == object:
+        order = np.array(sorted(range(len(row)), key=lambda i: (row[i], -scores[i], ids[i])), np.int64)
     else:
-        near = np.arange(len(scores))
-    return near[np.lexsort((ids[near], -scores[near]))[:k]] if scores.dtype != object else np.array(sorted(near.tolist(), key=lambda i: (-scores[i], ids[i]))[:k], np.int64)
+        order = np.lexsort((ids, -scores, row))
+    row, ids, scores = row[order], ids[order], scores[order]
+    begins = np.flatnonzero(np.diff(row, prepend=-1)) if len(row) else np.zeros(0, np.int64)
+    place = np.arange(len(row)) - np.repeat(begins, np.diff(np.append(begins, len(row))))
+    return row[place < k], ids[place < k], scores[place < k]
+
+
+def _block(q_ids: np.ndarray, q: np.ndarray, c_ids: np.ndarray, c: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(row of the query, candidate, score) of the k best of each query in one block."""
+    scores = q @ c.T
+    other = c_ids[None, :] != q_ids[:, None]
+    if scores.dtype == object:
+        row, col = np.nonzero(other)
+    else:
+        scores[~other] = -np.inf
+        if len(c_ids) > k:
+            at = len(c_ids) - k
+            other &= scores >= np.partition(scores, at, axis=1)[:, at : at + 1]
+        row, col = np.nonzero(other)
+    return _first(row, c_ids[col], scores[row, col], k)
 
 
 def top_of_tile(q_ids: np.ndarray, q: np.ndarray, c_ids: np.ndarray, c: np.ndarray, k: int) -> tuple[list, list, list]:
@@ -67,24 +86,17 @@ def top_of_tile(q_ids: np.ndarray, q: np.ndarray, c_ids: np.ndarray, c: np.ndarr
     if not whole:
         as_int = np.frompyfunc(int, 1, 1)
         q, c = as_int(q), as_int(c)
-    held: list[tuple[np.ndarray, np.ndarray]] = [(np.zeros(0, q.dtype if not whole else np.float64), np.zeros(0, np.int64))] * len(q_ids)
-    for low in range(0, len(c_ids), BLOCK):
-        ids = c_ids[low : low + BLOCK]
-        for first in range(0, len(q_ids), BLOCK):
-            scores = q[first : first + BLOCK] @ c[low : low + BLOCK].T
-            for r in range(len(scores)):
-                other = ids != q_ids[first + r]
-                mine, own_ids = scores[r][other], ids[other]
-                best = _best(mine, own_ids, k)
-                old_s, old_i = held[first + r]
-                both_s, both_i = np.concatenate([old_s, mine[best]]), np.concatenate([old_i, own_ids[best]])
-                again = _best(both_s, both_i, k)
-                held[first + r] = both_s[again], both_i[again]
     queries, found, values = [], [], []
-    for query, (s, i) in zip(q_ids.tolist(), held, strict=True):
-        queries += [query] * len(i)
-        found += i.tolist()
-        values += [int(x) for x in s.tolist()]
+    for first in range(0, len(q_ids), BLOCK):
+        mine, own = q_ids[first : first + BLOCK], q[first : first + BLOCK]
+        held = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.float64 if whole else object)
+        for low in range(0, len(c_ids), BLOCK):
+            best = _block(mine, own, c_ids[low : low + BLOCK], c[low : low + BLOCK], k)
+            held = _first(*(np.concatenate(pair) for pair in zip(held, best, strict=True)), k)
+        row, ids, scores = held
+        queries += mine[row].tolist()
+        found += ids.tolist()
+        values += [int(x) for x in scores.tolist()]
     return queries, found, values
 
 
@@ -102,7 +114,7 @@ def _tile(left: pa.Table, right: pa.Table, k: int) -> pa.Table:
     if not left.num_rows or not right.num_rows:
         queries, found, values = [], [], []
     else:
-        queries, found, values = top_of_tile(left.column("q_id").to_numpy(), _matrix(left.column("q_v")), right.column("vec_id").to_numpy(), _matrix(right.column("v")), k)
+        queries, found, values = top_of_tile(left.column("q_id").to_numpy(), _rows(left.column("q_v")), right.column("vec_id").to_numpy(), _rows(right.column("v")), k)
     shard = right.column("shard")[0].as_py() if right.num_rows else 0
     return pa.table({"query_id": pa.array(queries, pa.int64()), "vec_id": pa.array(found, pa.int64()), "score": pa.array([max(-_LONG - 1, min(_LONG, v)) for v in values], pa.int64()), "beyond": pa.array([_beyond(v) for v in values], pa.string()), "shard": pa.array([shard] * len(queries), pa.int32())})
 
@@ -118,8 +130,11 @@ def top_k(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "embeddi
     c = ready.select("vec_id", "v", "dim", F.pmod(F.xxhash64("vec_id", "v"), F.lit(shards)).cast("int").alias("shard"), each(groups).alias("group"))
     tiles = q.groupBy("q_dim", "q_group", "q_shard").cogroup(c.groupBy("dim", "group", "shard"))
     lists = tiles.applyInArrow(lambda a, b: _tile(a, b, k), "query_id long, vec_id long, score long, beyond string, shard int")
-    merged = lists.select("query_id", "vec_id", "score", "beyond", F.expr(f"shard div {FAN_IN}").alias("set"))
     order = [F.col("score").desc(), F.col("beyond").desc(), F.col("vec_id")]
-    merged = merged.withColumn("r", F.row_number().over(W.partitionBy("query_id", "set").orderBy(*order))).filter(F.col("r") <= k)
+    merged = lists
+    while shards > 1:  # one level of the tree: FAN_IN lists of a query become one
+        shards = -(-shards // FAN_IN)
+        nodes = merged.withColumn("shard", F.expr(f"shard div {FAN_IN}"))
+        merged = nodes.withColumn("r", F.row_number().over(W.partitionBy("query_id", "shard").orderBy(*order))).filter(F.col("r") <= k).drop("r")
     ranked = merged.withColumn("rank", F.row_number().over(W.partitionBy("query_id").orderBy(*order))).filter(F.col("rank") <= k)
     return ranked.select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")

@@ -352,6 +352,21 @@ def test_top_k_of_odd_vectors(spark):
     assert topk.top_k(spark.createDataFrame([], "vec_id long, embedding array<float>")).count() == 0
 
 
+def test_top_k_over_many_tiles_and_levels(spark, monkeypatch):
+    for name, value in (("QUERY_GROUP", 3), ("SHARD", 20), ("BLOCK", 7), ("FAN_IN", 2)):
+        monkeypatch.setattr(topk, name, value)
+    rng = random.Random(61)
+    rows = [(k, [float(rng.randrange(-2, 3)) for _ in range(2)]) for k in range(0, 900, 5)] + [(7, [1.0, 1.0])] * 15
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>").withColumn("score", F.lit("clash")).withColumn("rank", F.lit(0))
+    got = sorted(tuple(r) for r in topk.top_k(df).collect())
+    want = []
+    for q, v in rows:
+        if q % 100 == 0:
+            best = sorted((-(1 << 20) * int(sum(a * b for a, b in zip(v, c, strict=True))), k) for k, c in rows if k != q)[:10]
+            want += [(q, n + 1, k, -s) for n, (s, k) in enumerate(best)]
+    assert got == sorted(want)
+
+
 # --- 7 ---
 
 
@@ -443,6 +458,20 @@ def test_language_id_on_held_out_rows(spark, odd, empty):
     assert langid.predict(odd, langid.fit(odd)).count() == len(ODD) and langid.predict(empty, langid.fit(empty)).count() == 0
 
 
+def test_language_id_of_held_out_documents(spark):
+    """Held-out accuracy on the test tables; short and long texts alike."""
+    df = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").filter("lang is not null and text is not null")
+    judged = langid.predict(df, langid.fit(df)).filter("held_out and lang_pred <> 'und'")
+    right, n, kept = judged.agg(F.count_if(F.col("lang") == F.col("lang_pred")), F.count(F.lit(1)), F.count_if(~F.col("rejected"))).first()
+    assert n > 100 and right >= 0.99 * n and kept >= 0.97 * n
+
+
+def test_every_language_is_learned(spark, monkeypatch):
+    rows = [(k, f"w{k % 7}a w{k % 7}b w{k % 7}c " * 5, f"l{k % 7}", "s") for k in range(300)]
+    picked = langid.sample(docs(spark, rows), "doc_id", "text", "lang", most=3).select("label").distinct().count()
+    assert picked >= 1 and {r[0] for r in langid.sample(docs(spark, rows), "doc_id", "text", "lang", most=2000).select("label").distinct().collect()} == {f"l{k}" for k in range(7)}
+
+
 # --- 9 ---
 
 
