@@ -682,12 +682,120 @@ def test_near_copies_and_shared_passages_stay(spark, monkeypatch):
 # --- pipeline ---
 
 
+def quantile(hist, hundredths):
+    upto, total = 0, sum(hist.values())
+    for value in sorted(hist):
+        upto += hist[value]
+        if upto * 100 >= total * hundredths:
+            return value
+
+
+def kept_by_quality(rows):
+    """Indices of the rows that pass, from word lists and plain histograms."""
+    unit, counted = quality.UNIT, []
+    for r in rows:
+        words = r.text.encode().split()
+        n, lines = len(words), [x for x in r.text.split("\n") if x.strip(" \t\n\x0b\x0c\r")]
+        ratios = (1000 * sum(r.text.count(c) for c in "#*$%&|<>") // max(n, 1), 1000 * len(b"".join(words).decode()) // max(n, 1), 1000 * (len(lines) - len(set(lines))) // max(len(lines), 1))
+        counted.append((n >= 10 and 100 * repeated_brute(words) <= 20 * n, [v >> max(v.bit_length() - 8, 0) << max(v.bit_length() - 8, 0) for v in ratios]))
+    kept = {k for k, (ok, _) in enumerate(counted) if ok}
+    for at, (outer, times, below) in enumerate([(25, 6, False), (25, 8, True), (1, 2, False)]):
+        good = [(rows[k].lang, rows[k].source, counted[k][1][at]) for k, (ok, _) in enumerate(counted) if ok]
+        hist = lambda keep: Counter(v for lang, source, v in good if keep(lang, source))
+
+        def parts(h, texts):
+            return {v: texts * unit * n // sum(h.values()) for v, n in h.items()}
+
+        def fence(h):
+            under, mid, over = (quantile(h, x) for x in (outer, 50, 100 - outer))
+            return mid, under - times * (mid - under), over + times * (over - mid)
+
+        everything = Counter(parts(hist(lambda *_: True), 16))
+        for lang, source in {g[:2] for g in good}:
+            of_lang = hist(lambda x, _: x == lang)  # noqa: B023
+            own = hist(lambda x, y: (x, y) == (lang, source))  # noqa: B023
+            l_mid, l_low, l_high = fence(Counter({v: n * unit for v, n in of_lang.items()}) + everything)
+            mid, low, high = fence(Counter({v: n * unit for v, n in own.items()}) + Counter(parts(of_lang, 64)) + everything)
+            high = min(high, 2 * l_high - l_mid) if mid <= l_high else high
+            low = max(low, 2 * l_low - l_mid) if mid >= l_low else low
+            kept -= {k for k in kept if (rows[k].lang, rows[k].source) == (lang, source) and (counted[k][1][at] > high or (below and counted[k][1][at] < low))}
+    return kept
+
+
+def near_classes(rows):
+    """The least row of each class of texts connected by a similarity of 0.8 of their 5-grams."""
+    sets = [{tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4))} for w in (r.text.split() for r in rows)]
+    on, up = {}, list(range(len(rows)))
+    for k, grams in enumerate(sets):
+        for g in grams:
+            on.setdefault(g, []).append(k)
+
+    def top(k):
+        while up[k] != k:
+            k = up[k]
+        return k
+
+    for k, grams in enumerate(sets):
+        for other in {x for g in grams for x in on[g] if x < k}:
+            if 5 * len(grams & sets[other]) >= 4 * len(grams | sets[other]):
+                up[max(top(k), top(other))] = min(top(k), top(other))
+    return {k for k in range(len(rows)) if up[k] == k}
+
+
+def test_pipeline_stages_equal_brute_force(spark):
+    """Each stage on what its predecessor kept of the smallest test table, against a version in plain Python."""
+    import regex
+    from tokenizers import Tokenizer
+
+    import corpus_pipeline
+
+    path = "/root/testdata/sf0.001"
+    table = lambda df: sorted(df.collect(), key=lambda r: (r.doc_id, r.text))
+    stage = dict(corpus_pipeline.STAGES)
+    at = spark.read.parquet(f"{path}/documents.parquet").unionByName(docs(spark, [(900, "12 34 !", None, None), (901, None, None, "s")]))
+    rows = table(at.fillna("", ["text"]))
+    model = langid.fit(at)
+    want = [r for r in rows if regex.search(r"\pL", r.text) and float(model.scores(r.text.encode()).max()) >= model.limit]
+    at = stage["language_id"](spark, at, path)
+    got = table(at)
+    assert got == want and len(want) < len(rows)
+    want = [got[k] for k in sorted(kept_by_quality(got))]
+    at = stage["quality_rules"](spark, at, path)
+    rejected, got = len(got), table(at)
+    assert got == want and len(want) < rejected
+    want = [got[k] for k in sorted(near_classes(got))]
+    at = stage["near_duplicates"](spark, at, path)
+    copies, got = len(got), table(at)
+    assert got == want and len(want) < copies
+    source = {r.doc_id: r.text.split() for r in got}
+    taken = {r.doc_id: r.taken for r in mixing.mix_sources(at).collect()}
+    at = stage["source_mix"](spark, at, path)
+    got, words = table(at), Counter()
+    for r in got:
+        words[r.doc_id] += len(r.text.split())
+        assert not Counter(r.text.split()) - Counter(source[r.doc_id]) and r.n_chars == len(r.text)
+    assert dict(words) == {k: n for k, n in taken.items() if n}
+    library = Tokenizer.from_file(tokenizer_file("word_bpe_49k.json"))
+    pieces = Counter()
+    for r in got:
+        ids = [*library.encode(r.text, add_special_tokens=False).ids, 1]
+        for piece, low in enumerate(range(0, len(ids), 4096)):
+            pieces[r.doc_id, piece, low, len(ids[low : low + 4096]), zlib.crc32(np.array(ids[low : low + 4096], "<u4").tobytes())] += 1
+    out = stage["pack"](spark, at, path).collect()
+    assert Counter((r.doc_id, r.piece, r.start, r.length, r.ids_crc32) for r in out) == pieces
+    fill = {}
+    for r in sorted(out, key=lambda r: r.offset):
+        assert r.offset == fill.get(r.sequence_id, 0)
+        fill[r.sequence_id] = r.offset + r.length
+    assert max(fill.values()) <= 4096 and len(fill) == packing.lower_bound(Counter(r.length for r in out), 4096)
+
+
 def test_pipeline_stages_on_odd_rows(spark, odd, empty):
     import corpus_pipeline
 
     rng = random.Random(10)
     rows = [(k, " ".join(f"{rng.choice(['th', 'an', 'er'])}{rng.randrange(300)}a" for _ in range(50)), "en", "s") for k in range(10, 40)]
-    for df in (odd.union(docs(spark, rows)), empty):
+    for df in (odd.union(docs(spark, rows)).withColumn("size", F.lit("clash")).withColumn("class_id", F.lit(None).cast("int")), empty):
         for name, stage in corpus_pipeline.STAGES:
             out = stage(spark, df, "")
             if name != "pack":
