@@ -2,6 +2,12 @@
 
 The stages keep all columns of documents but for the last, which returns where each piece of each
 text goes. A text that the mix takes several times goes on as several rows of one doc_id.
+
+Nulls in any column go through: a null, empty or letterless text is rejected by the first stage, a null
+language, source or id is a value of its own. Very long texts stay whole until the last stage cuts them
+into pieces. Repeated rows pass the first two stages each and are one class in the third; ties there go
+to the least (id, hash of the text). With no rows left a stage gives an empty result. Extra columns are
+carried along, whatever their names, up to the last stage.
 """
 
 from __future__ import annotations
@@ -15,28 +21,28 @@ from atlasmill.llm.queries import tokenizer_file
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Texts that the calibrated model accepts."""
+    """Texts that the calibrated model accepts; it is trained on the labelled rows among ``docs``, and without any rejects all."""
     judged = langid.predict(docs, langid.fit(docs))
     return judged.filter("not rejected").select(docs.columns)
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Texts within the limits of their language and source."""
+    """Texts within the limits of their language and source; limits come from ``docs``, so a lone text is within its own."""
     return quality.quality_rules(docs).filter("kept").select(docs.columns)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One text of each class of the n-gram join."""
+    """One row of each class of the n-gram join (five words, similarity 0.8), the one of the least id."""
     return ngram_join.one_per_class(docs)
 
 
 def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The words that the mix takes, a text once for each time."""
+    """The words that the mix takes, a text once for each time; sources of no words give none."""
     return mixing.mixed_texts(docs)
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of the texts in sequences of at most 4096 tokens."""
+    """Pieces of the texts in sequences of at most 4096 tokens, each row packed by itself."""
     return packing.pack_documents(docs, tokenizer_file("word_bpe_49k.json"))
 
 
@@ -48,7 +54,7 @@ STAGES = [
     ("pack", pack),
 ]
 
-#: Training, hashing and the packing search have no SQL form; tests compare the stages with brute force.
+#: Training, hashing and the packing search have no SQL form; tests/llm compares each stage with a brute-force version.
 ORACLE_SQL = None
 
 
