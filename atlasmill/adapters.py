@@ -69,11 +69,10 @@ def edges(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every drug (supplier) with every disease of size 1: source, target, score (with ties), y (1, 0 or null), split, fold."""
-    drugs = read(spark, sf_dir, "supplier").select(F.col("s_suppkey").alias("s"))
-    diseases = read(spark, sf_dir, "part").filter("p_size = 1").select(F.col("p_partkey").alias("p"))
+    """Every pair of drug (supplier) and disease (part) of an order line, once: source, target, score (with ties), y (1, 0 or null), split, fold."""
+    both = read(spark, sf_dir, "lineitem").select(F.col("l_suppkey").cast("long").alias("s"), F.col("l_partkey").cast("long").alias("p")).distinct()
     h = (F.col("s") * 7919 + F.col("p") * 104729) % 10007
-    return drugs.crossJoin(diseases).select(
+    return both.select(
         F.concat(F.lit("SUPP:"), F.col("s").cast("string")).alias("source"),
         F.concat(F.lit("PART:"), F.col("p").cast("string")).alias("target"),
         (F.floor(h / 10).cast("double") / 1000.0).alias("score"),
@@ -100,4 +99,4 @@ UNION ALL SELECT 'SUPP:' || CAST(s_suppkey AS BIGINT), 'biolink:located_in', 'NA
 UNION ALL SELECT 'CUST:' || CAST(c_custkey AS BIGINT), 'biolink:located_in', 'NATION:' || CAST(c_nationkey AS BIGINT), 'infores:geo', NULL, NULL, NULL, 'kg0', 1, NULL FROM customer
 UNION ALL SELECT 'NATION:' || CAST(n_nationkey AS BIGINT), 'biolink:part_of', 'REGION:' || CAST(n_regionkey AS BIGINT), 'infores:geo', NULL, NULL, NULL, 'kg0', 1, NULL FROM nation)"""
 PAIRS_SQL = """pairs AS (SELECT 'SUPP:' || s AS source, 'PART:' || p AS target, CAST(h // 10 AS DOUBLE) / 1000.0 AS score, CASE WHEN h % 17 = 0 THEN 1 WHEN h % 5 = 0 THEN 0 END AS y, CASE WHEN (s + p) % 4 = 0 THEN 'TRAIN' ELSE 'TEST' END AS split, (s * 31 + p) % 3 AS fold
-FROM (SELECT s_suppkey AS s, p_partkey AS p, (s_suppkey * 7919 + p_partkey * 104729) % 10007 AS h FROM supplier CROSS JOIN part WHERE p_size = 1))"""
+FROM (SELECT DISTINCT CAST(l_suppkey AS BIGINT) AS s, CAST(l_partkey AS BIGINT) AS p, (CAST(l_suppkey AS BIGINT) * 7919 + CAST(l_partkey AS BIGINT) * 104729) % 10007 AS h FROM lineitem))"""

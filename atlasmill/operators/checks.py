@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 CURIE = "^[A-Za-z_][A-Za-z0-9_.-]*:[^\\s:][^\\s]*$"
@@ -36,8 +37,10 @@ def missing_by_prefix(edges: DataFrame, nodes: DataFrame) -> DataFrame:
     """Endpoint ids without a node, by prefix, with up to three examples."""
     from atlasmill.operators.graph import missing_nodes
 
-    gone = missing_nodes(edges, nodes)
-    return gone.groupBy(F.split_part("id", F.lit(":"), F.lit(1)).alias("prefix")).agg(F.count(F.lit(1)).alias("n"), F.array_join(F.slice(F.array_sort(F.collect_set("id")), 1, 3), "|").alias("examples"))
+    gone = missing_nodes(edges, nodes).withColumn("prefix", F.split_part("id", F.lit(":"), F.lit(1)))
+    least = W.partitionBy("prefix").orderBy("id")  # cut to three a prefix in each task, before rows meet
+    shown = gone.withColumn("__n", F.row_number().over(least)).filter("__n <= 3").groupBy("prefix").agg(F.array_join(F.array_sort(F.collect_list("id")), "|").alias("examples"))
+    return gone.groupBy("prefix").agg(F.count(F.lit(1)).alias("n")).join(shown, "prefix").select("prefix", "n", "examples")
 
 
 def violations(df: DataFrame, rules: dict[str, Column]) -> DataFrame:

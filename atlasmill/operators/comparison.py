@@ -6,6 +6,7 @@ aggregation whatever the grid is.
 
 from __future__ import annotations
 
+import math
 from dataclasses import dataclass, field
 from functools import reduce
 
@@ -108,13 +109,16 @@ def recall_curve(ranked: DataFrame, groups: list[str], n_max: int, points: int,
     return curve.join(totals, groups).select(*groups, "n", F.coalesce(F.try_divide(F.col("c"), F.col("__total")), F.lit(0.0)).cast("double").alias("recall"))
 
 
+#: Distribution function of a Poisson(1) count, to eight places: more than 11 copies are rarer than that.
+POISSON = [round(sum(math.exp(-1) / math.factorial(j) for j in range(k + 1)), 8) for k in range(11)]
+
+
 def poisson_weight(seed: int, *cols: str) -> Column:
-    """A reproducible Poisson(1) count (5 at most) from the md5 of the columns: a row's copies in one bootstrap sample."""
+    """A reproducible Poisson(1) count from the md5 of the columns: a row's copies in one bootstrap sample."""
     u = F.conv(F.substring(F.md5(F.concat_ws("|", F.lit(str(seed)), *cols)), 1, 8), 16, 10).cast("long") / F.lit(4294967296.0)
-    steps = [0.36787944, 0.73575888, 0.91969860, 0.98101184, 0.99634015]
-    out = F.lit(5)
-    for k in reversed(range(len(steps))):
-        out = F.when(u < steps[k], k).otherwise(out)
+    out = F.lit(len(POISSON))
+    for k in reversed(range(len(POISSON))):
+        out = F.when(u < POISSON[k], k).otherwise(out)
     return out
 
 

@@ -22,13 +22,16 @@ def unpack_mapping(mapping: DataFrame) -> DataFrame:
 
 
 def normalize_edges(edges: DataFrame, mapping: DataFrame) -> DataFrame:
-    """Both endpoints mapped; originals and success flags kept; equal rows once."""
-    flat = unpack_mapping(mapping)
-    out = edges
+    """Both endpoints mapped; originals and success flags kept; equal rows once.
+
+    The mapping has one row an id, so rows are equal after it if they were before: repeats go first, narrow.
+    """
+    flat = unpack_mapping(mapping).dropDuplicates()
+    out = edges.dropDuplicates()
     for end in ("subject", "object"):
         side = flat.select(F.col("original_id").alias(end), F.col("normalized_id").alias("__to"), F.col("normalization_success").alias("__ok"))
         out = out.join(side, end, "left").withColumn(f"original_{end}", F.col(end)).withColumn(end, F.coalesce("__to", end)).withColumn(f"{end}_normalization_success", F.coalesce("__ok", F.lit(False))).drop("__to", "__ok")
-    return out.dropDuplicates()
+    return out
 
 
 def normalize_nodes(nodes: DataFrame, mapping: DataFrame) -> DataFrame:
@@ -84,9 +87,13 @@ def collapse_edges(edges: DataFrame) -> DataFrame:
     """(subject, predicate, object) once: per source first (references summed, sentences' maximum), then over sources, with a JSON map by source."""
     spo = ["subject", "predicate", "object"]
     pks = F.coalesce("primary_knowledge_source", F.lit("unknown"))
-    first = edges.withColumn("pks", pks).groupBy(*spo, "pks").agg(F.sum("num_references").alias("num_references"), F.max("num_sentences").alias("num_sentences"), F.array_sort(F.collect_set("publication")).alias("publications"))
+    # a publication that many rows of a source repeat is one row before anything is gathered
+    once = edges.withColumn("pks", pks).groupBy(*spo, "pks", "publication").agg(F.sum("num_references").alias("num_references"), F.max("num_sentences").alias("num_sentences"))
+    first = once.groupBy(*spo, "pks").agg(F.sum("num_references").alias("num_references"), F.max("num_sentences").alias("num_sentences"), F.array_sort(F.collect_list("publication")).alias("publications"))
     detail = F.map_from_entries(F.array_sort(F.collect_list(F.struct("pks", F.struct("num_references", "num_sentences", "publications")))))
-    return first.groupBy(*spo).agg(F.sum("num_references").alias("num_references"), F.max("num_sentences").alias("num_sentences"), F.array_sort(F.collect_set("pks")).alias("sources"), F.array_sort(F.array_distinct(F.flatten(F.collect_list("publications")))).alias("publications"), F.to_json(detail).alias("source_edge_properties"))
+    whole = first.groupBy(*spo).agg(F.sum("num_references").alias("num_references"), F.max("num_sentences").alias("num_sentences"), F.array_sort(F.collect_list("pks")).alias("sources"), F.to_json(detail).alias("source_edge_properties"))
+    named = edges.select(*spo, "publication").distinct().groupBy(*spo).agg(F.array_sort(F.collect_list("publication")).alias("publications"))
+    return whole.join(named, spo)
 
 
 # --- filters: frames in, kept rows out; a null condition drops the row ---

@@ -25,7 +25,7 @@ def touches(nodes: DataFrame, edges: DataFrame, out: str) -> DataFrame:
     return nodes.join(ends, "id", "left").withColumn(out, F.coalesce(out, F.lit(False)))
 
 
-def descendants(links: DataFrame, roots: DataFrame, max_depth: int = 20) -> DataFrame:
+def descendants(links: DataFrame, roots: DataFrame, max_depth: int | None = None) -> DataFrame:
     """(root, id, depth) of everything below the roots, each once at its least depth, the roots themselves at 0."""
     below = closure(links, max_depth=max_depth).select(F.col("ancestor").alias("root"), F.col("descendant").alias("id"), F.col("depth").cast("int").alias("depth"))
     return roots.select(F.col("id").alias("root"), "id", F.lit(0).alias("depth")).distinct().unionByName(below.join(roots.select(F.col("id").alias("root")).distinct(), "root", "left_semi"))

@@ -6,6 +6,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from atlasmill.functions.lineage import materialize
+from atlasmill.functions.ranks import ordered_totals
+from atlasmill.operators.fabricate import share
 from atlasmill.operators.graph import rank_rows
 
 
@@ -56,10 +59,19 @@ def drug_split(pairs: DataFrame, share: float = 0.2, seed: int = 0) -> DataFrame
 
 
 def negative_sample(positives: DataFrame, drugs: DataFrame, diseases: DataFrame, each: int, seed: int = 0) -> DataFrame:
-    """For each drug of a positive pair, the first ``each`` diseases in md5 order that it has no positive with."""
-    candidates = positives.select("source").distinct().join(drugs, "source").crossJoin(diseases).join(positives, ["source", "target"], "left_anti")
-    digest = F.md5(F.concat_ws("|", F.lit(str(seed)), "source", "target"))
-    return candidates.withColumn("n", F.row_number().over(W.partitionBy("source").orderBy(digest, "target"))).filter(F.col("n") <= each).select("source", "target")
+    """For each listed drug of a positive pair, ``each`` diseases that it has no positive with (all of them, if fewer).
+
+    The diseases are in md5 order, and a drug takes them from a drawn position on, round the end. Among
+    ``each`` more than it has positives enough are free, so no more are looked at, and nothing is crossed.
+    """
+    known = positives.select("source", "target").distinct()
+    listed = rank_rows(diseases.select("target").distinct(), [F.md5(F.concat_ws("|", F.lit(str(seed)), "target")), F.col("target")], "__at")
+    n = F.lit(listed.count()).cast("long")
+    asked = known.groupBy("source").agg(F.count(F.lit(1)).alias("__has")).join(drugs.select("source").distinct(), "source", "left_semi")
+    first = F.floor(share(seed, "first", "source") * n)
+    tried = asked.withColumn("__k", F.explode(F.sequence(F.lit(0).cast("long"), F.least(n, F.col("__has") + each) - 1))).withColumn("__at", ((first + F.col("__k")) % n).cast("long"))
+    free = tried.join(listed, "__at").join(known, ["source", "target"], "left_anti")
+    return free.withColumn("__n", F.row_number().over(W.partitionBy("source").orderBy("__k"))).filter(F.col("__n") <= each).select("source", "target")
 
 
 def recall_at(matrix: DataFrame, tops: list[int]) -> DataFrame:
@@ -84,9 +96,8 @@ def ranking_metrics(ranked: DataFrame, ks: list[int]) -> DataFrame:
 
 def auroc(matrix: DataFrame) -> DataFrame:
     """Area under the curve by rank sums, ties at their average rank; 0.5 if there is one class only."""
-    scores = matrix.filter("y is not null").groupBy("score").agg(F.count(F.lit(1)).alias("n"), F.sum("y").alias("pos"))
-    below = F.coalesce(F.sum("n").over(W.orderBy("score").rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
-    ranked = scores.withColumn("avg_rank", below + (F.col("n") + 1) / 2)
+    scores = materialize(matrix.filter("y is not null").groupBy("score").agg(F.count(F.lit(1)).alias("n"), F.sum("y").alias("pos")), "scores")
+    ranked = ordered_totals(scores, [F.col("score").asc()], {"below": "n"}).withColumn("avg_rank", F.col("below") + (F.col("n") + 1) / 2)
     p, n = F.sum("pos"), F.sum("n")
     area = F.try_divide(F.sum(F.col("avg_rank") * F.col("pos")) - p * (p + 1) / 2, (p * (n - p)).cast("double"))
     return ranked.agg(F.coalesce(area, F.lit(0.5)).cast("double").alias("auroc"))

@@ -6,7 +6,6 @@ from collections.abc import Callable, Iterator
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from atlasmill.operators.standardize import least_row
@@ -88,7 +87,7 @@ def resolve_names(df: DataFrame, names: DataFrame, column: str = "name") -> Data
 def medical_nodes(df: DataFrame) -> DataFrame:
     """Resolved nodes with ``normalized_curie`` (the given new id, else the found one) and ``n_same``, the nodes that share it."""
     found = df.withColumn("normalized_curie", F.coalesce("new_id", "curie")).filter("normalized_curie is not null")
-    return found.withColumn("n_same", F.count(F.lit(1)).over(W.partitionBy("normalized_curie")))
+    return found.join(found.groupBy("normalized_curie").agg(F.count(F.lit(1)).alias("n_same")), "normalized_curie")
 
 
 def medical_edges(nodes: DataFrame, edges: DataFrame) -> DataFrame:

@@ -17,8 +17,6 @@ from atlasmill.operators.standardize import least_row
 
 #: Label of a sampled pair of which nothing is known.
 UNKNOWN = 2
-#: Draws for one replacement until an unknown pair is found.
-DRAWS = 4
 
 
 def from_sources(pairs: DataFrame, sources: list[str], column: str = "upstream_data_source") -> DataFrame:
@@ -88,26 +86,44 @@ def drug_holdout(pairs: DataFrame, n_splits: int = 1, test_size: float = 0.1, se
     return reduce(DataFrame.unionByName, folds)
 
 
-def replacement_sample(known: DataFrame, drugs: DataFrame, diseases: DataFrame, each: int, seed: int = 0, draws: int = DRAWS) -> DataFrame:
+def replacement_sample(known: DataFrame, drugs: DataFrame, diseases: DataFrame, each: int, seed: int = 0) -> DataFrame:
     """For each positive pair, ``each`` times: one pair with another drug and one with another disease, not in ``known``.
 
-    A draw is a hash share of the ranked list; the first of ``draws`` that gives an unknown pair counts,
-    without one the replacement is left out. Nothing is crossed: draws are joined by position.
+    The first entity from a drawn position of the ranked list on, round the end, that gives an unknown pair
+    counts; as many are looked at as the end that stays has known pairs, and one more, so only an end known
+    with all entities has none. Nothing is crossed: entities are joined by position.
     """
-    asked = known.filter("y = 1").select("source", "target").distinct()
-    asked = asked.withColumn("copy", F.explode(F.sequence(F.lit(1), F.lit(each)))).withColumn("draw", F.explode(F.sequence(F.lit(1), F.lit(draws))))
+    asked = known.filter("y = 1").select("source", "target").distinct().withColumn("copy", F.explode(F.sequence(F.lit(1), F.lit(each))))
+    pairs = known.select("source", "target").distinct()
     found = []
-    for end, entities in (("source", drugs), ("target", diseases)):
+    for end, stays, entities in (("source", "target", drugs), ("target", "source", diseases)):
         listed = rank_rows(entities.select(F.col(end).alias("__new")).distinct(), [F.col("__new")], "__at")
-        at = F.floor(share(seed, end, "source", "target", "copy", "draw") * F.lit(listed.count())).cast("long")
-        drawn = asked.withColumn("__at", at).join(listed, "__at").withColumn("replaced", F.lit(end))
-        drawn = drawn.withColumnsRenamed({"source": "__s", "target": "__t"})
+        n = F.lit(listed.count()).cast("long")
+        has = pairs.groupBy(stays).agg(F.count(F.lit(1)).alias("__has"))
+        first = F.floor(share(seed, end, "source", "target", "copy") * n)
+        tried = asked.join(has, stays).withColumn("draw", F.explode(F.sequence(F.lit(0).cast("long"), F.least(n - 1, F.col("__has"))))).withColumn("__at", ((first + F.col("draw")) % n).cast("long"))
+        drawn = tried.join(listed, "__at").withColumn("replaced", F.lit(end)).withColumnsRenamed({"source": "__s", "target": "__t"})
         drawn = drawn.withColumn("source", F.col("__new") if end == "source" else F.col("__s")).withColumn("target", F.col("__new") if end == "target" else F.col("__t"))
-        unknown = drawn.join(known.select("source", "target").distinct(), ["source", "target"], "left_anti")
+        unknown = drawn.join(pairs, ["source", "target"], "left_anti")
         found.append(unknown.groupBy("__s", "__t", "copy", "replaced").agg(F.min(F.struct("draw", "source", "target")).alias("pair")))
     return found[0].unionByName(found[1]).select("replaced", "copy", "pair.source", "pair.target")
 
 
+def area_sample(known: DataFrame, folds: DataFrame, drugs: DataFrame, diseases: DataFrame, each: int, seed: int = 0) -> DataFrame:
+    """Unknown pairs for the folds of an area split: (fold, split, source, target), for training with diseases outside of the fold's area, for testing with those in it.
+
+    ``folds``: (source, target, fold, split) of the known pairs; ``diseases``: (target, fold, split) of every disease.
+    """
+    out = []
+    for fold, split in sorted((r["fold"], r["split"]) for r in diseases.select("fold", "split").distinct().collect()):  # a few rows a fold
+        here = (F.col("fold") == fold) & (F.col("split") == split)
+        positives = folds.filter(here).join(known.filter("y = 1").select("source", "target").distinct(), ["source", "target"], "left_semi").select("source", "target")
+        drawn = negative_sample(positives, drugs, diseases.filter(here).select("target"), each, seed + fold)
+        free = drawn.join(known.select("source", "target").distinct(), ["source", "target"], "left_anti")
+        out.append(free.select(F.lit(fold).alias("fold"), F.lit(split).alias("split"), "source", "target"))
+    return reduce(DataFrame.unionByName, out)
+
+
 def enrich_folds(folds: DataFrame, n: int, drugs: DataFrame, diseases: DataFrame, each: int, seed: int = 0) -> DataFrame:
     """The folds, each with unknown pairs of its own added to its training rows."""
     out = folds.select("source", "target", "y", "split", "fold")

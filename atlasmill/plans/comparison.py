@@ -18,7 +18,8 @@ TWO = f"{P}, a AS (SELECT source, target, row_number() OVER (ORDER BY score DESC
 CURVE = "g AS (SELECT i, 1 + i * 499 / 20.0::DOUBLE AS n FROM range(21) t(i))"
 #: copies of a positive in a resample
 COPIES = "CAST(('0x' || substr(md5('7|' || resample || '|' || source || '|' || target), 1, 8)) AS BIGINT) / 4294967296.0::DOUBLE"
-DRAWN = f"drawn AS (SELECT * FROM (SELECT *, CASE WHEN u < 0.36787944 THEN 0 WHEN u < 0.73575888 THEN 1 WHEN u < 0.91969860 THEN 2 WHEN u < 0.98101184 THEN 3 WHEN u < 0.99634015 THEN 4 ELSE 5 END AS copies FROM (SELECT *, {COPIES} AS u FROM known CROSS JOIN range(5) t(resample))) WHERE copies > 0)"
+POISSON = "CASE " + " ".join(f"WHEN u < {p:.8f} THEN {k}" for k, p in enumerate(C.POISSON)) + f" ELSE {len(C.POISSON)} END"
+DRAWN = f"drawn AS (SELECT * FROM (SELECT *, {POISSON} AS copies FROM (SELECT *, {COPIES} AS u FROM known CROSS JOIN range(5) t(resample))) WHERE copies > 0)"
 HITS = f"{MODELS}, h AS (SELECT *, row_number() OVER (PARTITION BY model, target ORDER BY score DESC, source) AS r FROM models), known AS (SELECT *, r - dense_rank() OVER (PARTITION BY model, target ORDER BY score DESC) + 1 AS rn FROM h WHERE positive)"
 
 #: the reference's production values (conf/base/run_comparison/parameters.yml, defaults in evaluations.py)
@@ -126,10 +127,10 @@ def evl_14_rank_commonality(spark, d):
     return spark.createDataFrame([(value,)], "rank_commonality double").select(F.round("rank_commonality", 6).alias("rank_commonality"))
 
 
-@query(f"{P}, m AS (SELECT fold, target AS metric, avg(score) AS value FROM pairs GROUP BY ALL) SELECT metric, round(avg(value), 6) AS mean, round(stddev_pop(value), 6) AS std, round(median(value), 6) AS median, round(min(value), 6) AS min, round(max(value), 6) AS max FROM m GROUP BY metric")
+@query(f"{P}, m AS (SELECT fold, target AS metric, avg(score) AS value FROM pairs GROUP BY ALL) SELECT metric, round(avg(value), 9) AS mean, round(stddev_pop(value), 9) AS std, round(median(value), 9) AS median, round(min(value), 9) AS min, round(max(value), 9) AS max FROM m GROUP BY metric")
 def evl_15_fold_statistics(spark, d):
     m = _pairs(spark, d).groupBy("fold", F.col("target").alias("metric")).agg(F.avg("score").alias("value"))
-    return E.aggregate_folds(m).select("metric", *[F.round(c, 6).alias(c) for c in ("mean", "std", "median", "min", "max")])
+    return E.aggregate_folds(m).select("metric", *[F.round(c, 9).alias(c) for c in ("mean", "std", "median", "min", "max")])
 
 
 @query(f"{P}, k AS (SELECT * FROM pairs WHERE split = 'TEST') SELECT target, count(*) AS n, count(*) FILTER (WHERE y = 1) AS pos FROM (SELECT d.source, e.target, k.y FROM (SELECT DISTINCT source FROM k) d CROSS JOIN (SELECT DISTINCT target FROM k) e LEFT JOIN pairs k ON k.source = d.source AND k.target = e.target WHERE k.split = 'TEST') GROUP BY target")
@@ -138,12 +139,13 @@ def cmp_01_dense(spark, d):
     return C.sparse(test, ["pos"]).dense().groupBy("target").agg(F.count(F.lit(1)).alias("n"), F.count_if("pos").alias("pos"))
 
 
-@query(f"{P} SELECT source, target FROM pairs WHERE split <> 'TEST'")
+@query(f"{P}, k AS (SELECT source, target FROM pairs WHERE split = 'TEST') SELECT s.source, t.target FROM (SELECT DISTINCT source FROM k) s CROSS JOIN (SELECT DISTINCT target FROM k) t EXCEPT FROM k")
 def cmp_02_excluded(spark, d):
     return C.sparse(_pairs(spark, d).filter("split = 'TEST'"), []).excluded
 
 
-@query("SELECT true AS same_axes, false AS same_pairs")
+@query(f"""{P}, a AS (SELECT * FROM pairs WHERE fold <> 0), b AS (SELECT * FROM pairs WHERE fold <> 1), ax AS (SELECT s.source, t.target FROM (SELECT DISTINCT source FROM a) s CROSS JOIN (SELECT DISTINCT target FROM a) t EXCEPT SELECT source, target FROM a), bx AS (SELECT s.source, t.target FROM (SELECT DISTINCT source FROM b) s CROSS JOIN (SELECT DISTINCT target FROM b) t EXCEPT SELECT source, target FROM b)
+SELECT NOT EXISTS ((SELECT source FROM a EXCEPT SELECT source FROM b) UNION ALL (SELECT source FROM b EXCEPT SELECT source FROM a)) AS same_axes, NOT EXISTS ((FROM ax EXCEPT FROM bx) UNION ALL (FROM bx EXCEPT FROM ax)) AS same_pairs""")
 def cmp_03_equality(spark, d):
     p = _pairs(spark, d)
     a, b = C.sparse(p.filter("fold <> 0"), []), C.sparse(p.filter("fold <> 1"), [])
@@ -336,9 +338,10 @@ def mat_10_rank_scores(spark, d):
     return M.scores_at_ranks(R.global_rank(_pairs(spark, d)), [1, 5, 10])
 
 
-@query("SELECT * FROM (VALUES ('run', 'nightly'), ('folds', '3')) t(key, value)")
+@query(f"{P} SELECT 'run' AS key, 'nightly' AS value UNION ALL SELECT 'folds', CAST(count(DISTINCT fold) AS VARCHAR) FROM pairs UNION ALL SELECT 'pairs', CAST(count(*) AS VARCHAR) FROM pairs")
 def mat_12_run_info(spark, d):
-    return E.run_info(spark, {"run": "nightly", "folds": 3})
+    n, folds = _pairs(spark, d).agg(F.count(F.lit(1)), F.count_distinct("fold")).first()
+    return E.run_info(spark, {"run": "nightly", "folds": folds, "pairs": n})
 
 
 @query(f"{P} SELECT CAST(floor(score * 8) AS BIGINT) + 1 AS bin, count(*) AS n FROM pairs GROUP BY 1")
@@ -346,7 +349,7 @@ def mat_13_score_histogram(spark, d):
     return E.histogram(_pairs(spark, d), "score", 0.0, 1.0, 8)
 
 
-@query(f"{P}, q AS (SELECT * FROM (VALUES ('SUPP:1', NULL), (NULL, (SELECT min(target) FROM pairs)), ('SUPP:2', (SELECT max(target) FROM pairs))) t(s, t)) SELECT CASE WHEN t IS NULL THEN 'drug' WHEN s IS NULL THEN 'disease' ELSE 'pair' END AS kind, source, target FROM q JOIN pairs ON source = coalesce(s, source) AND target = coalesce(t, target)")
+@query(f"{P}, q AS (SELECT * FROM (VALUES ('SUPP:1', NULL), (NULL, (SELECT min(target) FROM pairs)), ('SUPP:2', (SELECT max(target) FROM pairs))) t(s, t)) SELECT CASE WHEN t IS NULL THEN 'drug' WHEN s IS NULL THEN 'disease' ELSE 'pair' END AS kind, source, target FROM q JOIN (SELECT * FROM (SELECT DISTINCT source FROM pairs) CROSS JOIN (SELECT DISTINCT target FROM pairs)) ON source = coalesce(s, source) AND target = coalesce(t, target)")
 def mat_15_inference_pairs(spark, d):
     p = _pairs(spark, d)
     first, last = p.agg(F.min("target"), F.max("target")).first()

@@ -75,9 +75,9 @@ def val_12_file_issues(spark, d):
 # --- fabrication ---
 
 
-@query("SELECT CAST(i - 1 AS BIGINT) AS row, 'D:' || lpad(CAST(i AS VARCHAR), 5, '0') AS id FROM range(1, 1001) t(i)")
+@query("SELECT CAST(i - 1 AS BIGINT) AS row, 'D:' || lpad(CAST(i AS VARCHAR), 9, '0') AS id FROM (SELECT row_number() OVER () AS i FROM orders)")
 def fab_01_ids(spark, d):
-    return B.ids(spark, 1000, "D:", 5)
+    return B.ids(spark, A.read(spark, d, "orders").count(), "D:", 9)
 
 
 @query(f"SELECT s_suppkey, CASE WHEN u < 0.5 THEN 'a' WHEN u < 0.75 THEN 'b' ELSE 'c' END AS label FROM (SELECT s_suppkey, {_u('''concat('4|label|', s_suppkey)''')} AS u FROM supplier)")

@@ -15,12 +15,12 @@ from atlasmill.registry import query
 
 # --- drug lists ---
 
-LABELS = "labels_of AS (SELECT l_suppkey AS id, CASE l_returnflag WHEN 'A' THEN 'ANDA' WHEN 'R' THEN ' bla' ELSE 'NDA' END || l_linenumber AS number, l_linestatus AS status FROM lineitem WHERE l_quantity = 7)"
+LABELS = "labels_of AS (SELECT l_suppkey AS id, CASE l_returnflag WHEN 'A' THEN 'ANDA' WHEN 'R' THEN ' bla' ELSE 'NDA' END || l_linenumber AS number, l_linestatus AS status FROM lineitem)"
 
 
 def _labels(spark, d):
     kind = F.when(F.col("l_returnflag") == "A", "ANDA").when(F.col("l_returnflag") == "R", " bla").otherwise("NDA")
-    own = A.read(spark, d, "lineitem").filter("l_quantity = 7").groupBy(F.col("l_suppkey").alias("id")).agg(F.collect_list(F.struct(F.concat(kind, F.col("l_linenumber").cast("string")).alias("application_number"), F.col("l_linestatus").alias("marketing_status"))).alias("rows"))
+    own = A.read(spark, d, "lineitem").groupBy(F.col("l_suppkey").alias("id")).agg(F.collect_list(F.struct(F.concat(kind, F.col("l_linenumber").cast("string")).alias("application_number"), F.col("l_linestatus").alias("marketing_status"))).alias("rows"))
     return A.read(spark, d, "supplier").select(F.col("s_suppkey").alias("id")).join(own, "id", "left")
 
 
@@ -29,17 +29,17 @@ def ent_06_label_flags(spark, d):
     return _labels(spark, d).select("id", *[c.alias(n) for n, c in L.label_flags("rows").items()])
 
 
-@query(f"""WITH {LABELS}, book AS (SELECT p_size % 10 AS bla, CASE p_size % 3 WHEN 0 THEN '351(k) biosimilar' ELSE '351(a)' END AS kind FROM part WHERE p_size < 6), f AS (SELECT id, string_agg(DISTINCT kind, '|' ORDER BY kind) AS bla_types, bool_or(kind LIKE '%biosimilar') AS is_biosimilar FROM labels_of JOIN book ON bla = CAST(right(number, 1) AS INT) GROUP BY id)
+@query(f"""WITH {LABELS}, book AS (SELECT p_size % 10 AS bla, CASE p_size % 3 WHEN 0 THEN '351(k) biosimilar' ELSE '351(a)' END AS kind FROM part), f AS (SELECT id, string_agg(DISTINCT kind, '|' ORDER BY kind) AS bla_types, bool_or(kind LIKE '%biosimilar') AS is_biosimilar FROM labels_of JOIN book ON bla = CAST(right(number, 1) AS INT) GROUP BY id)
 SELECT s_suppkey AS id, coalesce(bla_types, '') AS bla_types, coalesce(is_biosimilar, FALSE) AS is_biosimilar FROM supplier LEFT JOIN f ON f.id = s_suppkey""")
 def ent_07_biosimilars(spark, d):
-    book = A.read(spark, d, "part").filter("p_size < 6").select(F.concat(F.lit("BLA00"), (F.col("p_size") % 10).cast("string")).alias("bla_number"), F.when(F.col("p_size") % 3 == 0, " 351(k) Biosimilar").otherwise("351(a)").alias("bla_type"))
+    book = A.read(spark, d, "part").select(F.concat(F.lit("BLA00"), (F.col("p_size") % 10).cast("string")).alias("bla_number"), F.when(F.col("p_size") % 3 == 0, " 351(k) Biosimilar").otherwise("351(a)").alias("bla_type"))
     drugs = _labels(spark, d).withColumn("numbers", F.transform("rows", lambda r: r["application_number"]))
     return L.biosimilars(drugs, "numbers", book, ["351(k) biosimilar "]).select("id", "bla_types", "is_biosimilar")
 
 
-@query("SELECT s_suppkey, coalesce((SELECT bool_or(l_linestatus = 'O') FROM lineitem WHERE l_suppkey = s_suppkey AND l_quantity = 7), FALSE) AS is_otc FROM supplier")
+@query("SELECT s_suppkey, coalesce((SELECT bool_or(l_linestatus = 'O') FROM lineitem WHERE l_suppkey = s_suppkey), FALSE) AS is_otc FROM supplier")
 def ent_08_status(spark, d):
-    status = A.read(spark, d, "lineitem").filter("l_quantity = 7").select(F.col("l_suppkey").alias("s_suppkey"), (F.col("l_linestatus") == "O").alias("is_otc"))
+    status = A.read(spark, d, "lineitem").select(F.col("l_suppkey").alias("s_suppkey"), (F.col("l_linestatus") == "O").alias("is_otc"))
     return L.with_status(A.read(spark, d, "supplier").select("s_suppkey"), status, "s_suppkey", "is_otc")
 
 

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from atlasmill import adapters as A
 from atlasmill.operators import ranking as R
+from atlasmill.plans.curation import _u
 from atlasmill.registry import query
 
 P = f"WITH {A.PAIRS_SQL}"
@@ -17,7 +18,7 @@ def _test(spark, d):
     return A.pairs(spark, d).filter("split = 'TEST'")
 
 
-@query(f"{P}, n AS (SELECT source, target FROM pairs WHERE split <> 'TRAIN') SELECT target, count(*) AS n FROM n GROUP BY target")
+@query(f"{P}, n AS (SELECT s.source, t.target FROM (SELECT DISTINCT source FROM pairs) s CROSS JOIN (SELECT DISTINCT target FROM pairs) t EXCEPT SELECT source, target FROM pairs WHERE split = 'TRAIN') SELECT target, count(*) AS n FROM n GROUP BY target")
 def mat_02_pair_matrix(spark, d):
     p = A.pairs(spark, d)
     train = p.filter("split = 'TRAIN'")
@@ -56,9 +57,9 @@ def mat_09_top_pairs_full(spark, d):
     return _test(spark, d).orderBy(*R.by_score()).limit(N_REPORTING).select("source", "target", "score")
 
 
-@query(f"{RANKED} SELECT source, round(avg(score), 6) AS mean_score, max(score) AS max_score, count(*) FILTER (WHERE rank <= 10) AS top_10, count(*) FILTER (WHERE rank <= 100) AS top_100, count(*) FILTER (WHERE rank <= 1000) AS top_1000 FROM ranked GROUP BY source")
+@query(f"{RANKED} SELECT source, round(avg(score), 9) AS mean_score, max(score) AS max_score, count(*) FILTER (WHERE rank <= 10) AS top_10, count(*) FILTER (WHERE rank <= 100) AS top_100, count(*) FILTER (WHERE rank <= 1000) AS top_1000 FROM ranked GROUP BY source")
 def mat_11_frequent_table(spark, d):
-    return R.frequent_table(R.global_rank(_test(spark, d)), "source", TOPS).withColumn("mean_score", F.round("mean_score", 6))
+    return R.frequent_table(R.global_rank(_test(spark, d)), "source", TOPS).withColumn("mean_score", F.round("mean_score", 9))
 
 
 @query(f"{P}, o AS (SELECT *, row_number() OVER (PARTITION BY source ORDER BY md5('3|' || source || '|' || target), target) AS r, count(*) OVER (PARTITION BY source) AS n FROM pairs WHERE y = 1) SELECT source, target, CASE WHEN r <= greatest(1, round(n * 0.2)) THEN 'TEST' ELSE 'TRAIN' END AS split FROM o")
@@ -66,7 +67,18 @@ def mdl_07_drug_split(spark, d):
     return R.drug_split(A.pairs(spark, d).filter("y = 1").drop("split"), 0.2, 3).select("source", "target", "split")
 
 
-@query(f"{P}, c AS (SELECT *, row_number() OVER (PARTITION BY source ORDER BY md5('5|' || source || '|' || target), target) AS r FROM pairs WHERE y IS DISTINCT FROM 1 AND source IN (SELECT source FROM pairs WHERE y = 1)) SELECT source, target FROM c WHERE r <= 2")
+def drawn_sql(seed: str, each: int, by: str = "") -> str:
+    """Tables l, a, t and f: free diseases of each drug of ``pos`` among ``listed``, from a drawn position on; ``by``: columns that separate samples."""
+    on = "".join(f" AND {{0}}.{c} = {{1}}.{c}" for c in by.split(", ") if c)
+    lead, part = (f"{by}, ", f"PARTITION BY {by} ") if by else ("", "")
+    u = _u(f"concat({seed}, '|first|', source)")
+    return f"""l AS (SELECT {lead}target, row_number() OVER ({part}ORDER BY md5(concat({seed}, '|', target)), target) - 1 AS at, count(*) OVER ({part.strip()}) AS n FROM listed),
+a AS (SELECT {lead}source, count(*) AS has FROM pos GROUP BY {lead}source), s AS (SELECT {lead}max(n) AS n FROM l {'GROUP BY ' + by if by else ''}),
+t AS (SELECT {lead}source, k, (CAST(floor(u * n) AS BIGINT) + k) % n AS at FROM (SELECT *, {u} AS u, unnest(range(0, least(n, has + {each}))) AS k FROM (SELECT a.*, s.n FROM a JOIN s ON TRUE{on.format('a', 's')}))),
+f AS (SELECT {', '.join('t.' + c for c in by.split(', ')) + ', ' if by else ''}t.source, l.target, row_number() OVER (PARTITION BY {', '.join('t.' + c for c in by.split(', ')) + ', ' if by else ''}t.source ORDER BY k) AS r FROM t JOIN l ON t.at = l.at{on.format('t', 'l')} WHERE NOT EXISTS (SELECT 1 FROM pos WHERE pos.source = t.source AND pos.target = l.target{on.format('pos', 't')}))"""
+
+
+@query(f"{P}, pos AS (SELECT DISTINCT source, target FROM pairs WHERE y = 1), listed AS (SELECT DISTINCT target FROM pairs), {drawn_sql('5', 2)} SELECT source, target FROM f WHERE r <= 2")
 def mdl_10_negative_sample(spark, d):
     p = A.pairs(spark, d)
     return R.negative_sample(p.filter("y = 1").select("source", "target"), p.select("source").distinct(), p.select("target").distinct(), 2, 5)

@@ -58,11 +58,11 @@ def pre_06_one_id_per_node(spark, d):
     return N.one_id_per_node(nodes, N.attribute_ids(attributes, nodes, *rest), {"Drug": "biolink:Drug"}).select("id", "final_id", "category")
 
 
-@query("""WITH e AS (SELECT l_suppkey AS inkey, l_partkey AS outkey, l_returnflag AS predicate FROM lineitem WHERE l_linenumber < 3), n AS (SELECT 'G:' || (s_suppkey // 2) AS id, min('S' || lpad(CAST(s_suppkey AS VARCHAR), 9, '0')) AS original FROM supplier WHERE s_suppkey IN (SELECT inkey FROM e) GROUP BY 1 UNION ALL SELECT 'P:' || p_partkey, 'P' || lpad(CAST(p_partkey AS VARCHAR), 9, '0') FROM part WHERE p_partkey IN (SELECT outkey FROM e))
+@query("""WITH e AS (SELECT l_suppkey AS inkey, l_partkey AS outkey, l_returnflag AS predicate FROM lineitem), n AS (SELECT 'G:' || (s_suppkey // 2) AS id, min('S' || lpad(CAST(s_suppkey AS VARCHAR), 9, '0')) AS original FROM supplier WHERE s_suppkey IN (SELECT inkey FROM e) GROUP BY 1 UNION ALL SELECT 'P:' || p_partkey, 'P' || lpad(CAST(p_partkey AS VARCHAR), 9, '0') FROM part WHERE p_partkey IN (SELECT outkey FROM e))
 SELECT DISTINCT s.id AS subject, predicate, o.id AS object FROM e JOIN n s ON s.original = 'S' || lpad(CAST(inkey AS VARCHAR), 9, '0') JOIN n o ON o.original = 'P' || lpad(CAST(outkey AS VARCHAR), 9, '0')""")
 def pre_09_connected_graph(spark, d):
     own = lambda prefix, c: F.concat(F.lit(prefix), F.lpad(F.col(c).cast("string"), 9, "0"))
-    edges = A.read(spark, d, "lineitem").filter("l_linenumber < 3").select(own("S", "l_suppkey").alias("inkey"), own("P", "l_partkey").alias("outkey"), F.col("l_returnflag").alias("predicate"))
+    edges = A.read(spark, d, "lineitem").select(own("S", "l_suppkey").alias("inkey"), own("P", "l_partkey").alias("outkey"), F.col("l_returnflag").alias("predicate"))
     suppliers = A.read(spark, d, "supplier").select(F.concat(F.lit("G:"), F.expr("s_suppkey div 2").cast("string")).alias("id"), own("S", "s_suppkey").alias("original"))
     parts = A.read(spark, d, "part").select(_key("P:", "p_partkey").alias("id"), own("P", "p_partkey").alias("original"))
     return N.connected_graph(suppliers.union(parts), edges)[1].select("subject", "predicate", "object")

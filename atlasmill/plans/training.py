@@ -9,7 +9,7 @@ from atlasmill.operators import hierarchy as H
 from atlasmill.operators import training as M
 from atlasmill.plans.curation import _u
 from atlasmill.plans.graph import COMPONENTS, KG, _located
-from atlasmill.plans.ranking import P
+from atlasmill.plans.ranking import P, drawn_sql
 from atlasmill.registry import query
 
 DRUG, DISEASE = ["biolink:Drug"], ["biolink:Disease"]
@@ -79,23 +79,34 @@ def mdl_09_drug_holdout(spark, d):
     return M.drug_holdout(_truth(spark, d).select("source", "target"), 2, 0.3, 6)
 
 
-def _drawn(end: str, names: str) -> str:
-    at = _u(f"concat('8|{end}|', k.source, '|', k.target, '|', copy, '|', draw)")
-    pair = "l.name AS source, k.target" if end == "source" else "k.source, l.name AS target"
-    return f"SELECT '{end}' AS replaced, copy, draw, k.source AS s, k.target AS t, {pair} FROM (SELECT source, target FROM gt WHERE y = 1) k CROSS JOIN range(1, 3) c(copy) CROSS JOIN range(1, 5) r(draw) JOIN {names} l ON l.at = floor({at} * (SELECT count(*) FROM {names}))"
+def _drawn(end: str, stays: str, names: str) -> str:
+    first = _u(f"concat('8|{end}|', k.source, '|', k.target, '|', copy)")
+    pair = "l.name AS source, t.target" if end == "source" else "t.source, l.name AS target"
+    return f"""SELECT '{end}' AS replaced, copy, draw, t.source AS s, t.target AS t, {pair} FROM (SELECT *, (CAST(floor(u * n) AS BIGINT) + draw) % n AS at FROM (SELECT k.source, k.target, copy, n, {first} AS u, unnest(range(0, least(n, has + 1))) AS draw
+FROM (SELECT source, target FROM gt WHERE y = 1) k CROSS JOIN range(1, 3) c(copy) JOIN (SELECT {stays}, count(*) AS has FROM gt GROUP BY {stays}) h USING ({stays}) CROSS JOIN (SELECT count(*) AS n FROM {names}))) t JOIN {names} l ON l.at = t.at"""
 
 
 @query(f"""{GT}, ls AS (SELECT name, row_number() OVER (ORDER BY name) - 1 AS at FROM (SELECT DISTINCT source AS name FROM pairs)), lt AS (SELECT name, row_number() OVER (ORDER BY name) - 1 AS at FROM (SELECT DISTINCT target AS name FROM pairs)),
-drawn AS ({_drawn('source', 'ls')} UNION ALL {_drawn('target', 'lt')}), ok AS (SELECT *, row_number() OVER (PARTITION BY replaced, copy, s, t ORDER BY draw) AS r FROM drawn WHERE NOT EXISTS (SELECT 1 FROM gt WHERE gt.source = drawn.source AND gt.target = drawn.target))
+drawn AS ({_drawn('source', 'target', 'ls')} UNION ALL {_drawn('target', 'source', 'lt')}), ok AS (SELECT *, row_number() OVER (PARTITION BY replaced, copy, s, t ORDER BY draw) AS r FROM drawn WHERE NOT EXISTS (SELECT 1 FROM gt WHERE gt.source = drawn.source AND gt.target = drawn.target))
 SELECT replaced, copy, source, target FROM ok WHERE r = 1""")
 def mdl_10_replacement_sample(spark, d):
     p = A.pairs(spark, d)
     return M.replacement_sample(_truth(spark, d), p.select("source").distinct(), p.select("target").distinct(), 2, 8)
 
 
-@query(f"""{P}, pos AS (SELECT * FROM pairs WHERE y = 1), c AS (SELECT f.fold, p.source, p.target, row_number() OVER (PARTITION BY f.fold, p.source ORDER BY md5((5 + f.fold) || '|' || p.source || '|' || p.target), p.target) AS r FROM range(3) f(fold) CROSS JOIN (SELECT DISTINCT source, target FROM pairs) p
- WHERE p.source IN (SELECT source FROM pos WHERE pos.fold = f.fold) AND NOT EXISTS (SELECT 1 FROM pos WHERE pos.fold = f.fold AND pos.source = p.source AND pos.target = p.target))
-SELECT source, target, y, split, fold FROM pairs WHERE y IS NOT NULL UNION ALL SELECT source, target, 2, 'TRAIN', fold FROM c WHERE r <= 2""")
+@query(f"""{GT}, listed AS (SELECT fold, CASE WHEN contains(lower(p_type), area) THEN 'TEST' ELSE 'TRAIN' END AS split, 'PART:' || p_partkey AS target FROM part CROSS JOIN (VALUES (0, 'steel'), (1, 'brass')) v(fold, area)),
+pos AS (SELECT DISTINCT fold, split, source, target FROM gt JOIN listed USING (target) WHERE y = 1), {drawn_sql("CAST(9 + fold AS VARCHAR)", 1, "fold, split")}
+SELECT fold, split, source, target FROM f WHERE r = 1 AND NOT EXISTS (SELECT 1 FROM gt WHERE gt.source = f.source AND gt.target = f.target)""")
+def mdl_10_area_sample(spark, d):
+    listed = A.read(spark, d, "part").select(F.concat(F.lit("PART:"), F.col("p_partkey").cast("string")).alias("id"), "p_type")
+    truth, areas = _truth(spark, d), ["Steel", "BRASS"]
+    folds = M.area_split(truth.select("source", "target"), listed, "p_type", areas)
+    diseases = M.area_split(listed.select(F.col("id").alias("target")), listed, "p_type", areas)
+    return M.area_sample(truth, folds, A.pairs(spark, d).select("source"), diseases, 1, 9)
+
+
+@query(f"""{GT}, pos AS (SELECT DISTINCT fold, source, target FROM pairs WHERE y = 1), listed AS (SELECT fold, target FROM range(3) f(fold) CROSS JOIN (SELECT DISTINCT target FROM pairs)), {drawn_sql("CAST(5 + fold AS VARCHAR)", 2, "fold")}
+SELECT source, target, y, split, fold FROM pairs WHERE y IS NOT NULL UNION ALL SELECT source, target, 2, 'TRAIN', fold FROM f WHERE r <= 2""")
 def mdl_11_enriched_folds(spark, d):
     p = A.pairs(spark, d)
     return M.enrich_folds(p.filter("y is not null"), 3, p.select("source").distinct(), p.select("target").distinct(), 2, 5)
