@@ -1,4 +1,4 @@
-"""Comparison of models over a common set of pairs: harmonised matrices, curves over n and k, bootstrap.
+"""Comparison of models over a common set of pairs: harmonised tables, curves over n and k, bootstrap.
 
 Curves have a grid of a parameter's size; positives are put on the grid by arithmetic and summed there, so that a curve costs one
 aggregation whatever the grid is.
@@ -22,8 +22,8 @@ KEY = ["source", "target"]
 
 
 @dataclass(frozen=True)
-class MatrixPairs:
-    """A matrix without its product: axes, pairs left out, and named sets of test pairs."""
+class PairSpace:
+    """A table without its product: axes, pairs left out, and named sets of test pairs."""
 
     drugs: DataFrame
     diseases: DataFrame
@@ -35,10 +35,10 @@ class MatrixPairs:
         return flag_pairs(self.drugs.crossJoin(self.diseases).join(self.excluded, KEY, "left_anti"), self.tests)
 
 
-def sparse(matrix: DataFrame, flags: list[str]) -> MatrixPairs:
-    """The axes, missing pairs and flagged pairs of a dense matrix."""
-    drugs, diseases = matrix.select("source").distinct(), matrix.select("target").distinct()
-    return MatrixPairs(drugs, diseases, drugs.crossJoin(diseases).join(matrix, KEY, "left_anti"), {f: matrix.filter(F.col(f)).select(*KEY).distinct() for f in flags})
+def sparse(table: DataFrame, flags: list[str]) -> PairSpace:
+    """The axes, missing pairs and flagged pairs of a dense table."""
+    drugs, diseases = table.select("source").distinct(), table.select("target").distinct()
+    return PairSpace(drugs, diseases, drugs.crossJoin(diseases).join(table, KEY, "left_anti"), {f: table.filter(F.col(f)).select(*KEY).distinct() for f in flags})
 
 
 def same_rows(a: DataFrame, b: DataFrame) -> bool:
@@ -49,7 +49,7 @@ def same_rows(a: DataFrame, b: DataFrame) -> bool:
     return a.exceptAll(b).isEmpty() and b.exceptAll(a).isEmpty()
 
 
-def harmonize(a: MatrixPairs, b: MatrixPairs, drop_inconsistent: bool = False) -> MatrixPairs:
+def harmonize(a: PairSpace, b: PairSpace, drop_inconsistent: bool = False) -> PairSpace:
     """Common axes, all exclusions, common test pairs; pairs tested on one side only are excluded on request."""
     if a.tests.keys() != b.tests.keys():
         raise ValueError(f"test sets differ: {sorted(a.tests)} and {sorted(b.tests)}")
@@ -60,17 +60,17 @@ def harmonize(a: MatrixPairs, b: MatrixPairs, drop_inconsistent: bool = False) -
             excluded = excluded.union(a.tests[name].join(b.tests[name], KEY, "left_anti")).union(b.tests[name].join(a.tests[name], KEY, "left_anti"))
     tests = {n: a.tests[n].join(b.tests[n], KEY, "left_semi").join(drugs, "source", "left_semi").join(diseases, "target", "left_semi") for n in a.tests}
     within = excluded.select(*KEY).distinct().join(drugs, "source", "left_semi").join(diseases, "target", "left_semi")
-    return MatrixPairs(drugs, diseases, within, tests)
+    return PairSpace(drugs, diseases, within, tests)
 
 
-def combine(matrices: list[MatrixPairs], drop_inconsistent: bool = False) -> MatrixPairs:
-    """All matrices harmonised."""
-    if not matrices:
-        raise ValueError("no matrices")
-    return reduce(lambda a, b: harmonize(a, b, drop_inconsistent), matrices)
+def combine(spaces: list[PairSpace], drop_inconsistent: bool = False) -> PairSpace:
+    """All tables harmonised."""
+    if not spaces:
+        raise ValueError("nothing to combine")
+    return reduce(lambda a, b: harmonize(a, b, drop_inconsistent), spaces)
 
 
-def restrict(common: MatrixPairs, predictions: DataFrame) -> DataFrame:
+def restrict(common: PairSpace, predictions: DataFrame) -> DataFrame:
     """The common pairs with their predictions; a pair without one has a null score."""
     return common.dense().join(predictions, KEY, "left")
 
@@ -151,9 +151,9 @@ def curve_statistics(curves: DataFrame, by: list[str], value: str) -> DataFrame:
     return curves.groupBy(*by).agg(F.avg(value).alias("mean"), F.stddev_pop(value).alias("std"))
 
 
-def ranks_against_negatives(matrix: DataFrame, groups: list[str], positive: str = "positive") -> DataFrame:
+def ranks_against_negatives(table: DataFrame, groups: list[str], positive: str = "positive") -> DataFrame:
     """Positives with ``rank_negatives``: rank in their group (ties by source, target) less the distinct higher scores of positives."""
-    ranked = rank_within(matrix, groups, by_score(), "__r").filter(F.col(positive))
+    ranked = rank_within(table, groups, by_score(), "__r").filter(F.col(positive))
     among = F.dense_rank().over(W.partitionBy(*groups).orderBy(F.desc("score")))
     return ranked.withColumn("rank_negatives", F.col("__r") - among + 1).drop("__r")
 
@@ -174,7 +174,7 @@ def hit_bootstrap(positives: DataFrame, groups: list[str], k_max: int, times: in
 
 
 def random_recall(points: DataFrame, rows: int) -> DataFrame:
-    """(n, recall) of a random classifier over a matrix of ``rows`` pairs."""
+    """(n, recall) of a random classifier over a table of ``rows`` pairs."""
     return points.select("n", F.least(F.lit(1.0), F.col("n") / F.lit(float(max(1, rows)))).alias("recall"))
 
 

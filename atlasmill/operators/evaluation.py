@@ -1,4 +1,4 @@
-"""Labelled test sets, checks on matrices, stability between rankings, and reports on folds.
+"""Labelled test sets, checks on tables, stability between rankings, and reports on folds.
 
 Rankings are frames with ``source``, ``target`` and a gapless ``rank`` from 1 (see ``ranking.global_rank``).
 """
@@ -15,9 +15,9 @@ from atlasmill.operators.graph import rank_rows
 KEY = ["source", "target"]
 
 
-def train_rows_in(matrix: DataFrame, train: DataFrame) -> DataFrame:
-    """The training pairs that a matrix should not hold."""
-    return matrix.join(train.select(*KEY).distinct(), KEY, "left_semi")
+def train_rows_in(table: DataFrame, train: DataFrame) -> DataFrame:
+    """The training pairs that a table should not hold."""
+    return table.join(train.select(*KEY).distinct(), KEY, "left_semi")
 
 
 def score_breaks(ranked: DataFrame) -> DataFrame:
@@ -26,19 +26,19 @@ def score_breaks(ranked: DataFrame) -> DataFrame:
     return ranked.select("rank", "score").join(before, "rank").filter(F.col("score") > F.col("score_before"))
 
 
-def labelled_pairs(matrix: DataFrame, positive: str, negative: str) -> DataFrame:
+def labelled_pairs(table: DataFrame, positive: str, negative: str) -> DataFrame:
     """Rows flagged ``positive`` with y = 1 and rows flagged ``negative`` with y = 0; a row with both flags is there twice."""
     flags = F.concat(F.when(F.col(positive), F.array(F.lit(1))).otherwise(F.array().cast("array<int>")), F.when(F.col(negative), F.array(F.lit(0))).otherwise(F.array().cast("array<int>")))
-    return matrix.withColumn("y", F.explode(flags))
+    return table.withColumn("y", F.explode(flags))
 
 
-def restrict_to_positive_targets(matrix: DataFrame, positive: str, removal: list[str]) -> DataFrame:
+def restrict_to_positive_targets(table: DataFrame, positive: str, removal: list[str]) -> DataFrame:
     """Rows of targets with a positive; rows with a removal flag leave unless they are positives."""
-    targets = matrix.filter(F.col(positive)).select("target").distinct()
+    targets = table.filter(F.col(positive)).select("target").distinct()
     removed = F.lit(False)
     for flag in removal:
         removed = removed | F.coalesce(F.col(flag), F.lit(False))
-    return matrix.join(targets, "target", "left_semi").filter(F.col(positive) | ~removed)
+    return table.join(targets, "target", "left_semi").filter(F.col(positive) | ~removed)
 
 
 def positive_quantiles(ranked: DataFrame, positive: str) -> DataFrame:

@@ -1,4 +1,4 @@
-"""Pair matrices: training splits, ranks, transforms, evaluation and comparison of rankings."""
+"""Pair tables: training splits, ranks, transforms, evaluation and comparison of rankings."""
 
 from __future__ import annotations
 
@@ -16,29 +16,29 @@ def by_score(score: str = "score") -> list[Column]:
     return [F.col(score).desc(), F.col("source"), F.col("target")]
 
 
-def global_rank(matrix: DataFrame, score: str = "score") -> DataFrame:
+def global_rank(table: DataFrame, score: str = "score") -> DataFrame:
     """``rank`` 1..N by score (ties by source, target) and ``quantile_rank``."""
-    ranked = rank_rows(matrix, by_score(score), "__r").withColumn("rank", F.col("__r") + 1).drop("__r")
+    ranked = rank_rows(table, by_score(score), "__r").withColumn("rank", F.col("__r") + 1).drop("__r")
     n = ranked.agg(F.count(F.lit(1))).first()[0]
     return ranked.withColumn("quantile_rank", F.col("rank") / F.lit(float(max(1, n))))
 
 
-def pair_matrix(drugs: DataFrame, diseases: DataFrame, train: DataFrame) -> DataFrame:
+def open_pairs(drugs: DataFrame, diseases: DataFrame, train: DataFrame) -> DataFrame:
     """All drug-disease pairs but those of the training set."""
     return drugs.crossJoin(diseases).join(train.select("source", "target").distinct(), ["source", "target"], "left_anti")
 
 
-def flag_pairs(matrix: DataFrame, flags: dict[str, DataFrame]) -> DataFrame:
+def flag_pairs(table: DataFrame, flags: dict[str, DataFrame]) -> DataFrame:
     """One boolean column for each set of pairs."""
     for name, known in flags.items():
-        matrix = matrix.join(known.select("source", "target").distinct().withColumn(name, F.lit(True)), ["source", "target"], "left").withColumn(name, F.coalesce(name, F.lit(False)))
-    return matrix
+        table = table.join(known.select("source", "target").distinct().withColumn(name, F.lit(True)), ["source", "target"], "left").withColumn(name, F.coalesce(name, F.lit(False)))
+    return table
 
 
-def frequent_flyer(matrix: DataFrame, weights: tuple[float, float, float] = (0.001, 1.0, 1.0), decay: tuple[float, float, float] = (0.05, 0.05, 0.05)) -> DataFrame:
+def frequent_flyer(table: DataFrame, weights: tuple[float, float, float] = (0.001, 1.0, 1.0), decay: tuple[float, float, float] = (0.05, 0.05, 0.05)) -> DataFrame:
     """``transformed``: sum of weighted powers of the pair's quantiles overall, within its disease and within its drug."""
-    ranked = global_rank(matrix)
-    drugs, diseases = (matrix.select(c).distinct().count() for c in ("source", "target"))
+    ranked = global_rank(table)
+    drugs, diseases = (table.select(c).distinct().count() for c in ("source", "target"))
     of_disease = F.rank().over(W.partitionBy("target").orderBy(F.desc("score"))) / F.lit(float(max(1, drugs)))
     of_drug = F.rank().over(W.partitionBy("source").orderBy(F.desc("score"))) / F.lit(float(max(1, diseases)))
     quantiles = (F.col("quantile_rank"), of_disease, of_drug)
@@ -74,18 +74,18 @@ def negative_sample(positives: DataFrame, drugs: DataFrame, diseases: DataFrame,
     return free.withColumn("__n", F.row_number().over(W.partitionBy("source").orderBy("__k"))).filter(F.col("__n") <= each).select("source", "target")
 
 
-def recall_at(matrix: DataFrame, tops: list[int]) -> DataFrame:
+def recall_at(table: DataFrame, tops: list[int]) -> DataFrame:
     """(n, recall): the share of positives among the first n pairs."""
-    ranked = global_rank(matrix)
+    ranked = global_rank(table)
     n_pos = F.count_if(F.col("y") == 1)
     row = ranked.agg(*[F.try_divide(F.count_if((F.col("rank") <= n) & (F.col("y") == 1)), n_pos).alias(str(n)) for n in tops])
     return row.unpivot([], [str(n) for n in tops], "n", "recall").select(F.col("n").cast("long").alias("n"), F.col("recall").cast("double").alias("recall"))
 
 
-def specific_ranking(matrix: DataFrame, by: str) -> DataFrame:
+def specific_ranking(table: DataFrame, by: str) -> DataFrame:
     """Positives with ``rank``: 1 + the negatives of the same ``by`` with a score at least theirs."""
     w = W.partitionBy(by).orderBy(F.desc("score")).rangeBetween(W.unboundedPreceding, W.currentRow)
-    return matrix.filter("y is not null").withColumn("rank", 1 + F.count_if(F.col("y") == 0).over(w)).filter("y = 1")
+    return table.filter("y is not null").withColumn("rank", 1 + F.count_if(F.col("y") == 0).over(w)).filter("y = 1")
 
 
 def ranking_metrics(ranked: DataFrame, ks: list[int]) -> DataFrame:
@@ -94,9 +94,9 @@ def ranking_metrics(ranked: DataFrame, ks: list[int]) -> DataFrame:
     return row.unpivot([], row.columns, "metric", "value")
 
 
-def auroc(matrix: DataFrame) -> DataFrame:
+def auroc(table: DataFrame) -> DataFrame:
     """Area under the curve by rank sums, ties at their average rank; 0.5 if there is one class only."""
-    scores = materialize(matrix.filter("y is not null").groupBy("score").agg(F.count(F.lit(1)).alias("n"), F.sum("y").alias("pos")), "scores")
+    scores = materialize(table.filter("y is not null").groupBy("score").agg(F.count(F.lit(1)).alias("n"), F.sum("y").alias("pos")), "scores")
     ranked = ordered_totals(scores, [F.col("score").asc()], {"below": "n"}).withColumn("avg_rank", F.col("below") + (F.col("n") + 1) / 2)
     p, n = F.sum("pos"), F.sum("n")
     area = F.try_divide(F.sum(F.col("avg_rank") * F.col("pos")) - p * (p + 1) / 2, (p * (n - p)).cast("double"))

@@ -1,4 +1,4 @@
-"""Queries on labelled test sets, stability, model comparison and matrix reports."""
+"""Queries on labelled test sets, stability, model comparison and table reports."""
 
 from __future__ import annotations
 
@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from atlasmill import adapters as A
 from atlasmill.operators import comparison as C
 from atlasmill.operators import evaluation as E
-from atlasmill.operators import matrix as M
+from atlasmill.operators import pairs as M
 from atlasmill.operators import ranking as R
 from atlasmill.registry import query
 
@@ -70,7 +70,7 @@ def _two(spark, d):
 
 
 @query(f"{P}, r AS (SELECT *, row_number() OVER (ORDER BY source, target) AS rank FROM pairs), l AS (SELECT score, lag(score) OVER (ORDER BY rank) AS b FROM r) SELECT (SELECT count(*) FROM pairs WHERE split = 'TRAIN') AS train_rows, (SELECT count(*) FROM l WHERE score > b) AS breaks")
-def evl_01_matrix_checks(spark, d):
+def evl_01_table_checks(spark, d):
     p = _pairs(spark, d)
     ranked = M.rank_rows(p, [F.col("source"), F.col("target")], "rank")
     train = E.train_rows_in(p, p.filter("split = 'TRAIN'")).agg(F.count(F.lit(1)).alias("train_rows"))
@@ -371,10 +371,10 @@ def ker_02_relatives(spark, d):
 
 
 @query(f"{P}, d AS (SELECT DISTINCT source FROM pairs WHERE y = 1), e AS (SELECT DISTINCT target FROM pairs WHERE y = 1) SELECT d.source, e.target, coalesce(p.y = 1, false) AS known, coalesce(p.score > 0.5, false) AS predicted FROM d CROSS JOIN e LEFT JOIN pairs p USING (source, target)")
-def ker_03_known_matrix(spark, d):
+def ker_03_known_pairs(spark, d):
     p = _pairs(spark, d)
     known = p.filter("y = 1").select("source", "target")
-    return M.with_predictions(M.known_matrix(known), p.filter("score > 0.5").select("source", "target", F.lit(True).alias("predicted")))
+    return M.with_predictions(M.known_pairs(known), p.filter("score > 0.5").select("source", "target", F.lit(True).alias("predicted")))
 
 
 @query(f"{P} SELECT source, count(*) FILTER (WHERE score > 0.5) AS removed FROM pairs WHERE y = 1 GROUP BY source")

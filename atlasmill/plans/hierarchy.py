@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from atlasmill import adapters as A
 from atlasmill.operators import graph
 from atlasmill.operators import hierarchy as H
-from atlasmill.operators import matrix as M
+from atlasmill.operators import pairs as M
 from atlasmill.plans.graph import KG, MAP_SQL, TYPED, _mapping
 from atlasmill.registry import query
 

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from atlasmill import adapters as A
 from atlasmill.operators import fabricate as B
 from atlasmill.operators import lists as L
-from atlasmill.operators import matrix as X
+from atlasmill.operators import pairs as X
 from atlasmill.operators import standardize as S
 from atlasmill.plans.curation import _u
 from atlasmill.plans.ranking import P

@@ -1,4 +1,4 @@
-"""Queries on pair matrices, evaluation, comparison and known-entity removal."""
+"""Queries on pair tables, evaluation, comparison and known-entity removal."""
 
 from __future__ import annotations
 
@@ -19,10 +19,10 @@ def _test(spark, d):
 
 
 @query(f"{P}, n AS (SELECT s.source, t.target FROM (SELECT DISTINCT source FROM pairs) s CROSS JOIN (SELECT DISTINCT target FROM pairs) t EXCEPT SELECT source, target FROM pairs WHERE split = 'TRAIN') SELECT target, count(*) AS n FROM n GROUP BY target")
-def mat_02_pair_matrix(spark, d):
+def mat_02_open_pairs(spark, d):
     p = A.pairs(spark, d)
     train = p.filter("split = 'TRAIN'")
-    return R.pair_matrix(p.select("source").distinct(), p.select("target").distinct(), train).groupBy("target").agg(F.count(F.lit(1)).alias("n"))
+    return R.open_pairs(p.select("source").distinct(), p.select("target").distinct(), train).groupBy("target").agg(F.count(F.lit(1)).alias("n"))
 
 
 @query(f"{P} SELECT source, count(*) FILTER (WHERE y = 1 AND split = 'TEST') AS pos, count(*) FILTER (WHERE y = 0 AND split = 'TEST') AS neg FROM pairs GROUP BY source")

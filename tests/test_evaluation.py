@@ -1,4 +1,4 @@
-"""Statistics of rankings against closed forms, and the errors that matrices raise."""
+"""Statistics of rankings against closed forms, and the errors that tables raise."""
 
 import math
 from collections import Counter
@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from atlasmill import registry
 from atlasmill.operators import comparison as C
 from atlasmill.operators import evaluation as E
-from atlasmill.operators import matrix as M
+from atlasmill.operators import pairs as M
 from atlasmill.plans import comparison as plans
 
 PAIRS = "source string, target string, score double"

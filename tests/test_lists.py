@@ -4,7 +4,7 @@ import pytest
 
 from atlasmill import registry
 from atlasmill.operators import lists as L
-from atlasmill.operators import matrix as X
+from atlasmill.operators import pairs as X
 from atlasmill.operators import resolution as N
 
 
