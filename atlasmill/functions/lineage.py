@@ -27,13 +27,19 @@ def shared_dir(spark: SparkSession) -> str:
     return os.path.join(tempfile.gettempdir(), "atlasmill-checkpoints")
 
 
-def write_shared(df: DataFrame, name: str) -> tuple[DataFrame, str]:
-    """Write ``df`` once into the shared folder; gives a scan of the files and their path."""
-    spark = df.sparkSession
+def new_path(spark: SparkSession, name: str) -> str:
+    """A path in the shared folder; what is written there goes when the program ends."""
     path = f"{shared_dir(spark)}/atlasmill/{name}-{uuid.uuid4().hex}"
     if not _written:
         atexit.register(_remove_all)
     _written[path] = spark
+    return path
+
+
+def write_shared(df: DataFrame, name: str) -> tuple[DataFrame, str]:
+    """Write ``df`` once into the shared folder; gives a scan of the files and their path."""
+    spark = df.sparkSession
+    path = new_path(spark, name)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path), path
 

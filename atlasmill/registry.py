@@ -23,7 +23,7 @@ def query(sql: str | None = None):
 
 
 def _load() -> None:
-    from atlasmill.plans import comparison, curation, dashboard, graph, hierarchy, lists, ranking, releases, resolution, training  # noqa: F401
+    from atlasmill.plans import comparison, curation, dashboard, graph, hierarchy, lists, ranking, releases, resolution, sources, training  # noqa: F401
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

@@ -8,6 +8,8 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from atlasmill.functions.lineage import materialize, new_path
+
 SEPARATOR = "\x1f"
 
 
@@ -106,3 +108,41 @@ def live_rows(df: DataFrame, unique: list[str]) -> DataFrame:
         if bad:
             raise ValueError(f"{c} is null or not unique: {[r[0] for r in bad]}")
     return live
+
+
+def read_zipped_json(spark: SparkSession, path: str, member: str, records: str | None = None) -> DataFrame:
+    """The records of one JSON member of zip archives (``path`` may name several), found at ``records`` (names between dots, else the whole is the list).
+
+    Archives are read by tasks, one a task, and the records come out as JSON lines whose schema Spark infers.
+    """
+    import io
+    import json
+    import zipfile
+
+    def unpack(batches):
+        import pandas as pd
+
+        for pdf in batches:
+            lines = []
+            for content in pdf["content"]:
+                with zipfile.ZipFile(io.BytesIO(content)) as archive:
+                    found = json.loads(archive.read(member))
+                for name in records.split(".") if records else []:
+                    found = found[name]
+                lines += [json.dumps(r) for r in (found if isinstance(found, list) else [found])]
+            yield pd.DataFrame({"value": lines})
+
+    lines = materialize(spark.read.format("binaryFile").load(path).select("content").mapInPandas(unpack, "value string"), "zipped-json")
+    if lines.isEmpty():
+        return lines
+    path = new_path(spark, "json")
+    lines.write.text(path)
+    return spark.read.json(path)
+
+
+def read_triples(spark: SparkSession, path: str) -> DataFrame:
+    """(subject, predicate, object) of N-Triples files; names lose their angle brackets, literals their quotes, types and languages; other lines are skipped."""
+    pattern = r"^\s*(\S+)\s+(\S+)\s+(.+?)\s*\.\s*$"
+    rows = spark.read.text(path).filter(F.col("value").rlike(pattern) & ~F.col("value").rlike(r"^\s*#"))
+    bare = lambda c: F.when(c.startswith("<"), F.regexp_replace(c, "^<|>$", "")).when(c.startswith('"'), F.regexp_replace(F.regexp_extract(c, r'^"((?:[^"\\]|\\.)*)"', 1), r"\\(.)", "$1")).otherwise(c)
+    return rows.select(*[bare(F.regexp_extract("value", pattern, k)).alias(n) for k, n in ((1, "subject"), (2, "predicate"), (3, "object"))])
