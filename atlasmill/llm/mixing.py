@@ -43,7 +43,7 @@ SEED = 20240
 STEP = 4096
 ROUNDS = 12
 #: Salts of a source's texts at least.
-SALTS = 32
+SALTS = 128
 #: Slots that one task draws: a run of ``STEP`` slots is one short row, so the bytes of the runs say nothing about the work.
 SLOTS_A_TASK = 1 << 20
 SPACE = " \t\n\x0b\x0c\r"
