@@ -28,24 +28,24 @@ def _signature(edges: DataFrame) -> tuple:
     return row["n"], row["h"]
 
 
-def _with_low(edges: DataFrame, salts: int) -> DataFrame:
-    """Edges with ``m``, the smallest ``v`` of their ``u``: at most ``salts`` rows of a node meet in one task besides its own share."""
-    salted = edges.withColumn("s", F.pmod(F.xxhash64("v"), F.lit(salts)).cast("int"))
-    parts = salted.groupBy("u", "s").agg(F.min("v").alias("m"))
-    low = parts.select("u", "s", F.min("m").over(W.partitionBy("u")).alias("m"))
-    return salted.join(low, ["u", "s"]).drop("s")
-
-
 def _large_star(edges: DataFrame, salts: int) -> DataFrame:
-    """Link every neighbour larger than ``u`` to the smallest node around ``u``."""
-    both = edges.union(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-    return _with_low(both, salts).filter("v > u").select(F.col("v").alias("u"), F.least("u", "m").alias("v")).distinct()
+    """Link every neighbour larger than ``u`` to the smallest node around ``u``; the neighbours of a hub are spread over ``salts`` tasks."""
+    both = edges.union(edges.select(F.col("v").alias("u"), F.col("u").alias("v"))).withColumn("s", F.pmod(F.xxhash64("v"), F.lit(salts)).cast("int"))
+    parts = both.groupBy("u", "s").agg(F.min("v").alias("m"))
+    low = parts.select("u", "s", F.least("u", F.min("m").over(W.partitionBy("u"))).alias("m"))  # ``salts`` rows a node at most
+    # merged, not broadcast: rounds are many, and each broadcast would be held by the driver for a while
+    return both.filter("v > u").hint("merge").join(low, ["u", "s"]).select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
 
 
-def _small_star(edges: DataFrame, salts: int) -> DataFrame:
-    """Link ``u`` and its smaller neighbours to the smallest of them (edges point downwards)."""
-    known = _with_low(edges, salts)
-    return known.select(F.when(F.col("v") == F.col("m"), F.col("u")).otherwise(F.col("v")).alias("u"), F.col("m").alias("v")).union(known.select("u", F.col("m").alias("v"))).distinct()
+def _small_star(edges: DataFrame) -> DataFrame:
+    """Link ``u`` and its smaller neighbours to the smallest of them (edges point downwards).
+
+    After a large star a node's smaller neighbours are minima around its former neighbours: few, and fewer each round.
+    """
+    low = edges.groupBy("u").agg(F.min("v").alias("m"))
+    own = F.when(F.col("v") == F.col("m"), F.col("u")).otherwise(F.col("v"))
+    pairs = F.explode(F.array_distinct(F.array(F.struct(own.alias("u"), F.col("m").alias("v")), F.struct(F.col("u").alias("u"), F.col("m").alias("v"))))).alias("e")
+    return edges.hint("merge").join(low, "u").select(pairs).select("e.u", "e.v").distinct()
 
 
 def connected_components(edges: DataFrame, u: str = "u", v: str = "v", name: str = "components", max_rounds: int = 60) -> DataFrame:
@@ -61,7 +61,7 @@ def connected_components(edges: DataFrame, u: str = "u", v: str = "v", name: str
         if not seen[0]:
             break
         salts = salts_for(2 * seen[0], least=LEAST_SALTS)
-        after, written = write_shared(_small_star(_large_star(now, salts), salts), name)
+        after, written = write_shared(_small_star(_large_star(now, salts)), name)
         remove(path)
         now, path = after, written
         again = _signature(now)
