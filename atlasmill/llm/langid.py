@@ -32,7 +32,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from atlasmill.llm.common import small_batches, text_slices, without
+from atlasmill.llm.common import give_back, small_batches, text_slices, without
 
 BUCKETS = 1 << 14
 ORDERS = (2, 3, 4)
@@ -193,8 +193,12 @@ def _predict(batches: Iterator[pa.RecordBatch], text_col: str, model, keep: list
 
 
 def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "lang") -> Model:
-    """Train on the bounded sample; its features (at most BUCKETS entries a stretch) come to the driver."""
-    return train([tuple(map(lambda x: bytes(x) if isinstance(x, bytearray) else x, r)) for r in sample(docs, id_col, text_col, label_col).collect()])
+    """Train on the bounded sample; its features (at most BUCKETS entries a stretch) come to the driver, and what training used is given back."""
+    rows = [tuple(bytes(x) if isinstance(x, bytearray) else x for x in r) for r in sample(docs, id_col, text_col, label_col).collect()]
+    model = train(rows)
+    del rows
+    give_back()
+    return model
 
 
 def predict(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text", keep: list[str] | None = None) -> DataFrame:
