@@ -26,7 +26,9 @@ from __future__ import annotations
 import json
 import os
 import re as _re
+import struct
 import sys
+import zlib
 from bisect import bisect_left, bisect_right
 from collections import defaultdict
 from collections.abc import Iterator
@@ -39,21 +41,22 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from tokenizers import Tokenizer
 
 from atlasmill.functions.lineage import materialize
 from atlasmill.functions.ranks import dense_position, salts_for
-from atlasmill.llm.common import small_batches, text_slices
+from atlasmill.llm.common import give_back, small_batches, text_slices
 
 CAPACITY = 4096
 END_ID = 1
 #: Steps of the search (a few seconds on the driver) and fillings of a bin that are sorted by waste before they are tried.
 STEPS, SORTED = 1_000_000, 32
 #: Bytes of stretches and ids that a worker remembers, twice (this generation and the last).
-BYTES_KEPT = 48 << 20
+BYTES_KEPT = 96 << 20
 #: Texts of these characters only (Latin script and general punctuation, without the controls and the
 #: dotted I on which libraries differ) are encoded by their stretches between white space.
 PLAIN = _re.compile("[\\x00-\\x1b\\x20-\\x84\\x86-\\u012f\\u0131-\\u024f\\u2010-\\u2027\\u2030-\\u205e]*")
+#: A stop or comma that belongs to a run of punctuation, which is one word of the tokenizer's.
+RUN = _re.compile(r"(?:[^\w\s]|_)[.,]\s")
 
 
 class WordTokens:
@@ -65,6 +68,8 @@ class WordTokens:
 
     def __init__(self, path: str):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # a task has one core
+        from tokenizers import Tokenizer  # by workers only: the driver has no need of it
+
         self.library = Tokenizer.from_file(path)
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
@@ -72,34 +77,46 @@ class WordTokens:
         split = [s for s in (spec["pre_tokenizer"] or {}).get("pretokenizers", []) if s["type"] == "Split" and s["invert"] and s["behavior"] == "Removed"]
         self.by_stretch = steps == ["NFC", "Replace", "Lowercase"] and bool(split)
         self.marks = [t["content"] for t in spec["added_tokens"]]
+        # a run of letters, and a run of what is neither letter, number nor white space, are words of their own
+        self.splits = bool(split) and all(x in split[0]["pattern"].get("Regex", "") for x in (r"[\p{L}]+|", r"|[^\s\p{L}\p{N}]+"))
         self.known: dict[str, bytes] = {}
         self.before: dict[str, bytes] = {}
         self.size = 0
 
-    def _ids(self, encoded) -> bytes:
-        return np.array(encoded.ids, "<u4").tobytes()
+    def _encode(self, words: list[str]) -> list[bytes]:
+        return [struct.pack(f"<{len(e.ids)}I", *e.ids) for e in self.library.encode_batch_fast(words, add_special_tokens=False)]
 
     def _learn(self, new: set[str]) -> None:
         """Make the stretches ``new`` known; with a full memory the generation before the last is forgotten."""
         if self.size > BYTES_KEPT:
             self.before, self.known, self.size = self.known, {}, 0
+        before = self.before
         new = new.difference(self.known)
-        again = new.intersection(self.before)
-        todo = list(new - again)
-        found = {w: self.before[w] for w in again} | dict(zip(todo, map(self._ids, self.library.encode_batch_fast(todo, add_special_tokens=False)), strict=True))
+        found = {w: before[w] for w in new if w in before}
+        todo = list(new.difference(found)) if found else list(new)
+        found.update(zip(todo, self._encode(todo), strict=True))
         self.known.update(found)
-        self.size += sum(len(w) + len(x) + 150 for w, x in found.items())
+        self.size += 150 * len(found) + sum(map(len, found.values())) + sum(map(len, found))
+
+    def _cut(self, text: str) -> list[str] | None:
+        """The stretches of a plain text, with stops and commas behind words as stretches of their own; None for other texts."""
+        if not self.by_stretch or not PLAIN.fullmatch(text) or any(m in text for m in self.marks):
+            return None
+        text = text.lower()
+        if self.splits and not RUN.search(text):
+            text = text.replace(". ", " . ").replace(", ", " , ").replace(".\n", " .\n")
+        return text.split()
 
     def ids(self, texts: list[str]) -> list[bytes]:
         """Little-endian unsigned 32-bit ids of each text."""
-        cut = [t.split() if self.by_stretch and PLAIN.fullmatch(t) and not any(m in t for m in self.marks) else None for t in texts]
+        cut = [self._cut(t) for t in texts]
         new: set[str] = set()
         for words in cut:
             if words:
                 new.update(words)
         self._learn(new)
         get = self.known.__getitem__
-        return [b"".join(map(get, words)) if words is not None else self._ids(self.library.encode(t, add_special_tokens=False)) for t, words in zip(texts, cut, strict=True)]
+        return [b"".join(map(get, words)) if words is not None else self._encode([t])[0] for t, words in zip(texts, cut, strict=True)]
 
 
 @lru_cache(maxsize=2)
@@ -107,7 +124,7 @@ def word_tokens(path: str) -> WordTokens:
     return WordTokens(path)
 
 
-def _pieces(batches: Iterator[pa.RecordBatch], id_col: str, text_col: str, path: str, capacity: int, end_id: int) -> Iterator[pa.RecordBatch]:
+def _pieces(batches: Iterator[pa.RecordBatch], id_col: str, text_col: str, path: str, capacity: int, end_id: int, digest: bool = False) -> Iterator[pa.RecordBatch]:
     machine, end, width = word_tokens(path), np.array([end_id], "<u4").tobytes(), 4 * capacity
     for rows, texts in text_slices(batches, text_col):
         owner, number, ids = [], [], []
@@ -117,17 +134,18 @@ def _pieces(batches: Iterator[pa.RecordBatch], id_col: str, text_col: str, path:
                 owner.append(k), number.append(piece), ids.append(all_ids[at : at + width])
         number = np.array(number, np.int64)
         yield pa.RecordBatch.from_arrays(
-            [rows.column(id_col).take(pa.array(owner, pa.int64())), pa.array(number, pa.int32()), pa.array(number * capacity), pa.array([len(x) // 4 for x in ids], pa.int64()), pa.array(ids, pa.binary())],
-            names=[id_col, "piece", "start", "length", "ids"],
+            [rows.column(id_col).take(pa.array(owner, pa.int64())), pa.array(number, pa.int32()), pa.array(number * capacity), pa.array([len(x) // 4 for x in ids], pa.int64()), pa.array(map(zlib.crc32, ids), pa.int64()) if digest else pa.array(ids, pa.binary())],
+            names=[id_col, "piece", "start", "length", "ids_crc32" if digest else "ids"],
         )
 
 
-def token_pieces(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: str = "text", capacity: int = CAPACITY, end_id: int = END_ID) -> DataFrame:
-    """(id, piece, start, length, ids: little-endian unsigned 32-bit) of every piece of every text."""
+def token_pieces(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: str = "text", capacity: int = CAPACITY, end_id: int = END_ID, digest: bool = False) -> DataFrame:
+    """(id, piece, start, length, ids: little-endian unsigned 32-bit) of every piece of every text; with ``digest`` the ids' CRC-32 instead of them."""
     small_batches(docs.sparkSession)
     read = docs.select(id_col, text_col)
-    schema = T.StructType([read.schema[id_col], T.StructField("piece", T.IntegerType()), T.StructField("start", T.LongType()), T.StructField("length", T.LongType()), T.StructField("ids", T.BinaryType())])
-    return read.mapInArrow(lambda it: _pieces(it, id_col, text_col, tokenizer, capacity, end_id), schema)
+    last = T.StructField("ids_crc32", T.LongType()) if digest else T.StructField("ids", T.BinaryType())
+    schema = T.StructType([read.schema[id_col], T.StructField("piece", T.IntegerType()), T.StructField("start", T.LongType()), T.StructField("length", T.LongType()), last])
+    return read.mapInArrow(lambda it: _pieces(it, id_col, text_col, tokenizer, capacity, end_id, digest), schema)
 
 
 # --- the solver: histograms {length: count} to plans [(lengths of one bin, number of such bins)] ---
@@ -338,6 +356,7 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY) -> DataFrame:
     own = pieces.columns
     counts = {int(r[0]): int(r[1]) for r in pieces.groupBy("length").count().collect()}  # ``capacity`` rows at most
     solution, proven = solve(counts, capacity)
+    give_back()
     plan = pieces.sparkSession.sparkContext.broadcast(runs(solution))
     ranked = dense_position(pieces, "length", [c for c in own if c != "length"], "__rank", salts_for(sum(counts.values())))
     schema = T.StructType([*[pieces.schema[c] for c in own], T.StructField("sequence_id", T.LongType()), T.StructField("offset", T.LongType())])
@@ -346,6 +365,5 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY) -> DataFrame:
 
 def pack_documents(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: str = "text", capacity: int = CAPACITY) -> DataFrame:
     """(id, piece, start, length, ids_crc32, sequence_id, offset, proven): where each piece of each text goes."""
-    cut = token_pieces(docs, tokenizer, id_col, text_col, capacity)
-    digests = materialize(cut.select(id_col, "piece", "start", "length", F.crc32("ids").alias("ids_crc32")), "pieces")
+    digests = materialize(token_pieces(docs, tokenizer, id_col, text_col, capacity, digest=True), "pieces")
     return pack(digests, capacity)

@@ -556,6 +556,10 @@ def test_packing_round_trip(spark, odd, empty):
     assert len([p for p in pieces if p.doc_id == 5]) == 2 and [p.length for p in pieces if p.doc_id == 2] == [1]
     text = "It's WE'LL don'T ΑΣ é x<|endoftext|>y İ a\x1cb"
     assert np.frombuffer(packing.word_tokens(path).ids([text])[0], "<u4").tolist() == library.encode(text, add_special_tokens=False).ids
+    rng = random.Random(93)
+    texts = ["".join(rng.choice(["ab", "Éa", "12", ".", ",", ". ", ", ", ".\n", " ", "'s", "_", "...", "%", "\n"]) for _ in range(rng.randrange(40))) for _ in range(2000)]
+    found = packing.word_tokens(path).ids(texts)
+    assert [np.frombuffer(x, "<u4").tolist() for x in found] == [e.ids for e in library.encode_batch(texts, add_special_tokens=False)]
     rows = packing.pack_documents(odd.withColumn("sequence_id", F.lit("clash")), path).collect()
     assert len(rows) == len(pieces) and all(r.proven for r in rows)
     for s in {r.sequence_id for r in rows}:
