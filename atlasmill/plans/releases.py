@@ -201,9 +201,9 @@ def dsh_28_stage_counts(spark, d):
     return graph.union_all([f.agg(_n()).withColumn("stage", F.lit(name)) for name, f in stages.items()])
 
 
-@query(f"{PAIR_RANK} SELECT target, round(avg(score), 6) AS mean_score, max(score) AS max_score, count(*) FILTER (WHERE rank <= 10) AS top_10, count(*) FILTER (WHERE rank <= 100) AS top_100 FROM r GROUP BY target")
+@query(f"{PAIR_RANK} SELECT target, round(avg(score), 9) AS mean_score, max(score) AS max_score, count(*) FILTER (WHERE rank <= 10) AS top_10, count(*) FILTER (WHERE rank <= 100) AS top_100 FROM r GROUP BY target")
 def dsh_29_disease_scores(spark, d):
-    return R.frequent_table(R.global_rank(A.pairs(spark, d)), "target", [10, 100]).withColumn("mean_score", F.round("mean_score", 6))
+    return R.frequent_table(R.global_rank(A.pairs(spark, d)), "target", [10, 100]).withColumn("mean_score", F.round("mean_score", 9))
 
 
 @query(f"{KG}, t AS (SELECT predicate AS source, count(*) AS n FROM edges GROUP BY 1) SELECT CASE WHEN n * 20 < (SELECT max(n) FROM t) THEN 'Other' ELSE source END AS source, CAST(sum(n) AS BIGINT) AS n FROM t GROUP BY 1")
