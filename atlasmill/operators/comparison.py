@@ -15,6 +15,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from atlasmill.functions.lineage import materialize
+from atlasmill.functions.resample import redrawn_curves
 from atlasmill.operators.graph import rank_rows
 from atlasmill.operators.ranking import by_score, flag_pairs
 
@@ -139,6 +140,19 @@ def redrawn(positives: DataFrame, groups: list[str], order: list[Column], times:
     return materialize(placed.join(drawn, [*groups, "__i"]).drop("__i"), "redrawn")
 
 
+def redrawn_recall(ranked: DataFrame, groups: list[str], n_max: int, points: int, times: int, seed: int = 0, positive: str = "positive") -> DataFrame:
+    """(groups, resample, n, recall) of ``times`` bootstrap samples of each group's positives, as :func:`redrawn` draws them in the order of ``rank``.
+
+    A positive only counts by its grid point, so a group is drawn from as many numbers as the grid has points.
+    """
+    at = F.least(_first_point(F.col("rank"), n_max, points), F.lit(points)).cast("int")
+    found = ranked.filter(F.col(positive)).groupBy(*groups, at.alias("__place")).agg(F.count(F.lit(1)).alias("__n"))
+    runs = found.groupBy(*groups).agg(F.array_sort(F.collect_list(F.struct("__place", "__n"))).alias("__runs"))
+    listed = runs.select(*groups, F.col("__runs.__place").alias("__places"), F.col("__runs.__n").alias("__rows"))
+    n = 1 + F.col("i") * F.lit(n_max - 1) / F.lit(float(points - 1))
+    return redrawn_curves(listed, groups, points, times, seed).select(*groups, "resample", n.alias("n"), F.col("share").alias("recall"))
+
+
 def recall_bootstrap(ranked: DataFrame, groups: list[str], n_max: int, points: int, times: int, seed: int = 0, positive: str = "positive") -> DataFrame:
     """(groups, n, mean, std) of the recall curve over folds and resamples stacked."""
     drawn = resampled(ranked.filter(F.col(positive)), times, seed)

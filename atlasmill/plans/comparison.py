@@ -220,8 +220,7 @@ def _full_recall(spark, d, y, n_max):
 
 
 def _full_recall_bootstrap(spark, d, y, n_max):
-    drawn = C.redrawn(_full_ranked(spark, d, y).filter("positive"), ["model", "fold"], [F.col("rank")], TIMES, 7)
-    curves = C.recall_curve(drawn, ["model", "fold", "resample"], n_max, POINTS, weight=F.col("copies"))
+    curves = C.redrawn_recall(_full_ranked(spark, d, y), ["model", "fold"], n_max, POINTS, TIMES, 7)
     return C.curve_statistics(curves, ["model", "n"], "recall").select("model", *[F.round(c, 6).alias(c) for c in ("n", "mean", "std")])
 
 

@@ -1,5 +1,6 @@
 """Statistics of rankings against closed forms, and the errors that tables raise."""
 
+import hashlib
 import math
 from collections import Counter
 
@@ -7,6 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from atlasmill import registry
+from atlasmill.functions import resample
 from atlasmill.operators import comparison as C
 from atlasmill.operators import evaluation as E
 from atlasmill.operators import pairs as M
@@ -77,6 +79,24 @@ def test_redrawn_is_a_bootstrap_without_a_limit(spark):
     assert abs(sum(r.copies * r["rank"] for r in got if r.model == "b") / 16000 - 20.5) < 0.4
 
 
+def test_heads_of_digests():
+    for prefix in (b"", b"7|3|one|2|", b"x" * 51, b"y" * 70):
+        for first, last in ((0, 101), (9_995, 10_003), (9_999_999_995, 10_000_000_003)):
+            want = [int(hashlib.md5(prefix + str(k).encode()).hexdigest()[:8], 16) for k in range(first, last)]
+            assert resample.md5_heads(prefix, first, last).tolist() == want
+
+
+def test_recall_is_drawn_without_rows_of_draws(spark):
+    rows = [(g, "s", f"t{k}", 3 * k + 1, k % 3 > 0) for g, n in (("a", 2), ("b", 90)) for k in range(n)]
+    ranked = spark.createDataFrame(rows, "model string, source string, target string, rank long, positive boolean")
+    got = C.redrawn_recall(ranked, ["model"], 200, 9, 6, 7)
+    assert "Generate explode(sequence" not in got._jdf.queryExecution().toString()
+    drawn = C.redrawn(ranked.filter("positive"), ["model"], [F.col("rank")], 6, 7)
+    want = C.recall_curve(drawn, ["model", "resample"], 200, 9, weight=F.col("copies"))
+    key = lambda df: {(r.model, r.resample, round(r.n, 6)): round(r.recall, 9) for r in df.collect()}
+    assert key(got) == key(want) and len(key(got)) == 2 * 6 * 9
+
+
 def test_full_comparison_has_the_production_values(spark):
     assert (plans.TIMES, plans.N_MAX, plans.N_MAX_NEGATIVE, plans.POINTS, plans.FOLD_POINTS, plans.K_MAX) == (100, 100_000, 1_000_000, 1000, 100, 200)
     d, found = "/root/testdata/sf0.001", registry.queries()
