@@ -97,6 +97,19 @@ def test_recall_is_drawn_without_rows_of_draws(spark):
     assert key(got) == key(want) and len(key(got)) == 2 * 6 * 9
 
 
+def test_hits_are_drawn_without_rows_of_draws(spark, monkeypatch):
+    monkeypatch.setattr(C, "PIECE", 7)
+    rows = [(g, "s", f"t{k}", 1 + k * k % 11) for g, n in (("a", 1), ("b", 50)) for k in range(n)]
+    known = spark.createDataFrame(rows, "model string, source string, target string, rank_negatives long")
+    for k_min in (0, 1):
+        got = C.redrawn_hits(known, ["model"], [F.col("target")], 6, 5, 7, k_min)
+        assert "Generate explode(sequence" not in got._jdf.queryExecution().toString()
+        drawn = C.redrawn(known, ["model"], [F.col("target")], 5, 7)
+        want = C.hit_curve(drawn, ["model", "resample"], 6, F.col("copies"), k_min)
+        key = lambda df: {(r.model, r.resample, r.k): round(r.hit, 9) for r in df.collect()}
+        assert key(got) == key(want) and len(key(got)) == 2 * 5 * (7 - k_min)
+
+
 def test_full_comparison_has_the_production_values(spark):
     assert (plans.TIMES, plans.N_MAX, plans.N_MAX_NEGATIVE, plans.POINTS, plans.FOLD_POINTS, plans.K_MAX) == (100, 100_000, 1_000_000, 1000, 100, 200)
     d, found = "/root/testdata/sf0.001", registry.queries()
