@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from atlasmill.functions.lineage import materialize
 from atlasmill.functions.resample import redrawn_curves
 from atlasmill.operators.graph import rank_rows
-from atlasmill.operators.ranking import by_score, flag_pairs
+from atlasmill.operators.ranking import by_score, flag_pairs, pairs_outside
 
 KEY = ["source", "target"]
 #: positives of a piece of the list that hits are drawn from
@@ -26,22 +26,45 @@ PIECE = 16_384
 
 @dataclass(frozen=True)
 class PairSpace:
-    """A table without its product: axes, pairs left out, and named sets of test pairs."""
+    """A table without its product: axes, the pairs that it has of their product (each once), and named sets of test pairs."""
 
     drugs: DataFrame
     diseases: DataFrame
-    excluded: DataFrame
+    pairs: DataFrame
     tests: dict[str, DataFrame] = field(default_factory=dict)
 
+    @property
+    def excluded(self) -> DataFrame:
+        """The pairs of the product that the table lacks; as many as the product has, for a thin table."""
+        return pairs_outside(self.drugs, self.diseases, self.pairs)
+
     def dense(self) -> DataFrame:
         """All pairs but the excluded, with a boolean column for each set of test pairs."""
-        return flag_pairs(self.drugs.crossJoin(self.diseases).join(self.excluded, KEY, "left_anti"), self.tests)
+        return flag_pairs(self.pairs, self.tests)
 
 
 def sparse(table: DataFrame, flags: list[str]) -> PairSpace:
-    """The axes, missing pairs and flagged pairs of a dense table."""
+    """The axes, pairs and flagged pairs of a dense table; a row with a null end is no pair."""
+    table = table.dropna(subset=KEY)
     drugs, diseases = table.select("source").distinct(), table.select("target").distinct()
-    return PairSpace(drugs, diseases, drugs.crossJoin(diseases).join(table, KEY, "left_anti"), {f: table.filter(F.col(f)).select(*KEY).distinct() for f in flags})
+    return PairSpace(drugs, diseases, table.select(*KEY).distinct(), {f: table.filter(F.col(f)).select(*KEY).distinct() for f in flags})
+
+
+def same_excluded(a: PairSpace, b: PairSpace) -> bool:
+    """Whether both lack the same pairs, without making them.
+
+    A pair that only one lacks is a pair of the other within its axes, or of an end that only it has; such an end lacks a pair if it has fewer than the other axis.
+    """
+    for one, other in ((a, b), (b, a)):
+        lacks = other.pairs.join(one.drugs, "source", "left_semi").join(one.diseases, "target", "left_semi").join(one.pairs, KEY, "left_anti")
+        if not lacks.isEmpty():
+            return False
+        for end, own, others, across in (("source", one.drugs, other.drugs, one.diseases), ("target", one.diseases, other.diseases, one.drugs)):
+            has = one.pairs.groupBy(end).agg(F.count(F.lit(1)).alias("__n"))
+            left = own.join(others, end, "left_anti").join(has, end, "left").filter(F.coalesce("__n", F.lit(0)) < across.count())
+            if not left.isEmpty():
+                return False
+    return True
 
 
 def same_rows(a: DataFrame, b: DataFrame) -> bool:
@@ -57,13 +80,13 @@ def harmonize(a: PairSpace, b: PairSpace, drop_inconsistent: bool = False) -> Pa
     if a.tests.keys() != b.tests.keys():
         raise ValueError(f"test sets differ: {sorted(a.tests)} and {sorted(b.tests)}")
     drugs, diseases = a.drugs.join(b.drugs, "source", "left_semi"), a.diseases.join(b.diseases, "target", "left_semi")
-    excluded = a.excluded.union(b.excluded)
+    pairs = a.pairs.join(b.pairs, KEY, "left_semi")
     if drop_inconsistent:
         for name in a.tests:
-            excluded = excluded.union(a.tests[name].join(b.tests[name], KEY, "left_anti")).union(b.tests[name].join(a.tests[name], KEY, "left_anti"))
+            for one, other in ((a, b), (b, a)):
+                pairs = pairs.join(one.tests[name].join(other.tests[name], KEY, "left_anti"), KEY, "left_anti")
     tests = {n: a.tests[n].join(b.tests[n], KEY, "left_semi").join(drugs, "source", "left_semi").join(diseases, "target", "left_semi") for n in a.tests}
-    within = excluded.select(*KEY).distinct().join(drugs, "source", "left_semi").join(diseases, "target", "left_semi")
-    return PairSpace(drugs, diseases, within, tests)
+    return PairSpace(drugs, diseases, pairs, tests)
 
 
 def combine(spaces: list[PairSpace], drop_inconsistent: bool = False) -> PairSpace:
