@@ -2,6 +2,7 @@
 
 import hashlib
 import math
+import re
 from collections import Counter
 
 import pytest
@@ -12,6 +13,7 @@ from atlasmill.functions import resample
 from atlasmill.operators import comparison as C
 from atlasmill.operators import evaluation as E
 from atlasmill.operators import pairs as M
+from atlasmill.operators import ranking as R
 from atlasmill.plans import comparison as plans
 
 PAIRS = "source string, target string, score double"
@@ -133,3 +135,55 @@ def test_commonality_and_entropy_curves(spark):
         assert math.isclose(r.entropy, sum(-c / len(part) * math.log(c / len(part), 4) for c in Counter(part).values()), abs_tol=1e-9)
     most = [r.entropy for r in C.maximal_entropy(C.entropy_grid(spark, 8, 5), 4).orderBy("n").collect()]
     assert [round(x, 6) for x in most] == [0, 0.5, 1, round(-4 / 6 * math.log(1 / 3, 4) - 2 / 6 * math.log(1 / 6, 4), 6), 1]
+
+
+PRODUCTS = ("CartesianProduct", "BroadcastNestedLoopJoin")
+
+
+def plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+@pytest.mark.parametrize("name", ["cmp_01_dense", "cmp_04_harmonized", "cmp_05_combined_predictions", "mat_02_open_pairs"])
+def test_no_product_is_made(spark, name):
+    assert not any(p in plan(registry.queries()[name](spark, "/root/testdata/sf0.001")) for p in PRODUCTS)
+
+
+@pytest.mark.parametrize("name", ["cmp_02_excluded", "ker_03_known_pairs"])
+def test_products_are_not_shuffled(spark, name):
+    above = re.split("|".join(PRODUCTS), plan(registry.queries()[name](spark, "/root/testdata/sf0.001")))[0]
+    assert "Exchange" not in above and "Join" not in above
+
+
+def test_pairs_outside(spark, monkeypatch):
+    monkeypatch.setattr(R, "BLOCK", 3)
+    known = {("a", "t1"), ("a", "t2"), ("b", "t9"), ("x", "t1"), ("b", "x")} | {("c", f"t{k}") for k in range(10)}
+    drugs, diseases = [("a",), ("b",), ("c",), ("d",), ("d",)], [(f"t{k}",) for k in range(10)]
+    got = R.pairs_outside(spark.createDataFrame(drugs, "source string"), spark.createDataFrame(diseases, "target string"), spark.createDataFrame(sorted(known), "source string, target string"))
+    assert sorted(map(tuple, got.collect())) == sorted({(s, t) for (s,) in drugs for (t,) in diseases} - known)
+
+
+def test_spaces_are_compared_without_a_product(spark, monkeypatch):
+    tables = [["ap", "aq", "bp"], ["ap", "aq", "bq"], ["ap", "aq", "bp", "bq"], ["ap", "aq"], ["ap", "bp"], ["ap", "aq", "ar", "bp"], ["ap", "aq", "bp", "cp", "cq"]]
+    spaces = [C.sparse(spark.createDataFrame([tuple(x) for x in t], "source string, target string"), []) for t in tables]
+    lacks = [{(s, t) for s in {x[0] for x in table} for t in {x[1] for x in table}} - {tuple(x) for x in table} for table in tables]
+    assert {tuple(r) for r in spaces[0].excluded.collect()} == lacks[0]
+    monkeypatch.setattr(C, "pairs_outside", None)
+    for k, j in ((0, 0), (0, 1), (2, 3), (2, 4), (0, 5), (0, 6), (3, 0)):
+        assert C.same_excluded(spaces[k], spaces[j]) == (lacks[k] == lacks[j])
+
+
+def test_inconsistent_tests_are_left_out(spark):
+    rows = lambda ps: spark.createDataFrame([(p[0], p[1], p[2] == "+") for p in ps], "source string, target string, pos boolean")
+    one, other = rows(["ap+", "aq-", "bp+", "bq-"]), rows(["ap+", "aq+", "bp+", "cq-"])
+    for drop, want in ((False, {("a", "p", True), ("a", "q", False), ("b", "p", True)}), (True, {("a", "p", True), ("b", "p", True)})):
+        common = C.combine([C.sparse(one, ["pos"]), C.sparse(other, ["pos"])], drop)
+        assert {tuple(r) for r in common.dense().collect()} == want
+
+
+def test_known_and_predicted(spark):
+    known = spark.createDataFrame([("a", "p"), ("b", "q"), ("b", "r"), ("b", "r")], "source string, target string")
+    said = spark.createDataFrame([("a", "p", True), ("a", "q", True), ("b", "r", False), ("z", "p", True)], "source string, target string, predicted boolean")
+    got = M.known_and_predicted(known, said)
+    want = M.with_predictions(M.known_pairs(known), said)
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.select(got.columns).collect())) and got.count() == 6
