@@ -10,6 +10,7 @@ from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from atlasmill.operators.comparison import rank_within
 from atlasmill.operators.fabricate import share
 from atlasmill.operators.graph import rank_rows
 from atlasmill.operators.ranking import negative_sample
@@ -90,8 +91,8 @@ def replacement_sample(known: DataFrame, drugs: DataFrame, diseases: DataFrame,
     """For each positive pair, ``each`` times: one pair with another drug and one with another disease, not in ``known``.
 
     The first entity from a drawn position of the ranked list on, round the end, that gives an unknown pair
-    counts; as many are looked at as the end that stays has known pairs, and one more, so only an end known
-    with all entities has none. Nothing is crossed: entities are joined by position.
+    counts; only an end known with all entities has none. Nothing is crossed and no position is tried: known
+    positions of an end that stays are runs, and a drawn one leads to the first place after its run.
     """
     asked = known.filter("y = 1").select("source", "target").distinct().withColumn("copy", F.explode(F.sequence(F.lit(1), F.lit(each))))
     pairs = known.select("source", "target").distinct()
@@ -99,14 +100,19 @@ def replacement_sample(known: DataFrame, drugs: DataFrame, diseases: DataFrame,
     for end, stays, entities in (("source", "target", drugs), ("target", "source", diseases)):
         listed = rank_rows(entities.select(F.col(end).alias("__new")).distinct(), [F.col("__new")], "__at")
         n = F.lit(listed.count()).cast("long")
-        has = pairs.groupBy(stays).agg(F.count(F.lit(1)).alias("__has"))
-        first = F.floor(share(seed, end, "source", "target", "copy") * n)
-        tried = asked.join(has, stays).withColumn("draw", F.explode(F.sequence(F.lit(0).cast("long"), F.least(n - 1, F.col("__has"))))).withColumn("__at", ((first + F.col("draw")) % n).cast("long"))
-        drawn = tried.join(listed, "__at").withColumn("replaced", F.lit(end)).withColumnsRenamed({"source": "__s", "target": "__t"})
-        drawn = drawn.withColumn("source", F.col("__new") if end == "source" else F.col("__s")).withColumn("target", F.col("__new") if end == "target" else F.col("__t"))
-        unknown = drawn.join(pairs, ["source", "target"], "left_anti")
-        found.append(unknown.groupBy("__s", "__t", "copy", "replaced").agg(F.min(F.struct("draw", "source", "target")).alias("pair")))
-    return found[0].unionByName(found[1]).select("replaced", "copy", "pair.source", "pair.target")
+        held = pairs.join(listed, F.col(end) == F.col("__new")).select(stays, "__at")
+        held = rank_within(held, [stays], [F.col("__at")], "__r").select(stays, "__at", (F.col("__at") - F.col("__r")).alias("__run"))
+        runs = held.groupBy(stays, "__run").agg(F.min("__at").alias("__from"), F.max("__at").alias("__upto"))
+        heads = runs.filter("__from = 0").select(stays, F.col("__upto").alias("__head"))
+        around = F.coalesce(F.col("__head") + 1, F.lit(0))
+        after = F.when(F.col("__upto") < n - 1, F.col("__upto") + 1).when(around < n, around)
+        runs = runs.join(heads, stays, "left").select(stays, "__run", after.alias("__after"))
+        first = F.floor(share(seed, end, "source", "target", "copy") * n).cast("long")
+        drawn = asked.withColumn("__at", first).join(held, [stays, "__at"], "left")
+        met = drawn.filter("__run is not null").join(runs, [stays, "__run"]).select("source", "target", "copy", F.col("__after").alias("__at"))
+        places = drawn.filter("__run is null").select("source", "target", "copy", "__at").unionByName(met)
+        found.append(places.join(listed, "__at").select(F.lit(end).alias("replaced"), "copy", *[F.col("__new" if c == end else c).alias(c) for c in ("source", "target")]))
+    return found[0].unionByName(found[1])
 
 
 def area_sample(known: DataFrame, folds: DataFrame, drugs: DataFrame, diseases: DataFrame, each: int, seed: int = 0) -> DataFrame:
