@@ -105,14 +105,15 @@ def prevalence_100k(kind: str, numerator: str, denominator: str, subtype_percent
 
 
 def prevalence_band(value: Column) -> Column:
-    out = F.concat(F.format_string("%.2f", value), F.lit(" in 100,000"))
+    # two digits of the number as it is stored, halves to even; Java's %.2f would round what it prints at full length
+    out = F.concat(F.call_function("format_number", value, F.lit("0.00")), F.lit(" in 100,000"))
     for limit, name in reversed(BANDS):
         out = F.when(value < limit, f"{name} in 100,000").otherwise(out)
     return F.when(value.isNotNull(), out)
 
 
-def prevalence_consensus(estimates: DataFrame, key: str, value: str, strategy: str = "mean") -> DataFrame:
-    """(key, prevalence) of several estimates: the band of their mean (above 100,000 it is UNCLEAR), the commonest band (ties to the smaller name) or that of the least."""
+def prevalence_consensus(estimates: DataFrame, key: str, value: str, strategy: str = "mean", unclear_above: float | None = 100_000) -> DataFrame:
+    """(key, prevalence) of several estimates: the band of their mean (above ``unclear_above``, if given, it is UNCLEAR), the commonest band (ties to the smaller name) or that of the least."""
     band = prevalence_band(F.col(value))
     if strategy == "mode":
         counts = estimates.groupBy(key, band.alias("b")).agg(F.count(F.lit(1)).alias("n"))
@@ -121,4 +122,7 @@ def prevalence_consensus(estimates: DataFrame, key: str, value: str, strategy: s
         return estimates.groupBy(key).agg(F.min(value).alias("v")).select(key, prevalence_band(F.col("v")).alias("prevalence"))
     if strategy != "mean":
         raise ValueError(f"unknown strategy {strategy}")
-    return estimates.groupBy(key).agg(F.avg(value).alias("v")).select(key, F.when(F.col("v") > 100_000, "UNCLEAR").otherwise(prevalence_band(F.col("v"))).alias("prevalence"))
+    # summed as decimals: a mean half way between two printed numbers must not depend on the order of its rows
+    exact = F.col(value).try_cast("decimal(28,10)")
+    mean = F.when(F.count(exact) == F.count(value), F.avg(exact).cast("double")).otherwise(F.avg(value))
+    return estimates.groupBy(key).agg(mean.alias("v")).select(key, F.when(F.col("v") > F.lit(unclear_above), "UNCLEAR").otherwise(prevalence_band(F.col("v"))).alias("prevalence"))

@@ -221,7 +221,7 @@ def ent_33_prevalence(spark, d):
     line, none = F.col("l_linenumber"), F.lit(None).cast("double")
     raw = A.read(spark, d, "lineitem").select(F.col("l_suppkey").alias("id"), F.when(line % 2 == 0, "number").otherwise("share").alias("kind"), F.when(line % 2 == 0, F.col("l_orderkey") * 1000.0).otherwise(F.col("l_orderkey").cast("double")).alias("num"), F.lit(1e6).alias("den"), F.when((line % 2 == 1) & (line % 3 == 0), F.lit(25.0)).alias("sub"), none.alias("grp"))
     v = raw.select("id", O.prevalence_100k("kind", "num", "den", "sub", "grp").alias("v"))
-    mean, least, mode = (O.prevalence_consensus(v, "id", "v", s).withColumnRenamed("prevalence", f"{n}_band") for n, s in (("mean", "mean"), ("least", "lowest"), ("mode", "mode")))
+    mean, least, mode = (O.prevalence_consensus(v, "id", "v", s, unclear_above=None).withColumnRenamed("prevalence", f"{n}_band") for n, s in (("mean", "mean"), ("least", "lowest"), ("mode", "mode")))
     return mean.join(least, "id").join(mode, "id")
 
 

@@ -1,9 +1,11 @@
 """Edge cases of list operators, reports and projections."""
 
 import pytest
+from pyspark.sql import functions as F
 
 from atlasmill import registry
 from atlasmill.operators import lists as L
+from atlasmill.operators import ontology
 from atlasmill.operators import pairs as X
 from atlasmill.operators import resolution as N
 
@@ -43,3 +45,12 @@ def test_resolver_must_answer_all(spark):
     assert [tuple(r) for r in N.resolve_batches(keys, "k", lambda ks: [x + "!" for x in ks], 1).collect()] == [("a", "a!")]
     with pytest.raises(Exception, match="0 answers to 1 keys"):
         N.resolve_batches(keys, "k", lambda ks: [], 1).collect()
+
+
+def test_prevalence_prints_what_is_stored(spark):
+    values = [k * 0.025 for k in range(400_001, 400_101, 6)] + [10000.125, 10000.375, 9.0]
+    got = spark.createDataFrame([(x,) for x in values], "v double").select("v", ontology.prevalence_band(F.col("v")).alias("b")).collect()
+    assert [r.b for r in got] == [f"{r.v:.2f} in 100,000" if r.v >= 10000 else "1-9 in 100,000" for r in got]
+    few = spark.createDataFrame([("a", 150_000.0), ("a", 250_000.0)], "id string, v double")
+    bands = [ontology.prevalence_consensus(few, "id", "v", unclear_above=x).first().prevalence for x in (100_000, None)]
+    assert bands == ["UNCLEAR", "200000.00 in 100,000"]
