@@ -18,8 +18,8 @@
 
 A host with more than ``CHUNK`` bytes of distinct streams is dealt to several suffix arrays by the page's
 hash; each sends the windows that are on ``SHARE`` / 4 of its stories with their count, and the counts are
-added up, so no task gets a whole hot host. (What a chunk does not send moves a total by less than a
-quarter of the limit.) A host's repeated windows are at most 1 / ``SHARE`` times the tokens of its average
+added up, so no task gets a whole hot host. Where what chunks may not have sent could decide, the window is
+counted again over the host's pages, so results do not depend on the number of chunks. A host's repeated windows are at most 1 / ``SHARE`` times the tokens of its average
 page; they are joined to the pages by host. Page texts are shuffled once, for the arrays.
 
 Nulls: null html is empty (text ``''``); a null url has the empty host. Unclosed and cut off markup is
@@ -308,8 +308,11 @@ def _arrays(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     now, story, streams, chunks, need = None, None, [], 1, 1
 
     def done() -> pa.RecordBatch:
-        windows, many = window_pages(streams, WINDOW, need if chunks == 1 else max(1, int(np.ceil(SHARE * len(streams) / 4))))
-        return pa.RecordBatch.from_arrays([pa.array([now[0]] * len(many), pa.string()), pa.array(windows.view(np.int64)), pa.array(many), pa.array([need] * len(many), pa.int64())], names=["__host", "window", "n", "need"])
+        least = need if chunks == 1 else max(1, int(np.ceil(SHARE * len(streams) / 4)))
+        windows, many = window_pages(streams, WINDOW, least)
+        unsent = [0 if chunks == 1 else least - 1] * (len(many) + 1)  # the most that a window may have here without being sent
+        names = pa.array([*windows.view(np.int64).tolist(), None], pa.int64())  # the last row is the chunk's own
+        return pa.RecordBatch.from_arrays([pa.array([now[0]] * len(names), pa.string()), names, pa.array([*many.tolist(), 0], pa.int64()), pa.array(unsent, pa.int64()), pa.array([need] * len(names), pa.int64())], names=["__host", "window", "n", "unsent", "need"])
 
     for batch in batches:
         for host, chunk, many, page, stream, least in zip(*(batch.column(c).to_pylist() for c in ("__host", "chunk", "chunks", "page", "stream", "need")), strict=True):
@@ -326,6 +329,29 @@ def _arrays(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield done()
 
 
+def _seen(batches: Iterator[pa.RecordBatch], html_col: str) -> Iterator[pa.RecordBatch]:
+    """(__host, page, windows): which of its host's asked windows the stream of each page has; pages without are left out."""
+    for rows, pages in text_slices(batches, html_col):
+        hosts, ids, found = [], [], []
+        for host, page, asked in zip(rows.column("__host").to_pylist(), pages, rows.column("windows"), strict=True):
+            stream = " ".join(_read(page)[0])
+            words, _ = word_hashes([stream.encode("utf-8", "surrogatepass")])
+            if len(words) >= WINDOW:
+                has = np.intersect1d(mix(rolled(words, WINDOW)[: len(words) - WINDOW + 1]).view(np.int64), asked.values.to_numpy())
+                if len(has):
+                    hosts.append(host), ids.append(_stream_id(host, stream)), found.append(has.tolist())
+        yield pa.RecordBatch.from_arrays([pa.array(hosts, pa.string()), pa.array(ids, pa.binary()), pa.array(found, pa.list_(pa.int64()))], names=["__host", "page", "windows"])
+
+
+def _recounted(read: DataFrame, html_col: str, reps: DataFrame, unsure: DataFrame) -> DataFrame:
+    """(__host, window) of the ``unsure`` windows that are on enough stories, counted page by page; where none is unsure no page is parsed."""
+    asked = unsure.groupBy("__host").agg(F.sort_array(F.collect_list("window")).alias("windows"))
+    seen = read.select("__host", html_col).join(asked, "__host").mapInArrow(lambda it: _seen(it, html_col), "__host string, page binary, windows array<long>")
+    once = seen.groupBy("__host", "page").agg(F.first("windows").alias("windows")).join(reps, ["__host", "page"], "left_semi")
+    counts = once.select("__host", F.explode("windows").alias("window")).groupBy("__host", "window").agg(F.count(F.lit(1)).alias("n"))
+    return counts.join(unsure, ["__host", "window"]).filter("n >= need").select("__host", "window")
+
+
 def repeated_windows(read: DataFrame, html_col: str) -> DataFrame:
     """(__host, windows): the fingerprints of the windows that are on many distinct pages of the host, sorted; hosts without are left out."""
     schema = T.StructType([T.StructField("__host", T.StringType()), T.StructField("page", T.BinaryType()), T.StructField("size", T.LongType()), T.StructField("signature", T.ArrayType(T.IntegerType()))])
@@ -341,8 +367,11 @@ def repeated_windows(read: DataFrame, html_col: str) -> DataFrame:
     texts = read.select("__host", html_col).join(hosts.select("__host", "chunks"), "__host").mapInArrow(lambda it: _dealt_streams(it, html_col), dealt)
     marks = reps.join(hosts, "__host").select("__host", chunk, "chunks", "page", F.lit(None).cast("binary").alias("stream"), "need")
     rows = marks.union(texts.select("__host", chunk, "chunks", "page", "stream", F.lit(None).cast("long"))).repartition("__host", "chunk").sortWithinPartitions("__host", "chunk", "page", F.col("stream").isNotNull())
-    counted = materialize(rows.mapInArrow(_arrays, "__host string, window long, n long, need long"), "windows")
-    shared = counted.groupBy("__host", "window").agg(F.sum("n").alias("n"), F.max("need").alias("need")).filter("n >= need")
+    counted = materialize(rows.mapInArrow(_arrays, "__host string, window long, n long, unsent long, need long"), "windows")
+    sums = counted.filter("window is not null").groupBy("__host", "window").agg(F.sum("n").alias("n"), F.sum("unsent").alias("unsent"), F.max("need").alias("need"))
+    most = counted.filter("window is null").groupBy("__host").agg(F.sum("unsent").alias("most"))
+    unsure = materialize(sums.filter("n < need").join(most, "__host").filter("n + most - unsent >= need").select("__host", "window", "need"), "unsure")
+    shared = sums.filter("n >= need").select("__host", "window").unionByName(_recounted(read, html_col, reps, unsure))
     return materialize(shared.groupBy("__host").agg(F.sort_array(F.collect_list("window")).alias("windows")), "repeated")
 
 

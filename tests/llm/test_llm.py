@@ -810,3 +810,17 @@ def test_pipeline_stages_on_odd_rows(spark, odd, empty):
             df = out
         n = df.count()
     assert n == 0
+
+
+def test_repeated_windows_do_not_depend_on_chunks(spark, monkeypatch):
+    """Passages on about the share of pages that makes them repeated, unevenly dealt to chunks."""
+    rng = random.Random(5)
+    many, passages = 120, [" ".join(f"p{k}w{j}" for j in range(9)) for k in range(40)]
+    on = [set(rng.sample(range(many), 32 + k // 4)) for k in range(40)]  # 36 of 120 are enough
+    html = ["<p>" + "</p><p>".join([f"own{i}x{j}" for j in range(12)] + [p for p, at in zip(passages, on, strict=True) if i in at]) + "</p>" for i in range(many)]
+    read = spark.createDataFrame([("h", x) for x in html], "__host string, html string")
+    found = []
+    for chunk in (1 << 20, 3000, 400):
+        monkeypatch.setattr(html_extract, "CHUNK", chunk)
+        found.append({r["__host"]: sorted(r.windows) for r in html_extract.repeated_windows(read, "html").collect()})
+    assert found[0] and found[0] == found[1] == found[2]
