@@ -7,7 +7,7 @@ aggregation whatever the grid is.
 from __future__ import annotations
 
 import math
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -17,21 +17,42 @@ from pyspark.sql import functions as F
 from atlasmill.functions.lineage import materialize
 from atlasmill.functions.resample import redrawn_curves
 from atlasmill.operators.graph import rank_rows
-from atlasmill.operators.ranking import by_score, flag_pairs, pairs_outside
+from atlasmill.operators.ranking import by_score, pairs_outside
 
 KEY = ["source", "target"]
+#: tables that are combined in one grouping (bits of a long)
+MEET = 60
 #: positives of a piece of the list that hits are drawn from
 PIECE = 16_384
 
 
+def _own(rows: DataFrame, where: Column | None) -> DataFrame:
+    rows = rows.dropna(subset=KEY)
+    return rows if where is None else rows.filter(where)
+
+
 @dataclass(frozen=True)
 class PairSpace:
-    """A table without its product: axes, the pairs that it has of their product (each once), and named sets of test pairs."""
+    """A table without its product: axes, and rows with the pairs that it has of their product; ``flags`` are the columns of named sets of test pairs.
+
+    ``where`` tells which rows of ``rows`` are the table's (None: all), so that spaces cut from one table can be combined in one pass over it.
+    A pair may have several rows; it is in a set if one of them is. A row with a null end is no pair.
+    """
 
     drugs: DataFrame
     diseases: DataFrame
-    pairs: DataFrame
-    tests: dict[str, DataFrame] = field(default_factory=dict)
+    rows: DataFrame
+    flags: tuple[str, ...] = ()
+    where: Column | None = None
+
+    @property
+    def own(self) -> DataFrame:
+        return _own(self.rows, self.where)
+
+    @property
+    def pairs(self) -> DataFrame:
+        """The pairs that the table has, each once."""
+        return self.own.select(*KEY).distinct()
 
     @property
     def excluded(self) -> DataFrame:
@@ -40,14 +61,34 @@ class PairSpace:
 
     def dense(self) -> DataFrame:
         """All pairs but the excluded, with a boolean column for each set of test pairs."""
-        return flag_pairs(self.pairs, self.tests)
+        return _meet([self])
+
+
+def sparse(table: DataFrame, flags: list[str], where: Column | None = None) -> PairSpace:
+    """The axes, pairs and flagged pairs of a dense table, or of its rows where ``where`` holds."""
+    own = _own(table, where)
+    return PairSpace(own.select("source").distinct(), own.select("target").distinct(), table, tuple(flags), where)
 
 
-def sparse(table: DataFrame, flags: list[str]) -> PairSpace:
-    """The axes, pairs and flagged pairs of a dense table; a row with a null end is no pair."""
-    table = table.dropna(subset=KEY)
-    drugs, diseases = table.select("source").distinct(), table.select("target").distinct()
-    return PairSpace(drugs, diseases, table.select(*KEY).distinct(), {f: table.filter(F.col(f)).select(*KEY).distinct() for f in flags})
+def _meet(spaces: list[PairSpace], drop_inconsistent: bool = False) -> DataFrame:
+    """The pairs that all spaces have, each once, with a boolean for each set: whether it has the pair in all of them.
+
+    One grouping of the rows by pair, in which a space is a bit; spaces that are cut from one table read it once.
+    """
+    flags, all_in = spaces[0].flags, (1 << len(spaces)) - 1
+    cut: dict[int, list[int]] = {}
+    for k, space in enumerate(spaces):
+        cut.setdefault(next(j for j in range(k + 1) if spaces[j].rows is space.rows), []).append(k)
+    parts = []
+    for first, ks in cut.items():
+        bits = [F.lit(1 << k) if spaces[k].where is None else F.when(spaces[k].where, 1 << k).otherwise(0) for k in ks]
+        marked = spaces[first].rows.dropna(subset=KEY).select(*KEY, reduce(Column.__add__, bits).cast("long").alias("__in"), *[F.col(f) for f in flags])
+        parts.append(marked.filter("__in <> 0").select(*KEY, "__in", *[F.when(F.col(f), F.col("__in")).otherwise(0).alias(f) for f in flags]))
+    found = reduce(DataFrame.unionByName, parts).groupBy(*KEY).agg(F.bit_or("__in").alias("__in"), *[F.bit_or(f).alias(f) for f in flags]).filter(F.col("__in") == all_in)
+    if drop_inconsistent:
+        for f in flags:
+            found = found.filter(F.col(f).isin(0, all_in))
+    return found.select(*KEY, *[(F.col(f) == all_in).alias(f) for f in flags])
 
 
 def same_excluded(a: PairSpace, b: PairSpace) -> bool:
@@ -75,25 +116,23 @@ def same_rows(a: DataFrame, b: DataFrame) -> bool:
     return a.exceptAll(b).isEmpty() and b.exceptAll(a).isEmpty()
 
 
-def harmonize(a: PairSpace, b: PairSpace, drop_inconsistent: bool = False) -> PairSpace:
-    """Common axes, all exclusions, common test pairs; pairs tested on one side only are excluded on request."""
-    if a.tests.keys() != b.tests.keys():
-        raise ValueError(f"test sets differ: {sorted(a.tests)} and {sorted(b.tests)}")
-    drugs, diseases = a.drugs.join(b.drugs, "source", "left_semi"), a.diseases.join(b.diseases, "target", "left_semi")
-    pairs = a.pairs.join(b.pairs, KEY, "left_semi")
-    if drop_inconsistent:
-        for name in a.tests:
-            for one, other in ((a, b), (b, a)):
-                pairs = pairs.join(one.tests[name].join(other.tests[name], KEY, "left_anti"), KEY, "left_anti")
-    tests = {n: a.tests[n].join(b.tests[n], KEY, "left_semi").join(drugs, "source", "left_semi").join(diseases, "target", "left_semi") for n in a.tests}
-    return PairSpace(drugs, diseases, pairs, tests)
-
-
 def combine(spaces: list[PairSpace], drop_inconsistent: bool = False) -> PairSpace:
-    """All tables harmonised."""
+    """All tables harmonised: common axes, all exclusions, common test pairs; pairs tested in some of the tables only are excluded on request."""
     if not spaces:
         raise ValueError("nothing to combine")
-    return reduce(lambda a, b: harmonize(a, b, drop_inconsistent), spaces)
+    if len(spaces) > MEET:
+        return combine([combine(spaces[:MEET], drop_inconsistent), *spaces[MEET:]], drop_inconsistent)
+    for other in spaces[1:]:
+        if set(other.flags) != set(spaces[0].flags):
+            raise ValueError(f"test sets differ: {sorted(spaces[0].flags)} and {sorted(other.flags)}")
+    drugs = reduce(lambda a, b: a.join(b, "source", "left_semi"), [x.drugs for x in spaces])
+    diseases = reduce(lambda a, b: a.join(b, "target", "left_semi"), [x.diseases for x in spaces])
+    return PairSpace(drugs, diseases, _meet(spaces, drop_inconsistent), spaces[0].flags)
+
+
+def harmonize(a: PairSpace, b: PairSpace, drop_inconsistent: bool = False) -> PairSpace:
+    """Two tables combined."""
+    return combine([a, b], drop_inconsistent)
 
 
 def restrict(common: PairSpace, predictions: DataFrame) -> DataFrame:

@@ -181,6 +181,31 @@ def test_inconsistent_tests_are_left_out(spark):
         assert {tuple(r) for r in common.dense().collect()} == want
 
 
+def test_combined_in_one_pass_over_a_table(spark):
+    found = plan(registry.queries()["cmp_04_harmonized"](spark, "/root/testdata/sf0.001"))
+    assert "Join" not in found and found.count("FileScan parquet") == 1
+
+
+def test_spaces_of_one_table_and_of_several_are_combined_alike(spark, monkeypatch):
+    monkeypatch.setattr(C, "MEET", 2)
+    cells = [("a", "p", 1, True), ("a", "p", 2, False), ("a", "p", 3, True), ("a", "q", 1, True), ("a", "q", 2, True), ("a", "q", 3, True), ("b", "p", 1, None), ("b", "p", 2, False), ("b", "p", 3, None), ("b", "q", 1, True), ("b", "q", 1, False), ("b", "q", 3, True), (None, "p", 1, True), ("a", None, 2, True)]
+    table = spark.createDataFrame(cells, "source string, target string, part int, pos boolean")
+    for parts in ([{1}, {2}, {3}], [{1, 2}, {2, 3}, {1, 3}], [{1}, {2, 3}], [{1, 2, 3}]):
+        tables = [{k[:2]: any(c[3] for c in cells if c[:2] == k[:2] and c[2] in own) for k in cells if k[2] in own and None not in k[:2]} for own in parts]
+        common = set.intersection(*map(set, tables))
+        for drop in (False, True):
+            want = sorted((*k, all(t[k] for t in tables)) for k in common if not drop or len({t[k] for t in tables}) == 1)
+            cut = [C.sparse(table, ["pos"], F.col("part").isin(*own)) for own in parts]
+            apart = [C.sparse(table.filter(F.col("part").isin(*own)), ["pos"]) for own in parts]
+            for spaces in (cut, apart, [cut[0], *apart[1:]]):
+                got = C.combine(spaces, drop)
+                assert sorted(map(tuple, got.dense().collect())) == want
+                assert sorted(map(tuple, got.pairs.collect())) == [w[:2] for w in want]
+                assert {r.source for r in got.drugs.collect()} == set.intersection(*[{k[0] for k in t} for t in tables])
+    with pytest.raises(ValueError):
+        C.combine([C.sparse(table, ["pos"]), C.sparse(table, [])])
+
+
 def test_known_and_predicted(spark):
     known = spark.createDataFrame([("a", "p"), ("b", "q"), ("b", "r"), ("b", "r")], "source string, target string")
     said = spark.createDataFrame([("a", "p", True), ("a", "q", True), ("b", "r", False), ("z", "p", True)], "source string, target string, predicted boolean")
