@@ -161,7 +161,7 @@ def cmp_04_harmonized(spark, d):
 @query(f"{P} SELECT source, target, y IS NOT DISTINCT FROM 1 AS positive, CASE WHEN score > 0.5 THEN score END AS score FROM pairs WHERE fold = 2 AND (y IS NULL OR y IN (0, 1))")
 def cmp_05_combined_predictions(spark, d):
     p = _pairs(spark, d).withColumn("positive", F.coalesce(F.col("y") == 1, F.lit(False)))
-    common = C.combine([C.sparse(p.filter(F.col("fold") != k), ["positive"]) for k in (0, 1)])
+    common = C.combine([C.sparse(p, ["positive"], F.col("fold") != k) for k in (0, 1)])
     return C.restrict(common, p.filter("score > 0.5").select("source", "target", "score"))
 
 

@@ -186,6 +186,11 @@ def test_combined_in_one_pass_over_a_table(spark):
     assert "Join" not in found and found.count("FileScan parquet") == 1
 
 
+def test_predictions_cost_one_join(spark):
+    found = plan(registry.queries()["cmp_05_combined_predictions"](spark, "/root/testdata/sf0.001"))
+    assert len(re.findall(r"\w+Join", found)) == 1 and found.count("FileScan parquet") == 2
+
+
 def test_spaces_of_one_table_and_of_several_are_combined_alike(spark, monkeypatch):
     monkeypatch.setattr(C, "MEET", 2)
     cells = [("a", "p", 1, True), ("a", "p", 2, False), ("a", "p", 3, True), ("a", "q", 1, True), ("a", "q", 2, True), ("a", "q", 3, True), ("b", "p", 1, None), ("b", "p", 2, False), ("b", "p", 3, None), ("b", "q", 1, True), ("b", "q", 1, False), ("b", "q", 3, True), (None, "p", 1, True), ("a", None, 2, True)]
