@@ -22,6 +22,8 @@ from atlasmill.operators.ranking import by_score, pairs_outside
 KEY = ["source", "target"]
 #: tables that are combined in one grouping (bits of a long)
 MEET = 60
+#: shares of the highest scores, and the accuracy of their sketch
+SHARES, ACCURACY = [2 ** (-k / 4) for k in range(1, 49)], 10_000
 #: positives of a piece of the list that hits are drawn from
 PIECE = 16_384
 
@@ -140,13 +142,35 @@ def restrict(common: PairSpace, predictions: DataFrame) -> DataFrame:
     return common.dense().join(predictions, KEY, "left")
 
 
-def rank_within(df: DataFrame, group: list[str], order: list[Column], out: str) -> DataFrame:
-    """``out`` from 1 within each group, by one range sort over groups and order: no task has to hold a group."""
-    ranked = rank_rows(df, [*[F.col(c) for c in group], *order], "__place")
+def rank_within(df: DataFrame, group: list[str], order: list[Column], out: str, keep: list[str] | None = None) -> DataFrame:
+    """``out`` from 1 within each group, by one range sort over groups and order: no task has to hold a group. Of the columns, the group and those of ``keep`` stay (None: all)."""
+    ranked = rank_rows(df, [*[F.col(c) for c in group], *order], "__place", None if keep is None else [*group, *keep])
     first = ranked.groupBy(*group).agg(F.min("__place").alias("__from"))
     return ranked.join(first, group).withColumn(out, F.col("__place") - F.col("__from") + 1).drop("__place", "__from")
 
 
+def first_ranks(table: DataFrame, groups: list[str], n_max: int, positive: str = "positive") -> tuple[DataFrame, DataFrame]:
+    """The first ``n_max`` rows at least of each group, by score, as (groups, ``positive``, rank), and the number of positives of each whole group (groups, ``__all``).
+
+    All rows are read for the sketches of the scores. Only rows from a score on that leaves enough of them are sorted: what is below
+    cannot be among the first. That enough were left is counted; if not, all rows are sorted.
+    """
+    shares = F.array(*[F.lit(x) for x in SHARES])
+    sketch = F.percentile_approx("score", F.array(*[F.lit(1 - x) for x in SHARES]), ACCURACY)
+    found = table.groupBy(*groups).agg(F.count(F.lit(1)).alias("__rows"), F.count("score").alias("__n"), F.count_if(positive).alias("__all"), sketch.alias("__scores"))
+    enough = F.size(F.filter(shares, lambda x: x * F.col("__n") >= n_max + 2 * F.col("__n") / ACCURACY))
+    sizes = materialize(found.select(*groups, "__rows", "__all", F.when(enough > 0, F.get("__scores", enough - 1)).alias("__least")), "sketches")
+    rank = lambda rows: rank_within(rows, groups, by_score(), "rank", [positive])
+    totals = sizes.select(*groups, "__all")
+    if sizes.filter("__least is not null").isEmpty():
+        return rank(table), totals
+    ahead = table.join(F.broadcast(sizes.select(*groups, "__least")), groups).filter(F.col("__least").isNull() | (F.col("score") >= F.col("__least"))).drop("__least")  # a row for each group
+    ranked = rank(materialize(ahead, "ahead"))
+    left = ranked.groupBy(*groups).agg(F.count(F.lit(1)).alias("__left"))
+    short = sizes.join(left, groups, "left").filter(F.coalesce("__left", F.lit(0)) < F.least(F.col("__rows"), F.lit(n_max)))
+    return (ranked if short.isEmpty() else rank(table)), totals
+
+
 def grid(spark: SparkSession, n_max: int, points: int) -> DataFrame:
     """(i, n): ``points`` >= 2 equal steps from 1 to ``n_max``, not rounded."""
     return spark.range(points).select(F.col("id").alias("i"), (1 + F.col("id") * F.lit(n_max - 1) / F.lit(float(points - 1))).alias("n"))
@@ -204,13 +228,17 @@ def redrawn(positives: DataFrame, groups: list[str], order: list[Column], times:
     return materialize(placed.join(drawn, [*groups, "__i"]).drop("__i"), "redrawn")
 
 
-def redrawn_recall(ranked: DataFrame, groups: list[str], n_max: int, points: int, times: int, seed: int = 0, positive: str = "positive") -> DataFrame:
+def redrawn_recall(ranked: DataFrame, groups: list[str], n_max: int, points: int, times: int, seed: int = 0, positive: str = "positive", totals: DataFrame | None = None) -> DataFrame:
     """(groups, resample, n, recall) of ``times`` bootstrap samples of each group's positives, as :func:`redrawn` draws them in the order of ``rank``.
 
-    A positive only counts by its grid point, so a group is drawn from as many numbers as the grid has points.
+    A positive only counts by its grid point, so a group is drawn from as many numbers as the grid has points. ``totals`` has the positives of
+    each group (``__all``), if ``ranked`` lacks some whose rank is over ``n_max``.
     """
     at = F.least(_first_point(F.col("rank"), n_max, points), F.lit(points)).cast("int")
     found = ranked.filter(F.col(positive)).groupBy(*groups, at.alias("__place")).agg(F.count(F.lit(1)).alias("__n"))
+    if totals is not None:
+        rest = totals.join(found.groupBy(*groups).agg(F.sum("__n").alias("__n")), groups, "left").select(*groups, F.lit(points).alias("__place"), (F.col("__all") - F.coalesce("__n", F.lit(0))).alias("__n"))
+        found = found.unionByName(rest.filter("__n > 0")).groupBy(*groups, "__place").agg(F.sum("__n").alias("__n"))
     runs = found.groupBy(*groups).agg(F.array_sort(F.collect_list(F.struct("__place", "__n"))).alias("__runs"))
     listed = runs.select(*groups, F.col("__runs.__place").alias("__places"), F.col("__runs.__n").alias("__rows"))
     n = 1 + F.col("i") * F.lit(n_max - 1) / F.lit(float(points - 1))

@@ -220,7 +220,8 @@ def _full_recall(spark, d, y, n_max):
 
 
 def _full_recall_bootstrap(spark, d, y, n_max):
-    curves = C.redrawn_recall(_full_ranked(spark, d, y), ["model", "fold"], n_max, POINTS, TIMES, 7)
+    ranked, totals = C.first_ranks(_full_models(spark, d, y), ["model", "fold"], n_max)
+    curves = C.redrawn_recall(ranked, ["model", "fold"], n_max, POINTS, TIMES, 7, totals=totals)
     return C.curve_statistics(curves, ["model", "n"], "recall").select("model", *[F.round(c, 6).alias(c) for c in ("n", "mean", "std")])
 
 

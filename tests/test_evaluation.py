@@ -99,6 +99,25 @@ def test_recall_is_drawn_without_rows_of_draws(spark):
     assert key(got) == key(want) and len(key(got)) == 2 * 6 * 9
 
 
+@pytest.mark.parametrize("sketch", ["right", "too high"])
+def test_only_rows_that_can_be_first_are_ranked(spark, monkeypatch, sketch):
+    score = {"a": lambda k: k * 37 % 600 / 600, "b": lambda k: float(k % 7), "c": lambda k: None if k % 3 else 1.0, "d": lambda k: 0.5, "e": lambda k: float(k)}
+    rows = [(g, f"s{k % 10}", f"t{k}", f(k), k % 4 == 0 if g != "e" else k < 9) for g, f in score.items() for k in range(600 if g != "d" else 30)]
+    table = spark.createDataFrame(rows, "model string, source string, target string, score double, positive boolean")
+    if sketch == "too high":
+        monkeypatch.setattr(C.F, "percentile_approx", lambda c, shares, _: F.array_repeat(F.max(c), len(C.SHARES)))
+    ranked, totals = C.first_ranks(table, ["model"], 50)
+    whole = C.rank_within(table, ["model"], R.by_score(), "rank")
+    first = lambda df: sorted((r.model, r["rank"], r.positive) for r in df.collect() if r["rank"] <= 50)
+    assert first(ranked) == first(whole)
+    assert {(r.model, r["__all"]) for r in totals.collect()} == {("a", 150), ("b", 150), ("c", 150), ("d", 8), ("e", 9)}
+    if sketch == "right":
+        kept = Counter(r.model for r in ranked.collect())
+        assert kept["a"] < 100 and kept["b"] < 180 and kept["c"] == 200 and kept["d"] == 30 and kept["e"] < 100
+    got, want = C.redrawn_recall(ranked, ["model"], 50, 9, 4, 7, totals=totals), C.redrawn_recall(whole, ["model"], 50, 9, 4, 7)
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect())) and got.count() == 5 * 4 * 9
+
+
 def test_hits_are_drawn_without_rows_of_draws(spark, monkeypatch):
     monkeypatch.setattr(C, "PIECE", 7)
     rows = [(g, "s", f"t{k}", 1 + k * k % 11) for g, n in (("a", 1), ("b", 50)) for k in range(n)]
