@@ -190,7 +190,7 @@ def components(nodes: DataFrame, edges: DataFrame) -> DataFrame:
 def rank_rows(df: DataFrame, order: list[Column], out: str, keep: list[str] | None = None) -> DataFrame:
     """Gapless position from 0 along a total order, without a single-task window: range partitions, then offsets. Of the columns, those of ``keep`` are written (None: all)."""
     placed = df.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("__p", F.spark_partition_id()).withColumn("__i", F.monotonically_increasing_id())
-    cut = materialize(placed.select(*(df.columns if keep is None else keep), "__p", "__i"), "ranked")
+    cut = materialize(placed if keep is None else placed.select(*keep, "__p", "__i"), "ranked")
     counts = cut.groupBy("__p").agg(F.count(F.lit(1)).alias("__n"), F.min("__i").alias("__first"))
     before = counts.withColumn("__base", F.coalesce(F.sum("__n").over(W.orderBy("__p").rowsBetween(W.unboundedPreceding, -1)), F.lit(0)))
     return cut.join(F.broadcast(before.drop("__n")), "__p").withColumn(out, (F.col("__i") - F.col("__first") + F.col("__base")).cast("long")).drop("__p", "__i", "__first", "__base")
