@@ -220,10 +220,12 @@ class _Completion:
         self.now: list[tuple[tuple[int, ...], int]] = []
         self.seen: dict[bytes, int] = {}
 
-    def fillings(self, room: int, afford: int) -> Iterator[tuple[int, tuple[int, ...]]]:
-        """(waste, items) of the undominated fillings of ``room`` that waste at most ``afford``, larger items first."""
+    def fillings(self, room: int, afford: int, have: list[int]) -> Iterator[tuple[int, tuple[int, ...]]]:
+        """(waste, items) of the undominated fillings of ``room`` that waste at most ``afford``, larger items first.
+
+        ``have`` gets the running sums over all lengths; whoever keeps the generator may empty it, then they are summed again.
+        """
         lengths, left = self.lengths, self.left
-        have = np.concatenate([[0], np.cumsum([x * left[x] for x in lengths])]).tolist()
         chosen: list[tuple[int, int]] = []
 
         def replaceable(waste: int) -> bool:
@@ -242,6 +244,8 @@ class _Completion:
                 raise _Spent
             at = min(below, bisect_right(lengths, room)) - 1
             while at >= 0:
+                if not have:
+                    have.extend(np.concatenate([[0], np.cumsum([x * left[x] for x in lengths])]).tolist())
                 if room - have[at + 1] > afford or room - have[at + 1] >= spare:
                     return  # all that is smaller is too little
                 x = lengths[at]
@@ -256,7 +260,10 @@ class _Completion:
             if room <= afford and room < spare and not replaceable(room):
                 yield room, tuple(x for x, k in chosen for _ in range(k))
 
-        yield from go(room, len(lengths), self.capacity + 1)
+        try:
+            yield from go(room, len(lengths), self.capacity + 1)
+        finally:
+            go = None  # it refers to itself, and would stay with its sums until garbage is collected
 
     def run(self) -> bool:
         """Search; whether the search was exhausted or met the bound."""
@@ -277,6 +284,7 @@ class _Completion:
             if bins < self.goal:
                 self.best, self.goal = list(self.now), bins
             return
+        # thousands of bins may be open at once, so none keeps anything of the size of the histogram
         self.steps -= 20 + len(rest) // 4
         if self.steps < 0:
             raise _Spent
@@ -286,10 +294,13 @@ class _Completion:
         if len(self.seen) < 100_000:  # a memory only: what is forgotten is searched again
             self.seen[state] = bins
         largest = max(rest)
+        del rest
         left[largest] -= 1
         # the generator looks at the counts, so they are as it left them whenever it goes on
-        found = self.fillings(self.capacity - largest, (self.goal - 1) * self.capacity - self.total - waste)
+        have: list[int] = []
+        found = self.fillings(self.capacity - largest, (self.goal - 1) * self.capacity - self.total - waste, have)
         first = sorted(islice(found, SORTED), key=lambda f: (f[0], [-x for x in f[1]]))
+        have.clear()
         for spare, items in chain(first, found):
             left[largest] += 1
             if waste + spare <= (self.goal - 1) * self.capacity - self.total:
@@ -297,6 +308,7 @@ class _Completion:
                 for x in (largest, *items):
                     used[x] += 1
                 most = min(left[x] // n for x, n in used.items())
+                have.clear()
                 for times in (most, 1) if most > 1 else (1,):
                     for x, n in used.items():
                         left[x] -= n * times

@@ -2,6 +2,7 @@
 
 import math
 import random
+import tracemalloc
 import zlib
 from collections import Counter
 
@@ -509,6 +510,19 @@ def test_solver_is_optimal_on_small_cases():
         assert checked(items, 20) == (fewest_bins(items, 20), True)
 
 
+def test_open_bins_of_the_search_keep_nothing_of_the_size_of_the_histogram():
+    """A few hundred bins are open at once, over about 3000 lengths; a table of those in each took 24 MB."""
+    rng = random.Random(100)
+    counts = Counter(min(4096, int(rng.lognormvariate(6.2, 1)) + 1) for _ in range(30_000))
+    assert sum(m for _, m in packing.best_fit(counts, 4096)) > packing.lower_bound(counts, 4096)  # so there is a search
+    tracemalloc.start()
+    try:
+        packing.solve(counts, 4096, 100_000)
+        assert tracemalloc.get_traced_memory()[1] < 8 << 20
+    finally:
+        tracemalloc.stop()
+
+
 def test_bin_completion_beats_best_fit_on_many_items():
     """Bins of three filled to the brim and shuffled: the number of bins is the optimum; best fit needs more."""
     rng, beaten = random.Random(91), 0
