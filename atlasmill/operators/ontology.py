@@ -5,9 +5,11 @@ from __future__ import annotations
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from atlasmill.functions.closure import closure
+from atlasmill.functions.lineage import materialize
 from atlasmill.operators.lists import ICD_FORMS, leaf_parents, leaves
 
 # Subsets, roots and reference forms behind the flags of a disease.
@@ -112,8 +114,11 @@ def prevalence_band(value: Column) -> Column:
     return F.when(value.isNotNull(), out)
 
 
-def prevalence_consensus(estimates: DataFrame, key: str, value: str, strategy: str = "mean", unclear_above: float | None = 100_000) -> DataFrame:
-    """(key, prevalence) of several estimates: the band of their mean (above ``unclear_above``, if given, it is UNCLEAR), the commonest band (ties to the smaller name) or that of the least."""
+def prevalence_consensus(estimates: DataFrame, key: str, value: str, strategy: str = "mean", unclear_above: float | None = 100_000, order: list[str] | None = None) -> DataFrame:
+    """(key, prevalence) of several estimates: the band of their mean (above ``unclear_above``, if given, it is UNCLEAR), the commonest band (ties to the smaller name) or that of the least.
+
+    A mean is that of the exact sum; if ``order`` names columns (a total order within a key), it is that of doubles added in this order.
+    """
     band = prevalence_band(F.col(value))
     if strategy == "mode":
         counts = estimates.groupBy(key, band.alias("b")).agg(F.count(F.lit(1)).alias("n"))
@@ -125,4 +130,18 @@ def prevalence_consensus(estimates: DataFrame, key: str, value: str, strategy: s
     # summed as decimals: a mean half way between two printed numbers must not depend on the order of its rows
     exact = F.col(value).try_cast("decimal(28,10)")
     mean = F.when(F.count(exact) == F.count(value), F.avg(exact).cast("double")).otherwise(F.avg(value))
-    return estimates.groupBy(key).agg(mean.alias("v")).select(key, F.when(F.col("v") > F.lit(unclear_above), "UNCLEAR").otherwise(prevalence_band(F.col("v"))).alias("prevalence"))
+    shown = lambda v: F.when(v > F.lit(unclear_above), "UNCLEAR").otherwise(prevalence_band(v))
+    if order is None:
+        return estimates.groupBy(key).agg(mean.alias("v")).select(key, shown(F.col("v")).alias("prevalence"))
+    # no order of the sum takes a mean further than this from the exact one; only where that could be seen are rows put in order
+    off = F.sum(F.abs(value)) * 2.0**-52 + 1e-9
+    off = F.when(F.count(exact) == F.count(value), off).otherwise(float("inf"))
+    means = materialize(estimates.groupBy(key).agg(mean.alias("v"), off.alias("__off"), F.count(value).alias("__n")), "means")
+    seen = ~shown(F.col("v") - F.col("__off")).eqNullSafe(shown(F.col("v") + F.col("__off")))
+    near = materialize(means.filter(seen).select(key, "__n"), "near")
+    if near.isEmpty():
+        return means.select(key, shown(F.col("v")).alias("prevalence"))
+    along = W.partitionBy(key).orderBy(*order).rowsBetween(W.unboundedPreceding, W.currentRow)
+    rows = estimates.join(near, key).select(key, "__n", F.sum(value).over(along).alias("__sum"), F.row_number().over(along).alias("__i"))
+    added = rows.groupBy(key).agg((F.max_by("__sum", "__i") / F.max("__n")).alias("__v"))
+    return means.join(added, key, "left").select(key, shown(F.coalesce("__v", "v")).alias("prevalence"))

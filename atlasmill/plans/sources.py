@@ -219,9 +219,9 @@ BAND = "CASE WHEN {v} < 1 THEN '<1 in 100,000' WHEN {v} < 10 THEN '1-9 in 100,00
 @query(f"WITH e AS (SELECT l_suppkey AS id, CASE WHEN l_linenumber % 2 = 0 THEN l_orderkey * 1000 / 8e9 * 100000 ELSE l_orderkey / 1000000.0::DOUBLE * 100000 * (CASE WHEN l_linenumber % 3 = 0 THEN 0.25 ELSE 1 END) END AS v FROM lineitem), c AS (SELECT id, {BAND.format(v='v')} AS b, count(*) AS n FROM e GROUP BY ALL), m AS (SELECT id, b, row_number() OVER (PARTITION BY id ORDER BY n DESC, b) AS r FROM c) SELECT e.id, {BAND.format(v='avg(v)')} AS mean_band, {BAND.format(v='min(v)')} AS least_band, max(m.b) AS mode_band FROM e JOIN m ON m.id = e.id AND r = 1 GROUP BY e.id")
 def ent_33_prevalence(spark, d):
     line, none = F.col("l_linenumber"), F.lit(None).cast("double")
-    raw = A.read(spark, d, "lineitem").select(F.col("l_suppkey").alias("id"), F.when(line % 2 == 0, "number").otherwise("share").alias("kind"), F.when(line % 2 == 0, F.col("l_orderkey") * 1000.0).otherwise(F.col("l_orderkey").cast("double")).alias("num"), F.lit(1e6).alias("den"), F.when((line % 2 == 1) & (line % 3 == 0), F.lit(25.0)).alias("sub"), none.alias("grp"))
-    v = raw.select("id", O.prevalence_100k("kind", "num", "den", "sub", "grp").alias("v"))
-    mean, least, mode = (O.prevalence_consensus(v, "id", "v", s, unclear_above=None).withColumnRenamed("prevalence", f"{n}_band") for n, s in (("mean", "mean"), ("least", "lowest"), ("mode", "mode")))
+    raw = A.read(spark, d, "lineitem").select(F.col("l_suppkey").alias("id"), F.when(line % 2 == 0, "number").otherwise("share").alias("kind"), F.when(line % 2 == 0, F.col("l_orderkey") * 1000.0).otherwise(F.col("l_orderkey").cast("double")).alias("num"), F.lit(1e6).alias("den"), F.when((line % 2 == 1) & (line % 3 == 0), F.lit(25.0)).alias("sub"), none.alias("grp"), F.col("_metadata.file_path").alias("file"), F.col("_metadata.row_index").alias("row"))
+    v = raw.select("id", O.prevalence_100k("kind", "num", "den", "sub", "grp").alias("v"), "file", "row")
+    mean, least, mode = (O.prevalence_consensus(v, "id", "v", s, unclear_above=None, order=["file", "row"]).withColumnRenamed("prevalence", f"{n}_band") for n, s in (("mean", "mean"), ("least", "lowest"), ("mode", "mode")))
     return mean.join(least, "id").join(mode, "id")
 
 

@@ -1,5 +1,6 @@
 """Edge cases of list operators, reports and projections."""
 
+import duckdb
 import pytest
 from pyspark.sql import functions as F
 
@@ -54,3 +55,26 @@ def test_prevalence_prints_what_is_stored(spark):
     few = spark.createDataFrame([("a", 150_000.0), ("a", 250_000.0)], "id string, v double")
     bands = [ontology.prevalence_consensus(few, "id", "v", unclear_above=x).first().prevalence for x in (100_000, None)]
     assert bands == ["UNCLEAR", "200000.00 in 100,000"]
+
+
+HALF = [321727, 5072978, 2391667, 1361371]  # tenths whose mean is 228693.575; doubles added in this order print 57, in the other 58, as their exact mean
+
+
+def test_mean_adds_in_the_order_asked_for(spark):
+    rows = [(k, i, x / 1e6 * 1e5) for k, xs in (("a", HALF), ("b", HALF[::-1]), ("c", [5e6])) for i, x in enumerate(xs)] + [("a", 9, None), ("d", 0, None)]
+    table = spark.createDataFrame(rows, "id string, i long, v double").repartition(3, "v")
+    of = lambda **x: {r.id: r.prevalence for r in ontology.prevalence_consensus(table, "id", "v", unclear_above=None, **x).collect()}
+    said = lambda *x: {k: v and f"{v} in 100,000" for k, v in zip("abcd", (*x, "500000.00", None), strict=True)}
+    assert of(order=["i"]) == said("228693.57", "228693.58")
+    assert of() == said("228693.58", "228693.58")
+    assert {r.prevalence for r in ontology.prevalence_consensus(table, "id", "v", order=["i"]).filter("id < 'd'").collect()} == {"UNCLEAR"}
+
+
+def test_prevalence_prints_as_its_sql_in_row_order(spark, tmp_path):
+    path = str(tmp_path / "lineitem.parquet")
+    lines = [(s, x, 1) for s, xs in ((1, HALF), (2, HALF[::-1]), (3, [7])) for x in xs]
+    spark.createDataFrame(lines, "l_suppkey long, l_orderkey long, l_linenumber int").coalesce(1).write.parquet(path)
+    c = duckdb.connect(config={"threads": 1})
+    c.execute(f"CREATE VIEW lineitem AS SELECT * FROM '{path}/*.parquet'")
+    got = registry.queries()["ent_33_prevalence"](spark, str(tmp_path))
+    assert sorted(map(tuple, got.collect())) == sorted(c.execute(registry.oracle_sql()["ent_33_prevalence"]).fetchall())
