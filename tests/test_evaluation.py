@@ -182,6 +182,22 @@ def test_pairs_outside(spark, monkeypatch):
     assert sorted(map(tuple, got.collect())) == sorted({(s, t) for (s,) in drugs for (t,) in diseases} - known)
 
 
+def test_files_of_a_product_are_small(spark, monkeypatch, tmp_path):
+    monkeypatch.setattr(R, "TASK", 10_000)
+    name = lambda n, c: spark.range(n).select(F.concat(F.lit(f"{c}:"), F.col("id").cast("string")).alias({"S": "source", "T": "target"}[c]))
+    drugs, diseases = name(200, "S"), name(40_000, "T")
+    known = spark.range(40_000).select(F.concat(F.lit("S:"), (F.col("id") % 200).cast("string")).alias("source"), F.concat(F.lit("T:"), F.col("id").cast("string")).alias("target"))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        R.pairs_outside(drugs, diseases, known).write.parquet(str(tmp_path / "out"))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    got = spark.read.parquet(str(tmp_path / "out"))
+    assert got.agg(F.count(F.lit(1)), F.count_distinct(F.xxhash64("source", "target"))).first()[:] == (7_960_000, 7_960_000)
+    assert got.join(known, ["source", "target"], "left_semi").isEmpty()
+    assert sum(f.stat().st_size for f in (tmp_path / "out").glob("*.parquet")) < 0.5 * 7_960_000
+
+
 def test_spaces_are_compared_without_a_product(spark, monkeypatch):
     tables = [["ap", "aq", "bp"], ["ap", "aq", "bq"], ["ap", "aq", "bp", "bq"], ["ap", "aq"], ["ap", "bp"], ["ap", "aq", "ar", "bp"], ["ap", "aq", "bp", "cp", "cq"]]
     spaces = [C.sparse(spark.createDataFrame([tuple(x) for x in t], "source string, target string"), []) for t in tables]
